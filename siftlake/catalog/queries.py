@@ -10,7 +10,9 @@ from ..entities import schemas, vocabulary as v
 from ..functions import parsing, predicates as p
 from ..operators import dedup, landing, refs, report, skew, validate as dq
 from ..plans import marts
+from ..session import tune
 from ..sources.landing import union_drifting
+from ..sources.tables import read_table as table
 from . import oracles
 from .views import AS_OF, DIGITS, ORDER_BY, spark_view
 
@@ -18,10 +20,6 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and timestamps as text, so results compare across engines."""
     columns = []
@@ -54,22 +52,29 @@ def ruleset(name: str) -> dq.RuleSet:
 REFERENCES = {"payments": ("orders",), "inventory": ("products",)}
 
 
-def references(spark, sf_dir, entity) -> dict[str, DataFrame]:
-    return {name: silver(spark, sf_dir, name) for name in REFERENCES.get(entity, ())}
+class Silver:
+    """Silver frames for one query, each built once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.built = spark, sf_dir, {}
 
-def labelled(spark, sf_dir, entity, rules: str | None = None) -> DataFrame:
-    refs_ = references(spark, sf_dir, entity)
-    return dq.validate(spark_view(spark, sf_dir, entity), ruleset(rules or entity), refs_, ORDER_BY[entity])
+    def references(self, entity: str) -> dict[str, DataFrame]:
+        return {name: self[name] for name in REFERENCES.get(entity, ())}
 
+    def __getitem__(self, entity: str) -> DataFrame:
+        if entity not in self.built:
+            self.built[entity] = dq.silver(labelled(self.spark, self.sf_dir, entity, silver=self))
+        return self.built[entity]
 
-def prepared(spark, sf_dir, entity) -> DataFrame:
-    refs_ = references(spark, sf_dir, entity)
-    return dq.prepare(spark_view(spark, sf_dir, entity), ruleset(entity), refs_, ORDER_BY[entity])
+
+def labelled(spark, sf_dir, entity, rules: str | None = None, silver: Silver | None = None) -> DataFrame:
+    refs_ = (silver or Silver(spark, sf_dir)).references(entity)
+    return dq.validate(spark_view(spark, sf_dir, entity), ruleset(rules or entity), refs_, ORDER_BY[entity])
 
 
-def silver(spark, sf_dir, entity) -> DataFrame:
-    return dq.silver(labelled(spark, sf_dir, entity))
+def prepared(spark, sf_dir, entity) -> tuple[DataFrame, dq.RuleSet]:
+    rules, refs_ = ruleset(entity), Silver(spark, sf_dir).references(entity)
+    return dq.prepare(spark_view(spark, sf_dir, entity), rules, refs_, ORDER_BY[entity]), rules
 
 
 def q_labels(spark, sf_dir, entity, rules=None):
@@ -88,19 +93,18 @@ def q_quarantine(spark, sf_dir, entity):
 
 
 def q_orders_all_issues(spark, sf_dir):
-    rules = ruleset("orders").rules
-    return prepared(spark, sf_dir, "orders").select(
-        "ingest_seq", dq.all_issues(rules).alias(dq.ISSUE), F.size(dq.issue_array(rules)).alias("n_issues")
-    )
+    rows, rules = prepared(spark, sf_dir, "orders")
+    n_issues = F.size(dq.issue_array(rules.rules)).alias("n_issues")
+    return rows.select("ingest_seq", dq.all_issues(rules.rules).alias(dq.ISSUE), n_issues)
 
 
 def q_orders_issue_array(spark, sf_dir):
-    rules = ruleset("orders").rules
-    return prepared(spark, sf_dir, "orders").select("ingest_seq", F.explode(dq.issue_array(rules)).alias("issue"))
+    rows, rules = prepared(spark, sf_dir, "orders")
+    return rows.select("ingest_seq", F.explode(dq.issue_array(rules.rules)).alias("issue"))
 
 
 def q_rule_counts(spark, sf_dir, entity):
-    return report.rule_counts(prepared(spark, sf_dir, entity), ruleset(entity))
+    return report.rule_counts(*prepared(spark, sf_dir, entity))
 
 
 def q_distribution(spark, sf_dir, entity):
@@ -132,7 +136,7 @@ def q_constraint_report(spark, sf_dir):
     rules = ruleset("orders")
     view = spark_view(spark, sf_dir, "orders")
     raw = report.check_rules(view, rules, order_by=ORDER_BY["orders"])
-    clean = report.check_rules(silver(spark, sf_dir, "orders"), rules, order_by=ORDER_BY["orders"])
+    clean = report.check_rules(Silver(spark, sf_dir)["orders"], rules, order_by=ORDER_BY["orders"])
     return raw.select(F.lit("raw").alias("layer"), "*").unionByName(clean.select(F.lit("silver").alias("layer"), "*"))
 
 
@@ -197,7 +201,7 @@ def q_orphan_report(spark, sf_dir):
 
 def q_payment_orphans(spark, sf_dir):
     view = spark_view(spark, sf_dir, "payments")
-    return refs.orphans(view, silver(spark, sf_dir, "orders"), "order_id", "order_id").select("ingest_seq", "order_id")
+    return refs.orphans(view, Silver(spark, sf_dir)["orders"], "order_id", "order_id").select("ingest_seq", "order_id")
 
 
 def q_dependent_vocabulary(spark, sf_dir):
@@ -297,10 +301,11 @@ def _hot(spark, sf_dir, entity, column):
 
 
 def daily(spark, sf_dir, ordered: bool = True):
+    silver = Silver(spark, sf_dir)
     return marts.daily_sales(
-        silver(spark, sf_dir, "orders"),
-        silver(spark, sf_dir, "order_items"),
-        silver(spark, sf_dir, "payments"),
+        silver["orders"],
+        silver["order_items"],
+        silver["payments"],
         item_ids_unique=True,
         hot_orders=_hot(spark, sf_dir, "order_items", "order_id"),
         ordered=ordered,
@@ -312,18 +317,20 @@ def q_daily_sales(spark, sf_dir):
 
 
 def q_customer_360(spark, sf_dir):
-    t = [silver(spark, sf_dir, e) for e in ("customers", "orders", "order_items", "payments")]
+    silver = Silver(spark, sf_dir)
+    t = [silver[e] for e in ("customers", "orders", "order_items", "payments")]
     return plain(marts.customer_360(*t))
 
 
 def q_sales_with_product(spark, sf_dir):
+    silver = Silver(spark, sf_dir)
     lines = marts.sales_lines(
-        silver(spark, sf_dir, "orders"),
-        silver(spark, sf_dir, "order_items"),
+        silver["orders"],
+        silver["order_items"],
         hot_orders=_hot(spark, sf_dir, "order_items", "order_id"),
     )
     hot_products = _hot(spark, sf_dir, "order_items", "product_id")
-    rich = marts.sales_with_product(lines, silver(spark, sf_dir, "products"), hot_products)
+    rich = marts.sales_with_product(lines, silver["products"], hot_products)
     return plain(
         rich.groupBy("category", "subcategory", "brand").agg(
             F.count(F.lit(1)).alias("lines"),
@@ -334,11 +341,11 @@ def q_sales_with_product(spark, sf_dir):
 
 
 def q_order_filter_counts(spark, sf_dir):
-    return report.filter_counts(silver(spark, sf_dir, "orders"), F.col("order_status").isin(*v.COMPLETED_STATUSES))
+    return report.filter_counts(Silver(spark, sf_dir)["orders"], F.col("order_status").isin(*v.COMPLETED_STATUSES))
 
 
 def q_status_counts(spark, sf_dir):
-    kept = silver(spark, sf_dir, "orders").where(F.col("order_status").isin(*v.COMPLETED_STATUSES))
+    kept = Silver(spark, sf_dir)["orders"].where(F.col("order_status").isin(*v.COMPLETED_STATUSES))
     return report.value_counts(kept, "order_status")
 
 
@@ -389,7 +396,14 @@ def q_preview(spark, sf_dir):
     return report.preview(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"])
 
 
-QUERIES = {
+def _tuned(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tune(spark), sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "orders_first_issue": partial(q_labels, entity="orders"),
     "orders_all_issues": q_orders_all_issues,
     "orders_issue_array": q_orders_issue_array,
@@ -453,3 +467,5 @@ QUERIES = {
     "schema_drift_read": q_schema_drift,
     "preview_top10": q_preview,
 }
+
+QUERIES = {name: _tuned(query) for name, query in _QUERIES.items()}

@@ -4,6 +4,8 @@ Each view reads one whole table, renders it as an entity with text columns and p
 arithmetic, so that every rule has rows that break it. Placeholders in braces name the tables.
 """
 
+from ..sources.tables import fan_out, read_table
+
 DIGITS = 9
 AS_OF = "2001-01-01"
 
@@ -37,6 +39,14 @@ def _select(columns: dict[str, str], source: str) -> str:
     return "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in columns.items()) + f" FROM {source}"
 
 
+def _steps(source: str, *steps: dict[str, str]) -> str:
+    """A table with computed columns added step by step, each computed once."""
+    for i, step in enumerate(steps):
+        added = ", ".join(f"{expr} AS {name}" for name, expr in step.items())
+        source = f"(SELECT *, {added} FROM {source}) AS step{i}"
+    return source
+
+
 _STATES = ("Maharashtra", "Gujarat", "Delhi", "Karnataka", "Kerala", "Telangana", "West Bengal", "Bihar", "Punjab")
 
 CUSTOMERS = _select(
@@ -139,10 +149,13 @@ PRODUCTS = _select(
     "{part}",
 )
 
-_TOTAL = "CAST(o_totalprice AS DECIMAL(18,2))"
-_DISCOUNT = f"CAST({_TOTAL} * 0.05 AS DECIMAL(18,2))"
-_TAX = f"CAST({_TOTAL} * 0.10 AS DECIMAL(18,2))"
-_SUBTOTAL = f"CAST({_TOTAL} + {_DISCOUNT} - {_TAX} - 50.00 AS DECIMAL(18,2))"
+_TOTAL, _DISCOUNT, _TAX, _SUBTOTAL = "total", "discount", "tax", "subtotal"
+_PRICED_ORDERS = _steps(
+    "{orders}",
+    {"total": "CAST(o_totalprice AS DECIMAL(18,2))"},
+    {"discount": "CAST(total * 0.05 AS DECIMAL(18,2))", "tax": "CAST(total * 0.10 AS DECIMAL(18,2))"},
+    {"subtotal": "CAST(total + discount - tax - 50.00 AS DECIMAL(18,2))"},
+)
 
 ORDERS = _select(
     {
@@ -189,14 +202,20 @@ ORDERS = _select(
         ),
         "ingest_seq": "o_orderkey",
     },
-    "{orders}",
+    _PRICED_ORDERS,
 )
 
-_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
-_GROSS = f"CAST(CAST(l_quantity AS INT) * {_PRICE} AS DECIMAL(18,2))"
-_LINE_DISCOUNT = f"CAST({_GROSS} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
-_LINE_TAX = f"CAST({_GROSS} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))"
-_LINE_TOTAL = f"CAST({_GROSS} - {_LINE_DISCOUNT} + {_LINE_TAX} AS DECIMAL(18,2))"
+_PRICE, _GROSS, _LINE_DISCOUNT, _LINE_TAX, _LINE_TOTAL = "price", "gross", "discount", "tax", "total"
+_PRICED_LINES = _steps(
+    "{lineitem}",
+    {"price": "CAST(l_extendedprice AS DECIMAL(18,2))"},
+    {"gross": "CAST(CAST(l_quantity AS INT) * price AS DECIMAL(18,2))"},
+    {
+        "discount": "CAST(gross * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))",
+        "tax": "CAST(gross * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))",
+    },
+    {"total": "CAST(gross - discount + tax AS DECIMAL(18,2))"},
+)
 
 # Lines repeat (l_orderkey, l_linenumber); ingest_seq and ingest_sub together order them totally.
 ORDER_ITEMS = _select(
@@ -227,7 +246,7 @@ ORDER_ITEMS = _select(
         "ingest_seq": "l_orderkey * 10 + l_linenumber",
         "ingest_sub": "l_partkey * 10000000 + l_suppkey",
     },
-    "{lineitem}",
+    _PRICED_LINES,
 )
 
 PAYMENTS = _select(
@@ -321,13 +340,22 @@ SOURCE = {
     "inventory": "part",
 }
 
+SPREAD_KEY = {
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+    "part": "p_partkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+}
+
 ORDER_BY = {entity: ["ingest_seq"] for entity in VIEWS} | {"order_items": ["ingest_seq", "ingest_sub"]}
 
 
 def spark_view(spark, sf_dir: str, entity: str):
     """The entity view as a DataFrame."""
     table = SOURCE[entity]
-    return spark.sql(VIEWS[entity], **{table: spark.read.parquet(f"{sf_dir}/{table}.parquet")})
+    rows = fan_out(read_table(spark, sf_dir, table), SPREAD_KEY[table])
+    return spark.sql(VIEWS[entity], **{table: rows})
 
 
 def sql_view(entity: str) -> str:

@@ -60,7 +60,11 @@ def not_a_count(n: Column, low=None, above=None) -> Column:
 def bad_code(c: Column, prefix: str, digits: int, low: int | None = None, high: int | None = None) -> Column:
     """Not prefix + digits, or its number outside low..high."""
     n = code_number(c, prefix, digits)
-    return out_of_range(n, low=low, high=high)
+    if low is not None and high is not None:
+        return ~_known(n.between(low, high))
+    if low is None and high is None:
+        return n.isNull()
+    return ~_known(n >= low if low is not None else n <= high)
 
 
 def exceeds(a: Column, b: Column, or_equals: bool = False) -> Column:

@@ -4,6 +4,9 @@ Key statistics are aggregated first (copies collapse before the shuffle) and joi
 keys spread, so no task ever holds all copies of one key.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import skew
@@ -19,7 +22,7 @@ def _rank(order_by: list[str]) -> Column:
 
 def _repeated(df: DataFrame, keys: list[str], null_keys: str, *aggregates: Column) -> DataFrame:
     if null_keys == "distinct":
-        df = df.dropna(subset=keys)
+        df = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     elif null_keys != "equal":
         raise ValueError(f"null_keys must be 'distinct' or 'equal', not {null_keys!r}")
     grouped = df.groupBy(*[F.col(k).alias(f"_dup_key{i}") for i, k in enumerate(keys)])
@@ -29,6 +32,9 @@ def _repeated(df: DataFrame, keys: list[str], null_keys: str, *aggregates: Colum
 def _attach(df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str) -> DataFrame:
     names = [f"_dup_key{i}" for i in range(len(keys))]
     is_hot = F.col("_copies") >= skew.HOT_ROWS
+    if "_first" in repeated.columns:
+        # Reading every statistic in both branches lets Spark aggregate them once and reuse the exchange.
+        is_hot = is_hot & F.col("_first").isNotNull()
     joined = skew.spread_join(
         df,
         repeated,

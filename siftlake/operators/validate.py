@@ -65,7 +65,18 @@ def prepare(df: DataFrame, ruleset: RuleSet, references: dict[str, DataFrame] |
         usable = F.when(~blank(F.col(lookup.column)), text(F.col(lookup.column)))
         hot = skew.hot_keys(source, usable)
         df = refs.attach(df, references[lookup.table], lookup, hot)
-    return df.withColumns(ruleset.derived) if ruleset.derived else df
+    return parse_once(df, ruleset.derived)
+
+
+def parse_once(df: DataFrame, derived: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters read as values.
+
+    Plain projected columns would be copied into every predicate above them and parsed again for
+    each rule; the output of a generator is computed once per row.
+    """
+    if not derived:
+        return df
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in derived.items()]))))
 
 
 def first_issue(rules) -> Column:
