@@ -220,7 +220,6 @@ def q_ship_before_order(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
     hot = skew.hot_keys(lines, F.col("l_orderkey"))
-    hot = hot.select(F.col("hot_key").cast("bigint").alias("hot_key"))
     joined = skew.spread_join(lines, orders, [("l_orderkey", "order_key")], hot)
     early = p.exceeds(F.col("o_orderdate"), F.col("l_shipdate"))
     return plain(joined.where(early).select(*LINE_KEY, *LINE_ORDER, "l_shipdate", "o_orderdate"))

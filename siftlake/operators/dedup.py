@@ -35,13 +35,14 @@ def _attach(df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str)
     if "_first" in repeated.columns:
         # Reading every statistic in both branches lets Spark aggregate them once and reuse the exchange.
         is_hot = is_hot & F.col("_first").isNotNull()
+    n_buckets = skew.buckets(F.col("_copies"))
     joined = skew.spread_join(
         df,
         repeated,
         list(zip(keys, names)),
-        hot=repeated.where(is_hot).select(*names),
+        hot=repeated.where(is_hot).select(*names, n_buckets.alias(skew.BUCKETS)),
         null_safe=null_keys == "equal",
-        right_hot=is_hot,
+        right_buckets=F.when(is_hot, n_buckets).otherwise(1),
     )
     return joined.drop(*names)
 

@@ -1,24 +1,29 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A hot key's rows are spread over ``SALTS`` join buckets and the matching rows of the other side
-are repeated once per bucket, so results are the same as those of the plain join.
+The rows of a hot key are spread over several join buckets and the matching row of the other side
+is repeated once per bucket, so results are those of the plain join.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 256
-
-# A key with fewer rows than this fits in one task. The number of hot keys is therefore at most
-# total rows / HOT_ROWS, which bounds what is broadcast.
+# Rows one task takes comfortably. A key with more is hot and gets one bucket per HOT_ROWS rows, so
+# hot keys and repeated rows together stay below 2 * total rows / HOT_ROWS: small enough to broadcast.
 HOT_ROWS = 1_000_000
 
 # Frequent-items sketch: keys reported, and counters kept per partition while building it.
 SKETCH_KEYS = 64
 SKETCH_COUNTERS = 8192
 
+BUCKETS = "buckets"
+
+
+def buckets(rows: Column) -> Column:
+    """Number of join buckets for a key with that many rows."""
+    return F.ceil(rows / F.lit(HOT_ROWS)).cast("int")
 
-def hot_keys(df: DataFrame, key: Column, min_rows: int | None = None) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, at most SKETCH_KEYS of them, in a column ``hot_key``.
+
+def hot_keys(df: DataFrame, key: Column) -> DataFrame:
+    """Keys with at least HOT_ROWS rows, at most SKETCH_KEYS of them: ``hot_key`` and ``buckets``.
 
     One narrow pass that shuffles one sketch per partition. A key missed by the sketch costs
     balance, never a row.
@@ -28,8 +33,8 @@ def hot_keys(df: DataFrame, key: Column, min_rows: int | None = None) -> DataFra
         df.select(key.cast("string").alias("item"))
         .agg(sketch.alias("top"))
         .select(F.inline("top").alias("hot_key", "rows"))
-        .where(F.col("rows") >= (HOT_ROWS if min_rows is None else min_rows))
-        .select("hot_key")
+        .where(F.col("rows") >= HOT_ROWS)
+        .select("hot_key", buckets(F.col("rows")).alias(BUCKETS))
     )
 
 
@@ -40,49 +45,53 @@ def spread_join(
     hot: DataFrame,
     how: str = "left",
     null_safe: bool = False,
-    right_hot: Column | None = None,
+    right_buckets: Column | None = None,
 ) -> DataFrame:
-    """Equi-join with the rows of hot keys spread over salted buckets.
+    """Equi-join with the rows of hot keys spread over buckets.
+
+    ``on`` pairs left and right column names; right names must not repeat left ones. ``hot`` holds
+    the hot keys in as many columns as ``on`` has pairs, and their ``buckets``. ``right_buckets``
+    gives the number of buckets on the right side when it can be told there (1 for a cold key);
+    without it the right side is matched with ``hot``. Left rows with a NULL key match nothing
+    (unless ``null_safe``) and are spread as well.
 
-    ``on`` pairs left and right column names. ``hot`` holds the hot keys in as many columns as
-    ``on`` has pairs. ``right_hot`` tells on the right side itself whether its key is hot; without
-    it the right side is matched with ``hot``. Left rows with a NULL key match nothing (unless
-    ``null_safe``) and are spread as well. Right columns must not repeat left names.
+    The bucket of a left row is its partition number: stable when a task is repeated, independent
+    of the row's content (exact copies spread too), and no extra column has to be read for it.
     """
 
     def same(a: Column, b: Column) -> Column:
         return a.eqNullSafe(b) if null_safe else a == b
 
     def mark(df: DataFrame, names: list[str], flag: str) -> DataFrame:
+        keys = [c for c in hot.columns if c != BUCKETS]
+        types = df.select(*names).schema
         renamed = hot.select(
-            *[F.col(c).alias(f"{flag}{i}") for i, c in enumerate(hot.columns)], F.lit(True).alias(flag)
+            *[F.col(k).cast(f.dataType).alias(f"{flag}{i}") for i, (k, f) in enumerate(zip(keys, types))],
+            F.col(BUCKETS).alias(flag),
         )
         cond = [same(df[n], renamed[f"{flag}{i}"]) for i, n in enumerate(names)]
         return df.join(F.broadcast(renamed), cond, "left").drop(*[f"{flag}{i}" for i in range(len(names))])
 
     left_names = [a for a, _ in on]
     right_names = [b for _, b in on]
-    carried = left.columns
 
+    partition = F.spark_partition_id()
     left = mark(left, left_names, "_left_hot")
-    spread = F.col("_left_hot").isNotNull()
+    bucket = F.when(F.col("_left_hot").isNotNull(), F.pmod(partition, F.col("_left_hot")))
     if not null_safe:
         for name in left_names:
-            spread = spread | F.col(name).isNull()
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in carried]), F.lit(SALTS)).cast("int")
-    left = left.withColumn("_salt", F.when(spread, salt).otherwise(0)).drop("_left_hot")
+            bucket = bucket.when(F.col(name).isNull(), partition)
+    left = left.withColumn("_bucket", bucket.otherwise(0)).drop("_left_hot")
 
-    if right_hot is None:
-        kept = right.columns
+    kept = right.columns
+    if right_buckets is None:
         right = mark(right, right_names, "_right_hot")
-        right_hot = F.col("_right_hot").isNotNull()
-    else:
-        kept = right.columns
-    buckets = F.when(right_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = right.select(*kept, F.explode(buckets).alias("_right_salt"))
-
-    cond = [same(left[a], right[b]) for a, b in on] + [left["_salt"] == right["_right_salt"]]
-    return left.join(right, cond, how).drop("_salt", "_right_salt")
+        right_buckets = F.coalesce(F.col("_right_hot"), F.lit(1))
+    numbers = F.when(right_buckets > 1, F.sequence(F.lit(0), right_buckets - 1)).otherwise(F.array(F.lit(0)))
+    right = right.select(*kept, F.explode(numbers).alias("_right_bucket"))
+
+    cond = [same(left[a], right[b]) for a, b in on] + [left["_bucket"] == right["_right_bucket"]]
+    return left.join(right, cond, how).drop("_bucket", "_right_bucket")
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

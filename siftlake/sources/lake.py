@@ -1,5 +1,6 @@
 """Layered lake: one directory per layer and table, Parquet inside."""
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,12 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def work_path(self, table: str) -> str:
-        """Shared folder for intermediate tables: the cluster's checkpoint folder when it names one."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root.rstrip('/')}/work"
-        return f"{base.rstrip('/')}/labelled/{table}"
+        """Intermediate table in the shared folder the cluster names, one place per lake; else in the lake."""
+        shared = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            return f"{self.root.rstrip('/')}/work/{table}"
+        lake_id = hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        return f"{shared.rstrip('/')}/labelled-{lake_id}/{table}"
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
