@@ -469,7 +469,7 @@ _SUBCATEGORIES = """(VALUES ('Mobiles', 'Electronics'), ('Laptops', 'Electronics
  ('Decor', 'Home'), ('Staples', 'Grocery'), ('Snacks', 'Grocery'), ('Beverages', 'Grocery'), ('Skincare', 'Beauty'),
  ('Haircare', 'Beauty'), ('Makeup', 'Beauty')) AS subs(sub, cat)"""
 
-_RANKED = """SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS n,
+_RANKED = """SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS n,
  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem"""
 
 _RICH = "(SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0)"
@@ -519,8 +519,8 @@ def build() -> dict[str, str]:
         "mart_check": mart_check(),
         "dedup_keep_first": "SELECT * EXCLUDE (n, copies) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) "
         f"FROM ({_RANKED}) WHERE n = 1",
-        "dedup_flag_later": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n > 1 AS is_later_copy FROM ({_RANKED})",
-        "dedup_flag_all": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, copies > 1 AS is_repeated FROM ({_RANKED})",
+        "dedup_flag_later": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, n > 1 AS is_later_copy FROM ({_RANKED})",
+        "dedup_flag_all": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, copies > 1 AS is_repeated FROM ({_RANKED})",
         "dedup_exact": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem",
         "ref_exists_flag": flag,
         "ref_exists_broadcast": flag,
@@ -540,9 +540,9 @@ def build() -> dict[str, str]:
         "(SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS line_total FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey "
         "WHERE line_total IS NULL OR line_total <> CAST(o_totalprice AS DECIMAL(18,2))",
         "payment_recheck": payment_recheck(),
-        "line_total_check": f"SELECT ingest_seq, ingest_sub, quantity, unit_price, item_total, CAST(round({product(num('quantity'), num('unit_price'))}, 2) AS DOUBLE) AS computed_total "
+        "line_total_check": f"SELECT ingest_seq, ingest_sub, ingest_day, quantity, unit_price, item_total, CAST(round({product(num('quantity'), num('unit_price'))}, 2) AS DOUBLE) AS computed_total "
         f"FROM {view('order_items')} WHERE round({num('item_total')}, 2) <> round({product(num('quantity'), num('unit_price'))}, 2)",
-        "code_check": f"SELECT ingest_seq, ingest_sub, {no_code('order_id', 'O', 9)} AS bad_order, {no_code('product_id', 'P', 9)} AS bad_product FROM {view('order_items')}",
+        "code_check": f"SELECT ingest_seq, ingest_sub, ingest_day, {no_code('order_id', 'O', 9)} AS bad_order, {no_code('product_id', 'P', 9)} AS bad_product FROM {view('order_items')}",
         "pattern_check": f"SELECT ingest_seq, {unlike('email', EMAIL)} AS bad_email, {unlike('phone', MOBILE)} AS bad_phone, "
         f"{unlike('postal_code', POSTAL)} AS bad_postal_code FROM {view('customers')}",
         "conditional_requirement": f"SELECT ingest_seq, coalesce(payment_status IN ('Success', 'Refunded'), false) AND {blank('transaction_reference')} AS missing_reference, "

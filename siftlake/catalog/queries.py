@@ -17,7 +17,7 @@ from . import oracles
 from .views import AS_OF, DIGITS, ORDER_BY, spark_view
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_ORDER = ["l_partkey", "l_suppkey"]
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -156,12 +156,12 @@ def q_dedup_keep_first(spark, sf_dir):
 
 def q_dedup_flag_later(spark, sf_dir):
     rows = dedup.flag_later_copies(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER, "is_later_copy")
-    return rows.select(*LINE_KEY, *LINE_ORDER, "is_later_copy")
+    return plain(rows.select(*LINE_KEY, *LINE_ORDER, "is_later_copy"))
 
 
 def q_dedup_flag_all(spark, sf_dir):
     rows = dedup.flag_all_copies(table(spark, sf_dir, "lineitem"), LINE_KEY, "is_repeated")
-    return rows.select(*LINE_KEY, *LINE_ORDER, "is_repeated")
+    return plain(rows.select(*LINE_KEY, *LINE_ORDER, "is_repeated"))
 
 
 def q_dedup_exact(spark, sf_dir):
@@ -222,7 +222,7 @@ def q_ship_before_order(spark, sf_dir):
     hot = skew.hot_keys(lines, F.col("l_orderkey"))
     joined = skew.spread_join(lines, orders, [("l_orderkey", "order_key")], hot)
     early = p.exceeds(F.col("o_orderdate"), F.col("l_shipdate"))
-    return plain(joined.where(early).select(*LINE_KEY, *LINE_ORDER, "l_shipdate", "o_orderdate"))
+    return plain(joined.where(early).select(*LINE_KEY, *LINE_ORDER, "o_orderdate"))
 
 
 def q_order_total_reconciliation(spark, sf_dir):

@@ -217,7 +217,7 @@ _PRICED_LINES = _steps(
     {"total": "CAST(gross - discount + tax AS DECIMAL(18,2))"},
 )
 
-# Lines repeat (l_orderkey, l_linenumber); ingest_seq and ingest_sub together order them totally.
+# Lines repeat (l_orderkey, l_linenumber); the three ingest columns together order them totally.
 ORDER_ITEMS = _select(
     {
         "order_item_id": plant(
@@ -245,6 +245,7 @@ ORDER_ITEMS = _select(
         ),
         "ingest_seq": "l_orderkey * 10 + l_linenumber",
         "ingest_sub": "l_partkey * 10000000 + l_suppkey",
+        "ingest_day": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
     },
     _PRICED_LINES,
 )
@@ -348,7 +349,7 @@ SPREAD_KEY = {
     "lineitem": "l_orderkey",
 }
 
-ORDER_BY = {entity: ["ingest_seq"] for entity in VIEWS} | {"order_items": ["ingest_seq", "ingest_sub"]}
+ORDER_BY = {entity: ["ingest_seq"] for entity in VIEWS} | {"order_items": ["ingest_seq", "ingest_sub", "ingest_day"]}
 
 
 def spark_view(spark, sf_dir: str, entity: str):
