@@ -11,6 +11,7 @@ from ..functions import parsing, predicates as p
 from ..operators import dedup, landing, refs, report, skew, validate as dq
 from ..plans import marts
 from ..session import tune
+from ..sources.lake import materialize
 from ..sources.landing import union_drifting
 from ..sources.tables import read_table as table
 from . import oracles
@@ -53,17 +54,18 @@ REFERENCES = {"payments": ("orders",), "inventory": ("products",)}
 
 
 class Silver:
-    """Silver frames for one query, each built once."""
+    """Silver frames for one query, each built once; those named in ``shared`` are materialized."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self.built = spark, sf_dir, {}
+    def __init__(self, spark: SparkSession, sf_dir: str, shared: tuple[str, ...] = ()):
+        self.spark, self.sf_dir, self.shared, self.built = spark, sf_dir, shared, {}
 
     def references(self, entity: str) -> dict[str, DataFrame]:
         return {name: self[name] for name in REFERENCES.get(entity, ())}
 
     def __getitem__(self, entity: str) -> DataFrame:
         if entity not in self.built:
-            self.built[entity] = dq.silver(labelled(self.spark, self.sf_dir, entity, silver=self))
+            rows = dq.silver(labelled(self.spark, self.sf_dir, entity, silver=self))
+            self.built[entity] = materialize(rows, f"silver-{entity}") if entity in self.shared else rows
         return self.built[entity]
 
 
@@ -300,7 +302,7 @@ def _hot(spark, sf_dir, entity, column):
 
 
 def daily(spark, sf_dir, ordered: bool = True):
-    silver = Silver(spark, sf_dir)
+    silver = Silver(spark, sf_dir, shared=("orders",))
     return marts.daily_sales(
         silver["orders"],
         silver["order_items"],
@@ -316,7 +318,7 @@ def q_daily_sales(spark, sf_dir):
 
 
 def q_customer_360(spark, sf_dir):
-    silver = Silver(spark, sf_dir)
+    silver = Silver(spark, sf_dir, shared=("orders",))
     t = [silver[e] for e in ("customers", "orders", "order_items", "payments")]
     return plain(marts.customer_360(*t))
 

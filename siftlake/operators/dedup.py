@@ -9,6 +9,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.lake import materialize
 from . import skew
 
 
@@ -29,8 +30,17 @@ def _repeated(df: DataFrame, keys: list[str], null_keys: str, *aggregates: Colum
     return grouped.agg(F.count(F.lit(1)).alias("_copies"), *aggregates).where("_copies > 1")
 
 
-def _attach(df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str) -> DataFrame:
+def _attach(
+    df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str, broadcast_rows: int | None
+) -> DataFrame:
     names = [f"_dup_key{i}" for i in range(len(keys))]
+    if broadcast_rows is not None:
+        # Few repeated keys: the rows themselves need no shuffle at all.
+        repeated = materialize(repeated, "repeated-keys")
+        side = skew.bounded_broadcast(repeated, broadcast_rows)
+        if side is not repeated:
+            equal = [df[k].eqNullSafe(side[n]) if null_keys == "equal" else df[k] == side[n] for k, n in zip(keys, names)]
+            return df.join(side, equal, "left").drop(*names)
     is_hot = F.col("_copies") >= skew.HOT_ROWS
     if "_first" in repeated.columns:
         # Reading every statistic in both branches lets Spark aggregate them once and reuse the exchange.
@@ -47,23 +57,34 @@ def _attach(df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str)
     return joined.drop(*names)
 
 
-def flag_later_copies(df: DataFrame, keys, order_by, flag: str = "_duplicate", null_keys: str = "distinct") -> DataFrame:
+def flag_later_copies(
+    df: DataFrame,
+    keys,
+    order_by,
+    flag: str = "_duplicate",
+    null_keys: str = "distinct",
+    broadcast_rows: int | None = None,
+) -> DataFrame:
     """Add a boolean column that is true for every copy of a key after its first.
 
-    ``order_by`` must order the copies of a key totally. ``null_keys="distinct"`` never calls a row
-    with a NULL key a duplicate; ``"equal"`` treats NULL keys as one key.
+    ``order_by`` must order the copies of a key totally (``order_ties`` finds violations).
+    ``null_keys="distinct"`` never calls a row with a NULL key a duplicate; ``"equal"`` treats NULL
+    keys as one key. With ``broadcast_rows`` the repeated keys are found and counted first, and
+    broadcast when they are few enough.
     """
     keys, order_by = _names(keys), _names(order_by)
     rank = _rank(order_by)
     repeated = _repeated(df, keys, null_keys, F.min(rank).alias("_first"))
-    out = _attach(df, repeated, keys, null_keys)
+    out = _attach(df, repeated, keys, null_keys, broadcast_rows)
     return out.withColumn(flag, F.coalesce(rank > F.col("_first"), F.lit(False))).drop("_first", "_copies")
 
 
-def flag_all_copies(df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "equal") -> DataFrame:
+def flag_all_copies(
+    df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "equal", broadcast_rows: int | None = None
+) -> DataFrame:
     """Add a boolean column that is true for every copy of a repeated key, the first included."""
     keys = _names(keys)
-    out = _attach(df, _repeated(df, keys, null_keys), keys, null_keys)
+    out = _attach(df, _repeated(df, keys, null_keys), keys, null_keys, broadcast_rows)
     return out.withColumn(flag, F.col("_copies").isNotNull()).drop("_copies")
 
 

@@ -46,8 +46,18 @@ class RuleSet:
         return [r.label for r in self.rules]
 
 
-def prepare(df: DataFrame, ruleset: RuleSet, references: dict[str, DataFrame] | None = None, order_by=None) -> DataFrame:
-    """Add the helper columns the rules read: duplicate flag, reference attributes, parsed values."""
+def prepare(
+    df: DataFrame,
+    ruleset: RuleSet,
+    references: dict[str, DataFrame] | None = None,
+    order_by=None,
+    broadcast_rows: int | None = None,
+    unique_references: bool = False,
+) -> DataFrame:
+    """Add the helper columns the rules read: duplicate flag, reference attributes, parsed values.
+
+    ``broadcast_rows`` and ``unique_references`` are passed on to the duplicate flag and the lookups.
+    """
     source = df = df.drop(ISSUE)
     if ruleset.duplicates:
         keyed = ruleset.key
@@ -55,16 +65,16 @@ def prepare(df: DataFrame, ruleset: RuleSet, references: dict[str, DataFrame] |
             keyed = "_duplicate_key"
             df = df.withColumn(keyed, ruleset.duplicate_key)
         if ruleset.duplicates == "all":
-            df = dedup.flag_all_copies(df, keyed, DUPLICATE, ruleset.null_keys)
+            df = dedup.flag_all_copies(df, keyed, DUPLICATE, ruleset.null_keys, broadcast_rows)
         elif order_by is None:
             raise ValueError("order_by is required to tell the first copy of a key from later ones")
         else:
-            df = dedup.flag_later_copies(df, keyed, order_by, DUPLICATE, ruleset.null_keys)
+            df = dedup.flag_later_copies(df, keyed, order_by, DUPLICATE, ruleset.null_keys, broadcast_rows)
         df = df.drop("_duplicate_key")
     for lookup in ruleset.lookups:
         usable = F.when(~blank(F.col(lookup.column)), text(F.col(lookup.column)))
         hot = skew.hot_keys(source, usable)
-        df = refs.attach(df, references[lookup.table], lookup, hot)
+        df = refs.attach(df, references[lookup.table], lookup, hot, unique_references)
     return parse_once(df, ruleset.derived)
 
 

@@ -30,13 +30,25 @@ class EntityResult:
         return self.total - self.invalid
 
 
+# Repeated keys are broadcast up to this many; a key and its statistics take about 100 bytes.
+BROADCAST_KEYS = 1_000_000
+
+
 def promote(
-    lake: Lake, ruleset: RuleSet, references: dict[str, DataFrame] | None = None, order_by=None, extra_columns=()
+    lake: Lake,
+    ruleset: RuleSet,
+    references: dict[str, DataFrame] | None = None,
+    order_by=None,
+    extra_columns=(),
+    unique_references: bool = False,
 ) -> EntityResult:
-    """Validate bronze and write silver and quarantine: three jobs, one validation."""
+    """Validate bronze and write silver and quarantine in one validation and two copies.
+
+    ``unique_references`` may be set when the references are silver tables of this lake.
+    """
     bronze = lake.read("bronze", ruleset.entity)
     columns = [*ruleset.columns, *extra_columns]
-    prepared = prepare(bronze, ruleset, references, order_by)
+    prepared = prepare(bronze, ruleset, references, order_by, BROADCAST_KEYS, unique_references)
 
     seen = Observation()
     label = issue(ruleset)

@@ -1,6 +1,7 @@
 """Layered lake: one directory per layer and table, Parquet inside."""
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,26 @@ from pyspark.sql.types import StructType
 LAYERS = ("raw", "bronze", "silver", "dq", "gold")
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder for intermediate tables that every executor reaches, as named by the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else None
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several branches read to the shared folder and read it back.
+
+    Later stages then start from a table instead of recomputing the frame, also after an executor
+    is lost. Without a shared folder the frame is returned as it is.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Paths, reads and writes below one root folder."""
@@ -23,11 +44,11 @@ class Lake:
 
     def work_path(self, table: str) -> str:
         """Intermediate table in the shared folder the cluster names, one place per lake; else in the lake."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not shared:
+        shared = shared_folder(self.spark)
+        if shared is None:
             return f"{self.root.rstrip('/')}/work/{table}"
         lake_id = hashlib.sha256(self.root.encode()).hexdigest()[:16]
-        return f"{shared.rstrip('/')}/labelled-{lake_id}/{table}"
+        return f"{shared}/labelled-{lake_id}/{table}"
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)

@@ -70,6 +70,8 @@ def test_later_copies_equal_row_number(spark, low_threshold, null_keys):
     if null_keys == "distinct":
         later = later & F.col("key").isNotNull()
     same_rows(got, df.withColumn("dup", later))
+    for rows in (10_000, 10):
+        same_rows(dedup.flag_later_copies(df, "key", "seq", "dup", null_keys, broadcast_rows=rows), got)
 
 
 def test_later_copies_with_two_keys_and_two_order_columns(spark, low_threshold):
@@ -85,6 +87,7 @@ def test_all_copies_equal_window_count(spark, low_threshold, null_keys):
     got = dedup.flag_all_copies(df, "key", "dup", null_keys)
     n = F.count(F.lit(1) if null_keys == "equal" else F.col("key")).over(Window.partitionBy("key"))
     same_rows(got, df.withColumn("dup", n > 1))
+    same_rows(dedup.flag_all_copies(df, "key", "dup", null_keys, broadcast_rows=10_000), got)
 
 
 def test_keep_first_and_exact_copies(spark):
@@ -124,3 +127,21 @@ def test_broadcast_is_checked(spark):
     small, large = spark.range(5), spark.range(50)
     assert skew.bounded_broadcast(large, 10) is large
     assert skew.bounded_broadcast(small, 10) is not small
+
+
+def test_unique_reference_gives_the_same_lookup(spark, low_threshold):
+    df = hot_table(spark)
+    ref = spark.createDataFrame([("hot", 1), ("k4", 7), ("k5", 8)], "ref string, v int")
+    lookup = refs.Lookup("r", "key", "ref", "found", {"v": F.col("v")})
+    same_rows(refs.attach(df, ref, lookup, unique=True), refs.attach(df, ref, lookup))
+    bare = refs.Lookup("r", "key", "ref", "found")
+    same_rows(refs.attach(df, ref, bare, unique=True), refs.attach(df, ref, bare))
+
+
+def test_vocabulary_beyond_the_broadcast_bound(spark, low_threshold, monkeypatch):
+    df = hot_table(spark).withColumn("part", (F.col("seq") % 2).cast("string"))
+    words = spark.createDataFrame([("hot", "0"), ("k4", "0"), (None, "1")], "key string, part string")
+    small = refs.outside_vocabulary(df, words, ["key", "part"]).select("seq", "key", "part")
+    monkeypatch.setattr(skew, "bounded_broadcast", lambda side, max_rows=0: side)
+    same_rows(refs.outside_vocabulary(df, words, ["key", "part"]).select("seq", "key", "part"), small)
+    assert small.count() == df.where("key is null or not (part = '0' and key in ('hot', 'k4'))").count()
