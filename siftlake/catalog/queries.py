@@ -222,7 +222,7 @@ def q_ship_before_order(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
     hot = skew.hot_keys(lines, F.col("l_orderkey"))
-    joined = skew.spread_join(lines, orders, [("l_orderkey", "order_key")], hot)
+    joined = skew.spread_lookup(lines, orders, "l_orderkey", "order_key", hot)
     early = p.exceeds(F.col("o_orderdate"), F.col("l_shipdate"))
     return plain(joined.where(early).select(*LINE_KEY, *LINE_ORDER, "o_orderdate"))
 
@@ -248,7 +248,8 @@ def q_payment_recheck(spark, sf_dir):
     lookup = refs.Lookup("orders", "order_id", "order_id", "_found", total)
     payments = labelled(spark, sf_dir, "payments")
     orders = spark_view(spark, sf_dir, "orders")
-    wrong = refs.reconcile(payments, orders, lookup, parsing.number(F.col("amount")), "order_total")
+    hot = _hot(spark, sf_dir, "payments", "order_id")
+    wrong = refs.reconcile(payments, orders, lookup, parsing.number(F.col("amount")), "order_total", hot)
     return plain(wrong.select("payment_id", "amount", "order_total"))
 
 

@@ -30,6 +30,12 @@ def _repeated(df: DataFrame, keys: list[str], null_keys: str, *aggregates: Colum
     return grouped.agg(F.count(F.lit(1)).alias("_copies"), *aggregates).where("_copies > 1")
 
 
+def _equal(left: DataFrame, right: DataFrame, keys: list[str], names: list[str], null_keys: str) -> list[Column]:
+    if null_keys == "equal":
+        return [left[k].eqNullSafe(right[n]) for k, n in zip(keys, names)]
+    return [left[k] == right[n] for k, n in zip(keys, names)]
+
+
 def _attach(
     df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str, broadcast_rows: int | None
 ) -> DataFrame:
@@ -39,22 +45,25 @@ def _attach(
         repeated = materialize(repeated, "repeated-keys")
         side = skew.bounded_broadcast(repeated, broadcast_rows)
         if side is not repeated:
-            equal = [df[k].eqNullSafe(side[n]) if null_keys == "equal" else df[k] == side[n] for k, n in zip(keys, names)]
-            return df.join(side, equal, "left").drop(*names)
+            return df.join(side, _equal(df, side, keys, names, null_keys), "left").drop(*names)
     is_hot = F.col("_copies") >= skew.HOT_ROWS
     if "_first" in repeated.columns:
         # Reading every statistic in both branches lets Spark aggregate them once and reuse the exchange.
         is_hot = is_hot & F.col("_first").isNotNull()
     n_buckets = skew.buckets(F.col("_copies"))
+
+    # At most total rows / HOT_ROWS keys are hot, which bounds this broadcast.
+    hot = repeated.where(is_hot).select(*[F.col(n).alias(f"_hot{n}") for n in names], n_buckets.alias("_buckets"))
+    marked = df.join(F.broadcast(hot), _equal(df, hot, keys, [f"_hot{n}" for n in names], null_keys), "left")
     joined = skew.spread_join(
-        df,
+        marked.drop(*[f"_hot{n}" for n in names]),
         repeated,
         list(zip(keys, names)),
-        hot=repeated.where(is_hot).select(*names, n_buckets.alias(skew.BUCKETS)),
-        null_safe=null_keys == "equal",
+        left_buckets=F.col("_buckets"),
         right_buckets=F.when(is_hot, n_buckets).otherwise(1),
+        null_safe=null_keys == "equal",
     )
-    return joined.drop(*names)
+    return joined.drop(*names, "_buckets")
 
 
 def flag_later_copies(

@@ -48,7 +48,7 @@ def _unique_reference(ref: DataFrame, lookup: Lookup, unique: bool) -> DataFrame
 
 
 def attach(
-    df: DataFrame, ref: DataFrame, lookup: Lookup, hot: DataFrame | None = None, unique: bool = False
+    df: DataFrame, ref: DataFrame, lookup: Lookup, hot: dict[str, int] | None = None, unique: bool = False
 ) -> DataFrame:
     """Add the existence flag and the reference attributes to every row; no row is lost or repeated.
 
@@ -59,7 +59,7 @@ def attach(
     if hot is None:
         hot = skew.hot_keys(df, usable)
     left = df.withColumn("_lookup_key", usable)
-    out = skew.spread_join(left, _unique_reference(ref, lookup, unique), [("_lookup_key", "_ref_key")], hot)
+    out = skew.spread_lookup(left, _unique_reference(ref, lookup, unique), "_lookup_key", "_ref_key", hot)
     return out.withColumn(lookup.found, F.coalesce(F.col(lookup.found), F.lit(False))).drop("_lookup_key", "_ref_key")
 
 
@@ -80,13 +80,13 @@ def exists_flag(
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def orphans(df: DataFrame, ref: DataFrame, column: str, key: str, hot: DataFrame | None = None) -> DataFrame:
+def orphans(df: DataFrame, ref: DataFrame, column: str, key: str, hot: dict[str, int] | None = None) -> DataFrame:
     """Rows whose id does not exist in the reference, NULL and blank ids included."""
     usable = F.when(~blank(F.col(column)), text(F.col(column)))
     if hot is None:
         hot = skew.hot_keys(df, usable)
     left = df.withColumn("_lookup_key", usable)
-    out = skew.spread_join(left, reference_keys(ref, key), [("_lookup_key", "_ref_key")], hot, how="left_anti")
+    out = skew.spread_lookup(left, reference_keys(ref, key), "_lookup_key", "_ref_key", hot, how="left_anti")
     return out.drop("_lookup_key")
 
 
@@ -100,11 +100,13 @@ def outside_vocabulary(df: DataFrame, vocabulary: DataFrame, columns: list[str])
     key = F.when(known, F.to_json(F.struct(*columns)))
     left = df.withColumn("_pair", key)
     right = pairs.where(known).select(key.alias("_known_pair"))
-    return skew.spread_join(left, right, [("_pair", "_known_pair")], skew.hot_keys(df, key), "left_anti").drop("_pair")
+    return skew.spread_lookup(left, right, "_pair", "_known_pair", skew.hot_keys(df, key), "left_anti").drop("_pair")
 
 
-def reconcile(df: DataFrame, ref: DataFrame, lookup: Lookup, stated: Column, expected: str) -> DataFrame:
+def reconcile(
+    df: DataFrame, ref: DataFrame, lookup: Lookup, stated: Column, expected: str, hot: dict[str, int] | None = None
+) -> DataFrame:
     """Rows whose stated amount differs from the reference amount, or whose reference is missing."""
-    joined = attach(df, ref, lookup)
+    joined = attach(df, ref, lookup, hot)
     wrong = F.col(expected).isNull() | F.coalesce(F.round(stated, 2) != F.round(F.col(expected), 2), F.lit(False))
     return joined.where(wrong)

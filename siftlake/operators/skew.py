@@ -14,86 +14,76 @@ HOT_ROWS = 1_000_000
 SKETCH_KEYS = 64
 SKETCH_COUNTERS = 8192
 
-BUCKETS = "buckets"
-
 
 def buckets(rows: Column) -> Column:
     """Number of join buckets for a key with that many rows."""
     return F.ceil(rows / F.lit(HOT_ROWS)).cast("int")
 
 
-def hot_keys(df: DataFrame, key: Column) -> DataFrame:
-    """Keys with at least HOT_ROWS rows, at most SKETCH_KEYS of them: ``hot_key`` and ``buckets``.
+def hot_keys(df: DataFrame, key: Column) -> dict[str, int]:
+    """Keys with at least HOT_ROWS rows and their number of buckets; at most SKETCH_KEYS keys.
 
-    One narrow pass that shuffles one sketch per partition. A key missed by the sketch costs
-    balance, never a row.
+    Runs one narrow pass that shuffles one sketch per partition. The result is fixed here, as both
+    sides of a join must agree on it and a sketch may differ between two runs. A key missed by the
+    sketch costs balance, never a row.
     """
     sketch = F.call_function("approx_top_k", F.col("item"), F.lit(SKETCH_KEYS), F.lit(SKETCH_COUNTERS))
-    return (
+    top = (
         df.select(key.cast("string").alias("item"))
         .agg(sketch.alias("top"))
         .select(F.inline("top").alias("hot_key", "rows"))
-        .where(F.col("rows") >= HOT_ROWS)
-        .select("hot_key", buckets(F.col("rows")).alias(BUCKETS))
+        .where((F.col("rows") >= HOT_ROWS) & F.col("hot_key").isNotNull())
+        .select("hot_key", buckets(F.col("rows")).alias("buckets"))
     )
+    return {r.hot_key: r.buckets for r in top.limit(SKETCH_KEYS).collect()}
+
+
+def buckets_of(key: Column, hot: dict[str, int]) -> Column:
+    """Buckets of a key, 1 unless it is hot."""
+    if not hot:
+        return F.lit(1)
+    table = F.create_map(*[F.lit(item) for pair in hot.items() for item in pair])
+    return F.coalesce(F.try_element_at(table, key.cast("string")), F.lit(1))
 
 
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: list[tuple[str, str]],
-    hot: DataFrame,
+    left_buckets: Column,
+    right_buckets: Column,
     how: str = "left",
     null_safe: bool = False,
-    right_buckets: Column | None = None,
 ) -> DataFrame:
     """Equi-join with the rows of hot keys spread over buckets.
 
-    ``on`` pairs left and right column names; right names must not repeat left ones. ``hot`` holds
-    the hot keys in as many columns as ``on`` has pairs, and their ``buckets``. ``right_buckets``
-    gives the number of buckets on the right side when it can be told there (1 for a cold key);
-    without it the right side is matched with ``hot``. Left rows with a NULL key match nothing
-    (unless ``null_safe``) and are spread as well.
+    ``on`` pairs left and right column names; right names must not repeat left ones. The bucket
+    columns give the number of buckets of the row's key and must agree for equal keys. Left rows
+    with a NULL key match nothing (unless ``null_safe``) and are spread as well.
 
-    The bucket of a left row is its partition number: stable when a task is repeated, independent
-    of the row's content (exact copies spread too), and no extra column has to be read for it.
+    The bucket of a left row follows from its partition number: stable when a task is repeated,
+    independent of the row's content (exact copies spread too), and no extra column is read for it.
     """
-
-    def same(a: Column, b: Column) -> Column:
-        return a.eqNullSafe(b) if null_safe else a == b
-
-    def mark(df: DataFrame, names: list[str], flag: str) -> DataFrame:
-        keys = [c for c in hot.columns if c != BUCKETS]
-        types = df.select(*names).schema
-        renamed = hot.select(
-            *[F.col(k).cast(f.dataType).alias(f"{flag}{i}") for i, (k, f) in enumerate(zip(keys, types))],
-            F.col(BUCKETS).alias(flag),
-        )
-        cond = [same(df[n], renamed[f"{flag}{i}"]) for i, n in enumerate(names)]
-        return df.join(F.broadcast(renamed), cond, "left").drop(*[f"{flag}{i}" for i in range(len(names))])
-
-    left_names = [a for a, _ in on]
-    right_names = [b for _, b in on]
-
     partition = F.spark_partition_id()
-    left = mark(left, left_names, "_left_hot")
-    bucket = F.when(F.col("_left_hot").isNotNull(), F.pmod(partition, F.col("_left_hot")))
+    bucket = F.when(left_buckets > 1, F.pmod(partition, left_buckets))
     if not null_safe:
-        for name in left_names:
+        for name, _ in on:
             bucket = bucket.when(F.col(name).isNull(), partition)
-    left = left.withColumn("_bucket", bucket.otherwise(0)).drop("_left_hot")
+    left = left.withColumn("_bucket", bucket.otherwise(0))
 
-    kept = right.columns
-    if right_buckets is None:
-        right = mark(right, right_names, "_right_hot")
-        right_buckets = F.coalesce(F.col("_right_hot"), F.lit(1))
     numbers = F.when(right_buckets > 1, F.sequence(F.lit(0), right_buckets - 1)).otherwise(F.array(F.lit(0)))
-    right = right.select(*kept, F.explode(numbers).alias("_right_bucket"))
+    right = right.select("*", F.explode(numbers).alias("_right_bucket"))
 
-    cond = [same(left[a], right[b]) for a, b in on] + [left["_bucket"] == right["_right_bucket"]]
+    cond = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in on]
+    cond.append(left["_bucket"] == right["_right_bucket"])
     return left.join(right, cond, how).drop("_bucket", "_right_bucket")
 
 
+def spread_lookup(left: DataFrame, right: DataFrame, key: str, ref: str, hot: dict[str, int], how: str = "left") -> DataFrame:
+    """``spread_join`` on one key whose hot values are known."""
+    return spread_join(left, right, [(key, ref)], buckets_of(F.col(key), hot), buckets_of(F.col(ref), hot), how)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint for a side checked to have at most ``max_rows`` rows; otherwise unchanged."""
     if df.limit(max_rows + 1).count() <= max_rows:

@@ -95,7 +95,7 @@ def customer_360(
     return mart.orderBy("customer_id") if ordered else mart
 
 
-def sales_lines(orders: DataFrame, order_items: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
+def sales_lines(orders: DataFrame, order_items: DataFrame, hot_orders: dict[str, int] | None = None) -> DataFrame:
     """Lines of completed orders with parsed amounts, gross amount and sales date.
 
     ``hot_orders`` may pass the hot order ids when they are known from a cheaper frame.
@@ -118,10 +118,10 @@ def sales_lines(orders: DataFrame, order_items: DataFrame, hot_orders: DataFrame
         F.to_date(timestamp(c("order_date"))).alias("sales_date"),
     )
     hot = skew.hot_keys(order_items, c("order_id")) if hot_orders is None else hot_orders
-    return skew.spread_join(lines, eligible, [("order_id", "_order")], hot, how="inner").drop("_order")
+    return skew.spread_lookup(lines, eligible, "order_id", "_order", hot, how="inner").drop("_order")
 
 
-def sales_with_product(lines: DataFrame, products: DataFrame, hot_products: DataFrame | None = None) -> DataFrame:
+def sales_with_product(lines: DataFrame, products: DataFrame, hot_products: dict[str, int] | None = None) -> DataFrame:
     """Sales lines with category, subcategory and brand; lines without a known product keep NULLs."""
     attributes = {n: F.col(n) for n in ("category", "subcategory", "brand")}
     lookup = refs.Lookup("products", "product_id", "product_id", "_product_found", attributes)
@@ -143,7 +143,7 @@ def daily_sales(
     order_items: DataFrame,
     payments: DataFrame,
     item_ids_unique: bool = False,
-    hot_orders: DataFrame | None = None,
+    hot_orders: dict[str, int] | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """One row per day with a completed sale.

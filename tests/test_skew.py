@@ -28,13 +28,13 @@ def same_rows(a, b):
 
 
 def test_sketch_finds_the_hot_key(spark, low_threshold):
-    found = {r.hot_key: r.buckets for r in skew.hot_keys(hot_table(spark), F.col("key")).collect()}
+    found = skew.hot_keys(hot_table(spark), F.col("key"))
     assert found["hot"] == 20
     assert len(found) <= skew.SKETCH_KEYS
 
 
 def test_no_hot_key_in_uniform_data(spark):
-    assert skew.hot_keys(hot_table(spark), F.col("key")).count() == 0
+    assert skew.hot_keys(hot_table(spark), F.col("key")) == {}
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
@@ -42,7 +42,7 @@ def test_spread_join_equals_plain_join(spark, low_threshold, how):
     left = hot_table(spark)
     right = left.where("seq % 2 = 0").select(F.col("key").alias("ref")).distinct().withColumn("v", F.length("ref"))
     hot = skew.hot_keys(left, F.col("key"))
-    got = skew.spread_join(left, right, [("key", "ref")], hot, how=how)
+    got = skew.spread_lookup(left, right, "key", "ref", hot, how)
     same_rows(got, left.join(right, F.col("key") == F.col("ref"), how))
 
 
@@ -53,7 +53,7 @@ def test_hot_rows_are_spread_over_tasks(spark, low_threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.spread_join(left, right, [("key", "ref")], hot)
+        joined = skew.spread_lookup(left, right, "key", "ref", hot)
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
