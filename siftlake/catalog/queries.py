@@ -3,7 +3,7 @@
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
 from .. import entities
 from ..entities import schemas, vocabulary as v
@@ -30,8 +30,8 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, (TimestampNTZType, TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, TimestampNTZType):
+            c = c.cast("string")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 

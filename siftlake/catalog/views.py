@@ -88,7 +88,7 @@ CUSTOMERS = _select(
 SELLERS = _select(
     {
         "seller_id": plant(code("S", "s_suppkey"), "s_suppkey", 50, "NULL", "''", code("S", "s_suppkey + 1")),
-        "seller_name": plant("s_name", "(s_suppkey + 47)", 50, "' '"),
+        "seller_name": plant("s_name", "(s_suppkey + 20)", 50, "' '"),
         "email": plant("'shop' || CAST(s_suppkey AS STRING) || '@example.com'", "(s_suppkey + 46)", 50, "'shop'", "NULL"),
         "phone": plant("'8' || lpad(CAST(s_suppkey AS STRING), 9, '0')", "(s_suppkey + 44)", 50, "'12345'", "NULL"),
         "city": plant("'City ' || CAST(s_nationkey AS STRING)", "(s_suppkey + 42)", 50, "NULL"),
