@@ -13,7 +13,7 @@ from ..plans import marts
 from ..session import tune
 from ..sources.lake import materialize
 from ..sources.landing import union_drifting
-from ..sources.tables import read_table as table
+from ..sources.tables import fan_out, read_table as table
 from . import oracles
 from .views import AS_OF, DIGITS, ORDER_BY, spark_view
 
@@ -21,6 +21,11 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
 
+def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, spread by order when the table is too small to have a split per core."""
+    return fan_out(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and timestamps as text, so results compare across engines."""
     columns = []
@@ -122,11 +127,11 @@ def q_null_profile(spark, sf_dir):
 
 
 def q_repeated_keys(spark, sf_dir):
-    return report.repeated_keys(table(spark, sf_dir, "lineitem"), LINE_KEY)
+    return report.repeated_keys(line_table(spark, sf_dir), LINE_KEY)
 
 
 def q_repeated_key_summary(spark, sf_dir):
-    return report.repeated_key_summary(table(spark, sf_dir, "lineitem"), LINE_KEY)
+    return report.repeated_key_summary(line_table(spark, sf_dir), LINE_KEY)
 
 
 def q_negative_counts(spark, sf_dir):
@@ -153,21 +158,21 @@ def q_mart_check(spark, sf_dir):
 
 
 def q_dedup_keep_first(spark, sf_dir):
-    return plain(dedup.keep_first(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER))
+    return plain(dedup.keep_first(line_table(spark, sf_dir), LINE_KEY, LINE_ORDER))
 
 
 def q_dedup_flag_later(spark, sf_dir):
-    rows = dedup.flag_later_copies(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER, "is_later_copy")
+    rows = dedup.flag_later_copies(line_table(spark, sf_dir), LINE_KEY, LINE_ORDER, "is_later_copy")
     return plain(rows.select(*LINE_KEY, *LINE_ORDER, "is_later_copy"))
 
 
 def q_dedup_flag_all(spark, sf_dir):
-    rows = dedup.flag_all_copies(table(spark, sf_dir, "lineitem"), LINE_KEY, "is_repeated")
+    rows = dedup.flag_all_copies(line_table(spark, sf_dir), LINE_KEY, "is_repeated")
     return plain(rows.select(*LINE_KEY, *LINE_ORDER, "is_repeated"))
 
 
 def q_dedup_exact(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    lines = line_table(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     return dedup.drop_exact_copies(lines)
 
 
@@ -219,7 +224,7 @@ def q_taxonomy_check(spark, sf_dir):
 
 
 def q_ship_before_order(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = line_table(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
     hot = skew.hot_keys(lines, F.col("l_orderkey"))
     joined = skew.spread_lookup(lines, orders, "l_orderkey", "order_key", hot)
@@ -231,7 +236,7 @@ def q_order_total_reconciliation(spark, sf_dir):
     """Orders whose total differs from the sum of their lines."""
     price = parsing.number(F.col("l_extendedprice"))
     computed = (
-        table(spark, sf_dir, "lineitem")
+        line_table(spark, sf_dir)
         .groupBy("l_orderkey")
         .agg(parsing.money(F.sum(price)).alias("line_total"))
     )
