@@ -17,8 +17,17 @@ def _names(value) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def _ordering(order_by: list[str]) -> list[Column]:
+    """Fields that sort like the columns, NULL last."""
+    fields = []
+    for i, name in enumerate(order_by):
+        fields += [F.col(name).isNull().alias(f"_unknown{i}"), F.col(name).alias(f"_order{i}")]
+    return fields
+
+
 def _rank(order_by: list[str]) -> Column:
-    return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    """Comparable arrival rank; a single column stays plain, so that its minimum is a hash aggregate."""
+    return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*_ordering(order_by))
 
 
 def _repeated(df: DataFrame, keys: list[str], null_keys: str, *aggregates: Column) -> DataFrame:
@@ -85,7 +94,9 @@ def flag_later_copies(
     rank = _rank(order_by)
     repeated = _repeated(df, keys, null_keys, F.min(rank).alias("_first"))
     out = _attach(df, repeated, keys, null_keys, broadcast_rows)
-    return out.withColumn(flag, F.coalesce(rank > F.col("_first"), F.lit(False))).drop("_first", "_copies")
+    # A row of unknown rank comes after every ranked copy of its key.
+    later = F.coalesce(rank > F.col("_first"), F.col("_first").isNotNull())
+    return out.withColumn(flag, later).drop("_first", "_copies")
 
 
 def flag_all_copies(
@@ -100,8 +111,8 @@ def flag_all_copies(
 def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     """One row per key, the lowest by ``order_by``, in a single aggregation."""
     keys, order_by = _names(keys), _names(order_by)
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    first = F.min(F.struct(*order_by, *rest)).alias("_row")
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min(F.struct(*_ordering(order_by), *rest)).alias("_row")
     out = df.groupBy(*keys).agg(first)
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from .. import entities
 from ..operators import report
 from ..operators.validate import ISSUE, RuleSet, issue, prepare
 from ..sources.lake import Lake
@@ -41,12 +42,13 @@ def promote(
     order_by=None,
     extra_columns=(),
     unique_references: bool = False,
+    schema=None,
 ) -> EntityResult:
     """Validate bronze and write silver and quarantine in one validation and two copies.
 
     ``unique_references`` may be set when the references are silver tables of this lake.
     """
-    bronze = lake.read("bronze", ruleset.entity)
+    bronze = lake.read("bronze", ruleset.entity, schema)
     columns = [*ruleset.columns, *extra_columns]
     prepared = prepare(bronze, ruleset, references, order_by, BROADCAST_KEYS, unique_references)
 
@@ -69,6 +71,25 @@ def promote(
     return EntityResult(values["rows"], values["invalid"], per_rule)
 
 
+def promote_all(lake: Lake, as_of, order_by) -> dict[str, EntityResult]:
+    """Every entity from raw to silver and quarantine, references before the tables that use them."""
+    rulesets = [
+        entities.customers(as_of),
+        entities.sellers(as_of),
+        entities.products_strict(as_of),
+        entities.orders(as_of),
+        entities.order_items(),
+        entities.payments(as_of),
+        entities.inventory(as_of),
+    ]
+    results = {}
+    for ruleset in rulesets:
+        lake.copy(ruleset.entity)
+        references = {lookup.table: lake.read("silver", lookup.table) for lookup in ruleset.lookups}
+        results[ruleset.entity] = promote(lake, ruleset, references, order_by)
+    return results
+
+
 def build_marts(lake: Lake) -> None:
     """Write both gold marts from the silver tables."""
     t = lake.read_all("silver", ("customers", "orders", "order_items", "payments"))

@@ -84,6 +84,30 @@ def test_counts_agree_with_layers(lake):
     assert results["payments"].rule_counts["amount_mismatch_with_order"] == 1
 
 
+def test_promote_all(spark, tmp_path):
+    """Quarantined references do not count: payments of a bad order and stock of a bad product fall too."""
+    lake = Lake(spark, str(tmp_path))
+    raw = {
+        "customers": [{}], "sellers": [{}, {"seller_id": "S00002", "seller_rating": 9.0}],
+        "products": [{}, {"product_id": "P000002", "category": "Gadgets"}],
+        "orders": [{}, {"order_id": "O000002", "tax_amount": "x"}],
+        "order_items": [{}],
+        "payments": [{}, {"payment_id": "T2", "order_id": "O000002"}],
+        "inventory": [{}, {"inventory_id": "V2", "product_id": "P000002"}],
+    }
+    for name, rows in raw.items():
+        lake.write(frame(spark, name, rows), "raw", name)
+    results = flow.promote_all(lake, "2026-08-01", "ingest_seq")
+    assert {n: (r.valid, r.invalid) for n, r in results.items()} == {
+        "customers": (1, 0), "sellers": (1, 1), "products": (1, 1), "orders": (1, 1), "order_items": (1, 0),
+        "payments": (1, 1), "inventory": (1, 1),
+    }
+    assert results["payments"].rule_counts["invalid_order_id"] == 1
+    assert results["inventory"].rule_counts["invalid_product_id"] == 1
+    flow.build_marts(lake)
+    assert lake.read("gold", "customer_360").count() == 1 and lake.read("gold", "daily_sales").count() == 1
+
+
 def test_promotion_needs_three_write_jobs(spark, lake):
     lake, _ = lake
     spark.sparkContext.setJobGroup("promotion", "")

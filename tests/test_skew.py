@@ -97,6 +97,13 @@ def test_keep_first_and_exact_copies(spark):
     assert dedup.drop_exact_copies(df.unionByName(df)).count() == df.count()
 
 
+def test_unknown_arrival_comes_last(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("a", 7, 3), ("b", None, 4)], "k string, seq int, id int")
+    assert {r.id for r in dedup.flag_later_copies(df, "k", "seq").where("not _duplicate").collect()} == {2, 4}
+    assert {r.id for r in dedup.flag_later_copies(df, "k", ["seq", "id"]).where("not _duplicate").collect()} == {2, 4}
+    assert {r.id for r in dedup.keep_first(df, "k", "seq").collect()} == {2, 4}
+
+
 def test_order_ties(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "key string, seq int")
     assert [tuple(r) for r in dedup.order_ties(df, "key", "seq").collect()] == [("a", 1, 2)]
