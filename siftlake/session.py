@@ -4,8 +4,8 @@ from pyspark.sql import SparkSession
 
 # May change in a running session.
 SETTINGS = {
-    # The JVM does not compile methods above 8000 bytes of bytecode. A rule set in one generated
-    # method is larger, so whole-stage code gives way to small generated methods there.
+    # The JVM does not compile methods above 8000 bytes of bytecode. Very wide projections exceed
+    # that in one generated method, so whole-stage code gives way to small methods there.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -13,7 +13,7 @@ SETTINGS = {
 
 # Only take effect when the session is built.
 BUILD_SETTINGS = {
-    # Recording the call site of every Column operation doubles the round trips to the JVM.
+    # Recording the call site of every Column operation costs extra round trips to the JVM.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
