@@ -72,3 +72,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; a NULL id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+# Ids in a broadcast: 16 MB of hashed long keys at most.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a table of single long ids counted to have at most ``rows``; otherwise unchanged."""
+    if ids.limit(rows + 1).count() <= rows:
+        return F.broadcast(ids)
+    return ids

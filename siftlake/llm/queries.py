@@ -2,18 +2,23 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, nearcopies
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_near_copies": op3_near_copies,
     "op10_language": op10_language,
 }
 
