@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, nearcopies
+from . import langid, nearcopies, tokenstore
+from .frames import new_folder
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -13,12 +14,25 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(read(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed public tokenizers; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = tokenstore.write_store(read(spark, sf_dir, "documents"), new_folder(spark, "token-store"), tokenizer_path())
+    return tokenstore.read_digests(store)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_near_copies": op3_near_copies,
+    "op6_token_store": op6_token_store,
     "op10_language": op10_language,
 }
 
