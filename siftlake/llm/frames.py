@@ -79,7 +79,7 @@ BROADCAST_ROWS = 1_000_000
 
 
 def checked_broadcast(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a table of single long ids counted to have at most ``rows``; otherwise unchanged."""
+    """Broadcast hint for a narrow table counted to have at most ``rows`` rows; otherwise unchanged."""
     if ids.limit(rows + 1).count() <= rows:
         return F.broadcast(ids)
     return ids

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, nearcopies, tokenstore
+from . import decontaminate, langid, mixing, nearcopies, tokenstore
 from .frames import new_folder
 
 
@@ -10,6 +10,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(read(spark, sf_dir, "documents"))
+
+
 def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_leaks": op2_leaks,
     "op3_near_copies": op3_near_copies,
     "op6_token_store": op6_token_store,
