@@ -12,7 +12,7 @@ text without words has an empty set and is linked with nothing. Two documents ar
 2. *Copies.* Documents with equal sets are collapsed to their smallest id; their links need no search.
 3. *Banding.* Equal bands put documents into a bucket. Nobody lists all pairs of a bucket: each member
    is compared with the bucket's smallest id first. Linked members then share a component, so only
-   members of other components are compared further, in blocks.
+   members of other components are compared further, in blocks, until their components are joined.
 4. *Verification.* Pairs whose signatures agree in at least ``PRUNE`` of the registers are checked on
    full sets computed from whole texts.
 5. *Grouping.* Union-find inside partitions, then alternating large-star and small-star steps, each
@@ -37,10 +37,11 @@ from .frames import checked_broadcast, prepare, stored
 WIDTH = 5
 REGISTERS = 128
 BANDS = 32
-PRUNE = 0.58
+PRUNE = 0.6
 NUMERATOR, DENOMINATOR = 75, 100
-# Members of one bucket compared in one task against as many others.
+# Members of one bucket, and elements of their sets, compared in one task against as many others.
 BLOCK_MEMBERS = 1024
+BLOCK_ELEMENTS = 400_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -173,60 +174,74 @@ def similar_signatures(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("left", "right", "left_signature", "right_signature").mapInArrow(run, "left long, right long")
 
 
+def _set_list(texts: pa.Array) -> list[np.ndarray]:
+    out = []
+    for block in tb.blocks(texts):
+        elements, bounds = shingle_sets(block)
+        out += [elements[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    return out
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common)
+
+
+def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and text of the given nodes."""
+    needed = stored(nodes.select("node").distinct(), "near-needed")
+    return texts.join(checked_broadcast(needed), "node", "left_semi")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose full sets reach the threshold, computed from the whole texts of both."""
     def run(batches):
         for batch in batches:
-            sets = []
-            for name in ("left_text", "right_text"):
-                own = []
-                for block in tb.blocks(batch.column(name)):
-                    elements, bounds = shingle_sets(block)
-                    own += [elements[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-                sets.append(own)
-            linked = []
-            for a, b in zip(*sets):
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                linked.append(common > 0 and DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common))
-            linked = pa.array(linked, pa.bool_())
+            both = zip(_set_list(batch.column("left_text")), _set_list(batch.column("right_text")))
+            linked = pa.array([_linked(a, b) for a, b in both], pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("left").filter(linked), batch.column("right").filter(linked)], names=["left", "right"]
             )
 
-    needed = pairs.select(F.explode(F.array("left", "right")).alias("node")).distinct()
-    needed = stored(needed, "near-needed")
-    rows = texts.join(checked_broadcast(needed), "node", "left_semi")
+    rows = _texts_of(pairs.select(F.explode(F.array("left", "right")).alias("node")), texts)
     left = rows.select(F.col("node").alias("left"), F.col("text").alias("left_text"))
     right = rows.select(F.col("node").alias("right"), F.col("text").alias("right_text"))
     joined = pairs.join(left, "left").join(right, "right")
     return joined.select("left", "right", "left_text", "right_text").mapInArrow(run, "left long, right long").distinct()
 
 
+class _Roots:
+    """Union-find with the smallest member as root; unknown members are their own root."""
+
+    def __init__(self):
+        self.parent = {}
+
+    def __call__(self, x: int) -> int:
+        parent = self.parent
+        top = x
+        while parent.get(top, top) != top:
+            top = parent[top]
+        while parent.get(x, x) != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self(a), self(b)
+        self.parent[max(a, b)] = min(a, b)
+
+
 def _local_union(edges: DataFrame) -> DataFrame:
     """Union-find over the edges of each partition: every node with its partition's smallest root."""
     def run(batches):
-        parent = {}
-
-        def root(x):
-            top = x
-            while parent[top] != top:
-                top = parent[top]
-            while parent[x] != top:
-                parent[x], x = top, parent[x]
-            return top
-
+        roots = _Roots()
         for batch in batches:
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parent.setdefault(a, a)
-                parent.setdefault(b, b)
-                a, b = root(a), root(b)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-        nodes = list(parent)
+                roots.join(a, b)
+        nodes = list(roots.parent)
         for i in range(0, len(nodes), 50_000):
             own = nodes[i : i + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int64()), pa.array([root(x) for x in own], pa.int64())], names=["a", "b"]
+                [pa.array(own, pa.int64()), pa.array([roots(x) for x in own], pa.int64())], names=["a", "b"]
             )
 
     return edges.mapInArrow(run, "a long, b long").where("a > b").distinct()
@@ -265,58 +280,73 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _members(reps: DataFrame) -> DataFrame:
-    """Buckets of at least two sets: bucket, node, the bucket's smallest node and its size."""
-    members = reps.select(F.explode("bands").alias("bucket"), "node")
-    buckets = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size"))
+    """Buckets of at least two sets: band, bucket, node, set size, and the bucket's smallest node, members and elements."""
+    members = reps.select(F.posexplode("bands").alias("band", "bucket"), "node", "n_shingles")
+    buckets = members.groupBy("bucket").agg(
+        F.min("node").alias("leader"), F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("elements")
+    )
     return members.join(buckets.where("size > 1"), "bucket")
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Candidate pairs inside buckets that span several components, other than those with the leader.
+def _remaining_links(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join components inside buckets spanning several, besides those with the leader.
 
-    Members outside the leader's component are compared with all members, block against block.
+    Members outside the leader's component are compared with all members, block against block. A pair
+    is looked at in the first band it shares only, and not once its components are joined in the task,
+    so a task returns fewer links than it has members.
     """
     def compare(table):
-        outside = table.filter(pc.equal(table["side"], 0))
-        all_ = table.filter(pc.equal(table["side"], 1))
-
-        def arrays(t):
-            registers = np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u2").reshape(t.num_rows, REGISTERS)
-            return t["node"].to_numpy(), t["component"].to_numpy(), registers
-
-        node, component, registers = arrays(all_)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x, c, own in zip(*arrays(outside)):
-            other = np.flatnonzero((component != c) & (node != x))
-            if len(other):
-                other = node[other[(registers[other] == own).mean(axis=1) >= PRUNE]]
-                left.append(np.minimum(other, x))
-                right.append(np.maximum(other, x))
-        return pa.table({"left": np.concatenate(left), "right": np.concatenate(right)})
+        node, component = table["node"].to_numpy(), table["component"].to_numpy()
+        registers = np.frombuffer(b"".join(table["signature"].to_pylist()), dtype="<u2").reshape(-1, REGISTERS)
+        sets, roots = _set_list(table["text"].combine_chunks()), _Roots()
+        band = table["band"][0].as_py()
+        size = table["n_shingles"].to_numpy()
+        query = table["side"].to_numpy() == 0
+        targets = np.flatnonzero(~query)
+        left, right = [], []
+        for i in np.flatnonzero(query):
+            near = (component[targets] != component[i]) & (node[targets] != node[i])
+            near &= np.minimum(size[targets], size[i]) * DENOMINATOR >= np.maximum(size[targets], size[i]) * NUMERATOR
+            near = targets[near]
+            equal = registers[near] == registers[i]
+            first = equal.reshape(len(near), BANDS, REGISTERS // BANDS).all(axis=2).argmax(axis=1)
+            for j in near[(equal.mean(axis=1) >= PRUNE) & (first == band)]:
+                a, b = component[i], component[j]
+                if roots(a) != roots(b) and _linked(sets[i], sets[j]):
+                    roots.join(a, b)
+                    left.append(min(node[i], node[j]))
+                    right.append(max(node[i], node[j]))
+        return pa.table({"left": pa.array(left, pa.int64()), "right": pa.array(right, pa.int64())})
 
     component = F.coalesce(F.col("component"), F.col("node"))
-    labelled = members.join(labels, "node", "left").withColumn("component", component)
+    labelled = members.where("size > 2").join(labels, "node", "left").withColumn("component", component)
     leaders = labels.select(F.col("node").alias("leader"), F.col("component").alias("leader_component"))
     labelled = labelled.join(leaders, "leader", "left")
     labelled = labelled.withColumn("outside", F.col("component") != F.coalesce("leader_component", "leader"))
-    open_ = labelled.groupBy("bucket").agg(F.count_if("outside").alias("n_outside")).where("n_outside > 0")
-    own = labelled.where("size > 2 and node <> leader").drop("leader_component").join(open_, "bucket")
-    own = own.join(reps.select("node", "signature"), "node")
-    n_blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
-    n_outside = F.ceil(F.col("n_outside") / BLOCK_MEMBERS).cast("int")
-    block = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    columns = ["bucket", "node", "component", "signature"]
+    outside = F.col("outside").cast("long")
+    open_ = labelled.groupBy("bucket").agg(
+        F.sum(outside).alias("n_outside"), F.sum(outside * F.col("n_shingles")).alias("elements_outside")
+    )
+    own = labelled.where("node <> leader").join(open_.where("n_outside > 0"), "bucket")
+    own = stored(own.select("band", "bucket", "node", "n_shingles", "component", "outside", "size", "elements",
+                            "n_outside", "elements_outside"), "near-open")
+
+    def n_blocks(count: str, elements: str):
+        return F.greatest(F.ceil(F.col(count) / BLOCK_MEMBERS), F.ceil(F.col(elements) / BLOCK_ELEMENTS))
+
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 40))
+    all_, some = n_blocks("size", "elements"), n_blocks("n_outside", "elements_outside")
+    columns = ["band", "bucket", "node", "n_shingles", "component"]
     queries = own.where("outside").select(
-        *columns, F.lit(0).alias("side"), F.pmod(block, n_outside).alias("query_block"),
-        F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"),
+        *columns, F.lit(0).alias("side"), F.pmod(place, some).alias("query_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), all_ - 1)).alias("block"),
     )
     targets = own.select(
-        *columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), n_outside - 1)).alias("query_block"),
-        F.pmod(block, n_blocks).alias("block"),
-    )
-    both = queries.select(*columns, "side", F.col("query_block").cast("long"), F.col("block").cast("long")).unionByName(
-        targets.select(*columns, "side", F.col("query_block").cast("long"), F.col("block").cast("long"))
+        *columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), some - 1)).alias("query_block"),
+        F.pmod(place, all_).alias("block"),
     )
+    known = _texts_of(own, texts).join(reps.select("node", "signature"), "node")
+    both = queries.union(targets).join(known, "node")
     return both.groupBy("bucket", "query_block", "block").applyInArrow(compare, "left long, right long").distinct()
 
 
@@ -342,8 +372,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
     links = stored(verified(stored(similar_signatures(first, reps), f"{name}-pairs"), texts), f"{name}-links")
     labels = stored(components(links), f"{name}-labels")
-    more = stored(similar_signatures(_remaining_pairs(members, labels, reps), reps), f"{name}-pairs")
-    links = links.union(stored(verified(more, texts), f"{name}-links"))
+    links = links.union(stored(_remaining_links(members, labels, reps, texts), f"{name}-links"))
     labels = stored(components(links.union(copies)), f"{name}-labels")
     found = profile.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
