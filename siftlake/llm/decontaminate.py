@@ -268,9 +268,12 @@ def item_parts(text: str = "text") -> tuple[Column, Column]:
     return question, F.regexp_extract(trimmed, split, 2)
 
 
+def indexes_of(benchmark: DataFrame) -> list[Index]:
+    """Indexes of a benchmark table (item_id, text)."""
+    question, answer = item_parts()
+    return build_indexes(benchmark.select("item_id", question.alias("question"), answer.alias("answer")))
+
+
 def leak_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score and overlaps of every verified leak."""
-    question, answer = item_parts()
-    items = benchmark.select("item_id", question.alias("question"), answer.alias("answer"))
-    found = leaks(docs.select("doc_id", "text"), build_indexes(items))
-    return found.select("doc_id", F.inline("leaks"))
+    return leaks(docs.select("doc_id", "text"), indexes_of(benchmark)).select("doc_id", F.inline("leaks"))

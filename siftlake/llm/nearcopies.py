@@ -380,3 +380,19 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the smallest id of their component; columns are unchanged.
+
+    Rows with equal doc_id and text are copies of each other, too: one of them stays.
+    """
+    found = stored(near_copies(docs).select("doc_id", "kept"), "near-kept")
+    same = F.col("doc_id").cast("long") == F.col("_doc_id")
+    gone = found.where("not kept").select(F.col("doc_id").alias("_doc_id")).distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_doc_id")).count()
+    repeated = stored(repeated.where("count > 1").select("_doc_id"), "near-repeated")
+    left = docs.join(checked_broadcast(gone), same, "left_anti")
+    once = left.join(checked_broadcast(repeated), same, "left_anti")
+    copies = left.join(checked_broadcast(repeated), same, "left_semi")
+    return once.union(copies.dropDuplicates(["doc_id", "text"]))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mixing, nearcopies, tokenstore
+from . import decontaminate, langid, ledger, mixing, nearcopies, tokenstore
 from .frames import new_folder
 
 
@@ -34,6 +34,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.read_digests(store)
 
 
+def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.rule_table(read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read(spark, sf_dir, "documents"))
 
@@ -43,8 +47,11 @@ QUERIES = {
     "op2_leaks": op2_leaks,
     "op3_near_copies": op3_near_copies,
     "op6_token_store": op6_token_store,
+    "op7_rule_ledger": op7_rule_ledger,
     "op10_language": op10_language,
 }
 
 # SQL counterparts, where SQL can express the operator.
-ORACLES = {}
+ORACLES = {
+    "op7_rule_ledger": ledger.SQL,
+}
