@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, ledger, mixing, nearcopies, tokenstore
+from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, tokenstore
 from .frames import new_folder
 
 
@@ -38,6 +38,10 @@ def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.rule_table(read(spark, sf_dir, "documents"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloomlm.score_table(read(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_near_copies": op3_near_copies,
     "op6_token_store": op6_token_store,
     "op7_rule_ledger": op7_rule_ledger,
+    "op9_language_model": op9_language_model,
     "op10_language": op10_language,
 }
 
