@@ -17,7 +17,7 @@ at about ``SEGMENT_BYTES`` of text.
 *Bounds.* The filter has as many bits as the texts have bytes (a power of two), ``MAX_BITS`` (64 MB) at
 most; a segment that would be filled beyond half leaves out its rarest pairs, never words. It is
 broadcast. Exact word counts for the base score are broadcast up to ``MAX_WORDS`` distinct words
-(48 MB); beyond that they meet the documents' distinct words in a join, with equal results.
+(60 MB); beyond that they meet the documents' distinct words in a join, with equal results.
 
 Defined results: NULL text is empty, which is one end token. With no training text N and V are 0.
 Repeated rows are counted and scored each.
@@ -36,7 +36,7 @@ END = np.uint64(0x1F83D9ABFB41BD6B)
 _PAIR, _WORD = np.uint64(0x510E527FADE682D1), np.uint64(0x9B05688C2B3E6C1F)
 
 MAX_BITS = 1 << 29
-MAX_WORDS = 4_000_000
+MAX_WORDS = 5_000_000
 SEGMENT_BYTES = 16 << 20
 SPREAD = 0.9
 PROBES = 3

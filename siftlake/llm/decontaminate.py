@@ -43,21 +43,9 @@ _TOGETHER = 64
 LEAK = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
 
 
-def _term_bytes() -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    table[ord("0") : ord("9") + 1] = True
-    table[ord("a") : ord("z") + 1] = True
-    table[0x80:] = True
-    return table
-
-
-_TERM_BYTES = _term_bytes()
-
-
 def terms(texts: pa.Array):
     """For each block: row of its first text, term hashes and the range of terms of each text."""
-    for block in tb.blocks(pc.utf8_lower(texts.fill_null(""))):
-        found = tb.words(block, _TERM_BYTES)
+    for block, found in tb.terms(texts):
         yield block.first, tb.span_hashes(block.data, found.starts, found.ends), found.bounds
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, tokenstore
+from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, tokenstore, toxicity
 from .frames import new_folder
 
 
@@ -38,6 +38,10 @@ def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.rule_table(read(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloomlm.score_table(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_near_copies": op3_near_copies,
     "op6_token_store": op6_token_store,
     "op7_rule_ledger": op7_rule_ledger,
+    "op8_toxicity": op8_toxicity,
     "op9_language_model": op9_language_model,
     "op10_language": op10_language,
 }

@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 
@@ -127,6 +128,21 @@ def words(block: Block, table: np.ndarray | None = None) -> Words:
     return Words(starts, ends, np.searchsorted(starts, block.offsets))
 
 
+@lru_cache(maxsize=1)
+def _term_bytes() -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[ord("0") : ord("9") + 1] = True
+    table[ord("a") : ord("z") + 1] = True
+    table[0x80:] = True
+    return table
+
+
+def terms(texts: pa.Array) -> Iterator[tuple[Block, Words]]:
+    """Case-folded blocks with their terms: runs of digits, a-z and characters beyond ASCII."""
+    for block in blocks(pc.utf8_lower(texts.fill_null(""))):
+        yield block, words(block, _term_bytes())
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span, equal for equal bytes wherever they stand."""
     if not len(starts):
