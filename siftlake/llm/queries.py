@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, tokenstore, toxicity
+from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, preferences, tokenstore, toxicity
 from .frames import new_folder
 
 
@@ -29,6 +29,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preference_table(read(spark, sf_dir, "conversations"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = tokenstore.write_store(read(spark, sf_dir, "documents"), new_folder(spark, "token-store"), tokenizer_path())
     return tokenstore.read_digests(store)
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_leaks": op2_leaks,
     "op3_near_copies": op3_near_copies,
+    "op4_preferences": op4_preferences,
     "op6_token_store": op6_token_store,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_toxicity": op8_toxicity,
@@ -63,5 +68,6 @@ QUERIES = {
 
 # SQL counterparts, where SQL can express the operator.
 ORACLES = {
+    "op4_preferences": preferences.SQL,
     "op7_rule_ledger": ledger.SQL,
 }
