@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, preferences, tokenstore, toxicity
+from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, preferences, surrogates, tokenstore, toxicity
 from .frames import new_folder
 
 
@@ -33,6 +33,10 @@ def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.preference_table(read(spark, sf_dir, "conversations"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.surrogate_table(read(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = tokenstore.write_store(read(spark, sf_dir, "documents"), new_folder(spark, "token-store"), tokenizer_path())
     return tokenstore.read_digests(store)
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_leaks": op2_leaks,
     "op3_near_copies": op3_near_copies,
     "op4_preferences": op4_preferences,
+    "op5_surrogates": op5_surrogates,
     "op6_token_store": op6_token_store,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_toxicity": op8_toxicity,
