@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from siftlake.catalog import oracles
+from siftlake.catalog.queries import QUERIES
 from tools.compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,10 +20,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracles.build())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_equal(spark, con, name):
     equal, _, message = compare(spark, con, FOLDER, name)
     assert equal, message

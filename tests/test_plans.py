@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from siftlake.catalog.queries import QUERIES
 from siftlake.operators import dedup, refs
 from siftlake.plans import marts
 
@@ -19,7 +20,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_pairing_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
