@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import append_columns, prepare
+from .frames import append_columns, free_name, prepare
 
 THRESHOLD = 0.6
 OVERLAP = 0.6
@@ -239,7 +239,7 @@ def leaks(
 
     if not indexes:
         return docs.withColumn(column, F.expr(f"cast(array() as {LEAK})"))
-    names = [f"_leaks{i}" for i in range(len(indexes))]
+    names = [free_name(docs, f"_leaks{i}") for i in range(len(indexes))]
     for index, name in zip(indexes, names):
         docs = one(docs, index, name)
     return docs.withColumn(column, F.concat(*names)).drop(*names)

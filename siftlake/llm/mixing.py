@@ -23,7 +23,7 @@ decision and are taken equally often. A source of size 0 has target 0.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .frames import checked_broadcast, stored
+from .frames import checked_broadcast, free_name, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -157,13 +157,13 @@ def mix_table(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 11) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; columns are unchanged."""
     decided = copies(docs.select("doc_id", "source", "text"), weights, max_copies, seed)
-    decided = decided.select("doc_id", "source", "size", "copies").distinct()
-    decided = decided.where("copies > 0").select(*[F.col(c).alias(f"_mix_{c}") for c in decided.columns])
-    keyed = docs.withColumn("_size", word_count(F.col("text")))
+    decided = decided.select("doc_id", "source", "size", "copies").distinct().where("copies > 0")
+    size, copy, *names = (free_name(docs, c) for c in ("size", "copy", "mix_doc_id", "mix_source", "mix_size", "mix_copies"))
+    keyed = docs.withColumn(size, word_count(F.col("text")))
     same = [
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_mix_doc_id")),
-        F.col("source").cast("string").eqNullSafe(F.col("_mix_source")),
-        F.col("_size") == F.col("_mix_size"),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])),
+        F.col("source").cast("string").eqNullSafe(F.col(names[1])),
+        F.col(size) == F.col(names[2]),
     ]
-    repeated = keyed.join(decided, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_mix_copies")))
+    repeated = keyed.join(decided.toDF(*names), same).withColumn(copy, F.explode(F.sequence(F.lit(1), names[3])))
     return repeated.select(*docs.columns)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import checked_broadcast, prepare, stored
+from .frames import checked_broadcast, free_name, prepare, stored
 
 WIDTH = 5
 REGISTERS = 128
@@ -388,10 +388,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Rows with equal doc_id and text are copies of each other, too: one of them stays.
     """
     found = stored(near_copies(docs).select("doc_id", "kept"), "near-kept")
-    same = F.col("doc_id").cast("long") == F.col("_doc_id")
-    gone = found.where("not kept").select(F.col("doc_id").alias("_doc_id")).distinct()
-    repeated = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_doc_id")).count()
-    repeated = stored(repeated.where("count > 1").select("_doc_id"), "near-repeated")
+    name = free_name(docs, "near_id")
+    same = F.col("doc_id").cast("long") == F.col(name)
+    gone = found.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name)).count()
+    repeated = stored(repeated.where("count > 1").select(name), "near-repeated")
     left = docs.join(checked_broadcast(gone), same, "left_anti")
     once = left.join(checked_broadcast(repeated), same, "left_anti")
     copies = left.join(checked_broadcast(repeated), same, "left_semi")
