@@ -20,6 +20,7 @@ import re
 import uuid
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from .perfecthash import PerfectHash, fingerprint
 END_ID = 0
 # Text bytes of a shard, about; a task holds one shard's ids in memory when it reads.
 SHARD_BYTES = 32 << 20
-# Encoded pieces a worker remembers.
-MEMO_PIECES = 600_000
+# Encoded pieces a worker process remembers, also for its later tasks.
+MEMO_PIECES = 1_200_000
 _SUB_BATCH_CHARS = 1 << 20
 # Pieces of one blank and letters are encoded this many at a time, as one text.
 _JOINED = 512
@@ -108,6 +109,11 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def _sub_batches(texts: list[str]):
     part, size = [], 0
     for text in texts:
@@ -177,7 +183,7 @@ class Store:
 def _write_shards(rows: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches):
         shard = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(f"{root}/ids", recursive=True)
         name = f"{shard:06d}-{uuid.uuid4().hex}"
