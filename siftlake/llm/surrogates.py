@@ -15,7 +15,7 @@ of their script with an ending of their gender. Capitals follow the original.
 surrogate, and no surrogate may be an entity of that type that occurs in the texts. Those in conflict
 take their next attempt, until none is left; the smallest entity of a conflict keeps its own. Entities
 beyond attempt 0 are the exceptions, broadcast when they are at most ``MAX_EXCEPTIONS``; if there were
-more, names get longer and all is assigned again.
+more, or ``MAX_ATTEMPTS`` did not suffice, names get longer and all is assigned again.
 
 Defined results: NULL text stays NULL; text without entities is unchanged; the same entity has one
 surrogate in all rows; repeated rows are rewritten alike.
@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from .frames import append_columns, prepare, stored
 
 MAX_EXCEPTIONS = 200_000
+# Attempts before names get longer.
+MAX_ATTEMPTS = 10
 TYPES = ("email", "ip", "phone", "card", "secret", "given_m", "given_f", "given_x", "surname")
 
 # Titles and the gender they tell.
@@ -237,14 +239,15 @@ def assignment(docs: DataFrame, key: bytes, syllables: int = 3, text: str = "tex
     found = stored(entities(docs, text), "pii-entities")
     while True:
         now = stored(_assigned(found.withColumn("attempt", F.lit(0)), key, syllables), "pii-assigned")
-        while True:
+        for _ in range(MAX_ATTEMPTS):
             again = stored(_conflicts(now), "pii-conflicts")
-            if again.isEmpty():
+            free = again.isEmpty()
+            if free:
                 break
             moved = now.drop("surrogate").join(again.withColumn("moved", F.lit(1)), ["type", "entity"], "left")
             moved = moved.select("type", "entity", (F.col("attempt") + F.coalesce("moved", F.lit(0))).cast("int").alias("attempt"))
             now = stored(_assigned(moved, key, syllables), "pii-assigned")
-        if now.where("attempt > 0").limit(MAX_EXCEPTIONS + 1).count() <= MAX_EXCEPTIONS:
+        if free and now.where("attempt > 0").limit(MAX_EXCEPTIONS + 1).count() <= MAX_EXCEPTIONS:
             return now, syllables
         syllables += 1
 
