@@ -17,7 +17,7 @@ at about ``SEGMENT_BYTES`` of text.
 *Bounds.* The filter has as many bits as the texts have bytes (a power of two), ``MAX_BITS`` (64 MB) at
 most; a segment that would be filled beyond half leaves out its rarest pairs, never words. It is
 broadcast. Exact word counts for the base score are broadcast up to ``MAX_WORDS`` distinct words
-(60 MB); beyond that they meet the documents' distinct words in a join, with equal results.
+(80 MB); beyond that they meet the documents' distinct words in a join, with equal results.
 
 Defined results: NULL text is empty, which is one end token. With no training text N and V are 0.
 Repeated rows are counted and scored each.
@@ -43,7 +43,7 @@ PROBES = 3
 # Bits of a hash beyond those that name its segment.
 _REST = 40
 # N-grams a task holds before it sends their counts.
-_BUFFER = 4_000_000
+_BUFFER = 1_500_000
 
 
 def thresholds(most: int = 1 << 62) -> np.ndarray:
@@ -290,17 +290,22 @@ def scores(docs: DataFrame, training: DataFrame, max_words: int = MAX_WORDS) ->
     for row in segments.select("segment", "bits").toLocalIterator():
         bits[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bits, np.uint8)
     sent = spark.sparkContext.broadcast(Model(shape, bits, n_tokens, n_words))
+    del bits
     exact = None
     if n_words <= max_words:
-        rows = segments.select("words", "counts").collect()
-        words = np.concatenate([np.frombuffer(r.words, np.uint64) for r in rows] or [np.zeros(0, np.uint64)])
-        counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in rows] or [np.zeros(0, np.int64)])
+        words, counts, at = np.zeros(n_words, np.uint64), np.zeros(n_words, np.uint64), 0
+        for row in segments.select("words", "counts").toLocalIterator():
+            own = np.frombuffer(row.words, np.uint64)
+            words[at : at + len(own)] = own
+            counts[at : at + len(own)] = np.frombuffer(row.counts, np.int64)
+            at += len(own)
         order = np.argsort(words)
-        exact = spark.sparkContext.broadcast((words[order], np.minimum(counts[order], 2**32 - 1).astype(np.uint32)))
+        exact = spark.sparkContext.broadcast((words[order], counts[order]))
+        del words, counts, order
 
     def make():
         model = sent.value
-        words, counts = exact.value if exact is not None else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        words, counts = exact.value if exact is not None else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
         def compute(batch):
             out = [np.zeros(batch.num_rows) for _ in range(4)]
