@@ -13,7 +13,7 @@ from ..plans import marts
 from ..session import tune
 from ..sources.lake import materialize
 from ..sources.landing import union_drifting
-from ..sources.tables import fan_out, read_table as table
+from ..sources.tables import read_table as table
 from . import oracles
 from .views import AS_OF, DIGITS, ORDER_BY, spark_view
 
@@ -22,8 +22,7 @@ LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
 
 def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items, spread by order when the table is too small to have a split per core."""
-    return fan_out(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Each view reads one whole table, renders it as an entity with text columns and p
 arithmetic, so that every rule has rows that break it. Placeholders in braces name the tables.
 """
 
-from ..sources.tables import fan_out, read_table
+from ..sources.tables import read_table
 
 DIGITS = 9
 AS_OF = "2001-01-01"
@@ -341,22 +341,13 @@ SOURCE = {
     "inventory": "part",
 }
 
-SPREAD_KEY = {
-    "customer": "c_custkey",
-    "supplier": "s_suppkey",
-    "part": "p_partkey",
-    "orders": "o_orderkey",
-    "lineitem": "l_orderkey",
-}
-
 ORDER_BY = {entity: ["ingest_seq"] for entity in VIEWS} | {"order_items": ["ingest_seq", "ingest_sub", "ingest_day"]}
 
 
 def spark_view(spark, sf_dir: str, entity: str):
     """The entity view as a DataFrame."""
     table = SOURCE[entity]
-    rows = fan_out(read_table(spark, sf_dir, table), SPREAD_KEY[table])
-    return spark.sql(VIEWS[entity], **{table: rows})
+    return spark.sql(VIEWS[entity], **{table: read_table(spark, sf_dir, table)})
 
 
 def sql_view(entity: str) -> str:

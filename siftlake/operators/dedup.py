@@ -61,9 +61,10 @@ def _attach(
         is_hot = is_hot & F.col("_first").isNotNull()
     n_buckets = skew.buckets(F.col("_copies"))
 
-    # At most total rows / HOT_ROWS keys are hot, which bounds this broadcast.
+    # At most total rows / HOT_ROWS keys are hot; stored, so that Spark joins the table by its size.
     hot = repeated.where(is_hot).select(*[F.col(n).alias(f"_hot{n}") for n in names], n_buckets.alias("_buckets"))
-    marked = df.join(F.broadcast(hot), _equal(df, hot, keys, [f"_hot{n}" for n in names], null_keys), "left")
+    hot = materialize(hot, "hot-keys")
+    marked = df.join(hot, _equal(df, hot, keys, [f"_hot{n}" for n in names], null_keys), "left")
     joined = skew.spread_join(
         marked.drop(*[f"_hot{n}" for n in names]),
         repeated,

@@ -1,13 +1,10 @@
 """Reference checks against another table: existence, attributes, orphans, allowed pairs."""
 
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.parsing import text
-from ..functions.predicates import blank
+from ..functions.predicates import blank, disagrees
 from . import skew
 
 
@@ -48,7 +45,7 @@ def _unique_reference(ref: DataFrame, lookup: Lookup, unique: bool) -> DataFrame
 
 
 def attach(
-    df: DataFrame, ref: DataFrame, lookup: Lookup, hot: dict[str, int] | None = None, unique: bool = False
+    df: DataFrame, ref: DataFrame, lookup: Lookup, hot: DataFrame | None = None, unique: bool = False
 ) -> DataFrame:
     """Add the existence flag and the reference attributes to every row; no row is lost or repeated.
 
@@ -80,7 +77,7 @@ def exists_flag(
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def orphans(df: DataFrame, ref: DataFrame, column: str, key: str, hot: dict[str, int] | None = None) -> DataFrame:
+def orphans(df: DataFrame, ref: DataFrame, column: str, key: str, hot: DataFrame | None = None) -> DataFrame:
     """Rows whose id does not exist in the reference, NULL and blank ids included."""
     usable = F.when(~blank(F.col(column)), text(F.col(column)))
     if hot is None:
@@ -91,22 +88,17 @@ def orphans(df: DataFrame, ref: DataFrame, column: str, key: str, hot: dict[str,
 
 
 def outside_vocabulary(df: DataFrame, vocabulary: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows whose column combination is not listed in a vocabulary table with the same column names."""
-    pairs = vocabulary.select(*columns).distinct()
-    side = skew.bounded_broadcast(pairs)
-    if side is not pairs:
-        return df.join(side, columns, "left_anti")
-    known = reduce(and_, [F.col(c).isNotNull() for c in columns])
-    key = F.when(known, F.to_json(F.struct(*columns)))
-    left = df.withColumn("_pair", key)
-    right = pairs.where(known).select(key.alias("_known_pair"))
-    return skew.spread_lookup(left, right, "_pair", "_known_pair", skew.hot_keys(df, key), "left_anti").drop("_pair")
+    """Rows whose column combination is not listed in a vocabulary table with the same column names.
+
+    One join on the typed values whatever the vocabulary's size; a NULL is never listed.
+    """
+    pairs = skew.bounded_broadcast(vocabulary.select(*columns).distinct())
+    return df.join(pairs, columns, "left_anti")
 
 
 def reconcile(
-    df: DataFrame, ref: DataFrame, lookup: Lookup, stated: Column, expected: str, hot: dict[str, int] | None = None
+    df: DataFrame, ref: DataFrame, lookup: Lookup, stated: Column, expected: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Rows whose stated amount differs from the reference amount, or whose reference is missing."""
     joined = attach(df, ref, lookup, hot)
-    wrong = F.col(expected).isNull() | F.coalesce(F.round(stated, 2) != F.round(F.col(expected), 2), F.lit(False))
-    return joined.where(wrong)
+    return joined.where(F.col(expected).isNull() | disagrees(stated, F.col(expected)))

@@ -6,44 +6,28 @@ is repeated once per bucket, so results are those of the plain join.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.lake import materialize
+
 # Rows one task takes comfortably. A key with more is hot and gets one bucket per HOT_ROWS rows, so
-# hot keys and repeated rows together stay below 2 * total rows / HOT_ROWS: small enough to broadcast.
+# hot keys and repeated rows together stay below 2 * total rows / HOT_ROWS.
 HOT_ROWS = 1_000_000
 
-# Frequent-items sketch: keys reported, and counters kept per partition while building it.
-SKETCH_KEYS = 64
-SKETCH_COUNTERS = 8192
-
 
 def buckets(rows: Column) -> Column:
     """Number of join buckets for a key with that many rows."""
     return F.ceil(rows / F.lit(HOT_ROWS)).cast("int")
 
 
-def hot_keys(df: DataFrame, key: Column) -> dict[str, int]:
-    """Keys with at least HOT_ROWS rows and their number of buckets; at most SKETCH_KEYS keys.
+def hot_keys(df: DataFrame, key: Column) -> DataFrame:
+    """All keys with at least HOT_ROWS rows, as a table (hot_key, buckets).
 
-    Runs one narrow pass that shuffles one sketch per partition. The result is fixed here, as both
-    sides of a join must agree on it and a sketch may differ between two runs. A key missed by the
-    sketch costs balance, never a row.
+    Exact counts from one narrow pass, aggregated before the shuffle. The table has at most
+    total rows / HOT_ROWS rows; it is stored, so that both sides of a join read the same one and Spark
+    decides by its size how to join it.
     """
-    sketch = F.call_function("approx_top_k", F.col("item"), F.lit(SKETCH_KEYS), F.lit(SKETCH_COUNTERS))
-    top = (
-        df.select(key.cast("string").alias("item"))
-        .agg(sketch.alias("top"))
-        .select(F.inline("top").alias("hot_key", "rows"))
-        .where((F.col("rows") >= HOT_ROWS) & F.col("hot_key").isNotNull())
-        .select("hot_key", buckets(F.col("rows")).alias("buckets"))
-    )
-    return {r.hot_key: r.buckets for r in top.limit(SKETCH_KEYS).collect()}
-
-
-def buckets_of(key: Column, hot: dict[str, int]) -> Column:
-    """Buckets of a key, 1 unless it is hot."""
-    if not hot:
-        return F.lit(1)
-    table = F.create_map(*[F.lit(item) for pair in hot.items() for item in pair])
-    return F.coalesce(F.try_element_at(table, key.cast("string")), F.lit(1))
+    counts = df.select(key.alias("hot_key")).where(F.col("hot_key").isNotNull()).groupBy("hot_key")
+    hot = counts.agg(buckets(F.count(F.lit(1))).alias("buckets"), F.count(F.lit(1)).alias("rows"))
+    return materialize(hot.where(F.col("rows") >= HOT_ROWS).select("hot_key", "buckets"), "hot-keys")
 
 
 def spread_join(
@@ -61,15 +45,16 @@ def spread_join(
     columns give the number of buckets of the row's key and must agree for equal keys. Left rows
     with a NULL key match nothing (unless ``null_safe``) and are spread as well.
 
-    The bucket of a left row follows from its partition number: stable when a task is repeated,
-    independent of the row's content (exact copies spread too), and no extra column is read for it.
+    The bucket of a left row is a hash of its columns and its partition number: stable when a task is
+    repeated, even within a partition that holds one key only, and different for copies in different
+    partitions.
     """
-    partition = F.spark_partition_id()
-    bucket = F.when(left_buckets > 1, F.pmod(partition, left_buckets))
+    row = F.xxhash64(*left.columns, F.spark_partition_id())
+    bucket = F.when(left_buckets > 1, F.pmod(row, left_buckets))
     if not null_safe:
         for name, _ in on:
-            bucket = bucket.when(F.col(name).isNull(), partition)
-    left = left.withColumn("_bucket", bucket.otherwise(0))
+            bucket = bucket.when(F.col(name).isNull(), F.pmod(row, F.lit(1 << 20)))
+    left = left.withColumn("_bucket", bucket.otherwise(0).cast("int"))
 
     numbers = F.when(right_buckets > 1, F.sequence(F.lit(0), right_buckets - 1)).otherwise(F.array(F.lit(0)))
     right = right.select("*", F.explode(numbers).alias("_right_bucket"))
@@ -79,9 +64,18 @@ def spread_join(
     return left.join(right, cond, how).drop("_bucket", "_right_bucket")
 
 
-def spread_lookup(left: DataFrame, right: DataFrame, key: str, ref: str, hot: dict[str, int], how: str = "left") -> DataFrame:
+def with_buckets(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Add ``_buckets``: the number of buckets of a hot key, NULL for any other."""
+    return df.join(hot.select("hot_key", F.col("buckets").alias("_buckets")), df[key] == F.col("hot_key"), "left").drop("hot_key")
+
+
+def spread_lookup(left: DataFrame, right: DataFrame, key: str, ref: str, hot: DataFrame, how: str = "left") -> DataFrame:
     """``spread_join`` on one key whose hot values are known."""
-    return spread_join(left, right, [(key, ref)], buckets_of(F.col(key), hot), buckets_of(F.col(ref), hot), how)
+    right = with_buckets(right, ref, hot).withColumnRenamed("_buckets", "_right_buckets")
+    out = spread_join(
+        with_buckets(left, key, hot), right, [(key, ref)], F.col("_buckets"), F.col("_right_buckets"), how
+    )
+    return out.drop("_buckets", "_right_buckets")
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

@@ -1,6 +1,8 @@
 """Layered lake: one directory per layer and table, Parquet inside."""
 
 import hashlib
+import re
+import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -10,22 +12,27 @@ from pyspark.sql.types import StructType
 LAYERS = ("raw", "bronze", "silver", "dq", "gold")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder for intermediate tables that every executor reaches, as named by the session."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that every executor reaches, as named by spark.checkpoint.dir.
+
+    On one machine a folder is made where none is named; a cluster must name one.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else None
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="siftlake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back.
 
     Later stages then start from a table instead of recomputing the frame, also after an executor
-    is lost. Without a shared folder the frame is returned as it is.
+    is lost.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,12 +50,9 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def work_path(self, table: str) -> str:
-        """Intermediate table in the shared folder the cluster names, one place per lake; else in the lake."""
-        shared = shared_folder(self.spark)
-        if shared is None:
-            return f"{self.root.rstrip('/')}/work/{table}"
+        """Intermediate table in the shared folder, one place per lake."""
         lake_id = hashlib.sha256(self.root.encode()).hexdigest()[:16]
-        return f"{shared}/labelled-{lake_id}/{table}"
+        return f"{shared_folder(self.spark)}/labelled-{lake_id}/{table}"
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)

@@ -5,12 +5,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def fan_out(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table that has fewer splits than the session has cores; others stay as they are.
-
-    A large table has many splits and is never shuffled here. The key should be nearly unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

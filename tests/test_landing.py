@@ -10,7 +10,6 @@ from siftlake.functions import normalize
 from siftlake.operators import dedup, landing as ops, refs
 from siftlake.sources import landing
 from siftlake.sources.lake import Lake
-from siftlake.sources.tables import fan_out
 
 
 def write(path, text):
@@ -109,10 +108,3 @@ def test_lake_layers(spark, tmp_path):
         lake.read("gold", "t")
     lake.write(spark.range(4).withColumn("g", F.col("id") % 2), "dq", "t", partition_by=["g"])
     assert lake.read("dq", "t").where("g = 1").count() == 2
-
-
-def test_fan_out_only_for_few_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(0, 100, numPartitions=1), spark.range(0, 100, numPartitions=cores)
-    assert fan_out(few, "id").rdd.getNumPartitions() == cores
-    assert fan_out(many, "id") is many

@@ -27,14 +27,16 @@ def same_rows(a, b):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
-def test_sketch_finds_the_hot_key(spark, low_threshold):
-    found = skew.hot_keys(hot_table(spark), F.col("key"))
+def test_every_hot_key_is_found(spark, low_threshold):
+    found = {r.hot_key: r.buckets for r in skew.hot_keys(hot_table(spark), F.col("key")).collect()}
     assert found["hot"] == 20
-    assert len(found) <= skew.SKETCH_KEYS
+    many = spark.range(0, 200 * 120, numPartitions=8).select((F.col("id") % 200).alias("key"))
+    found = skew.hot_keys(many, F.col("key")).collect()
+    assert len(found) == 200 and {r.buckets for r in found} == {3}
 
 
 def test_no_hot_key_in_uniform_data(spark):
-    assert skew.hot_keys(hot_table(spark), F.col("key")) == {}
+    assert skew.hot_keys(hot_table(spark), F.col("key")).isEmpty()
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
@@ -46,8 +48,11 @@ def test_spread_join_equals_plain_join(spark, low_threshold, how):
     same_rows(got, left.join(right, F.col("key") == F.col("ref"), how))
 
 
-def test_hot_rows_are_spread_over_tasks(spark, low_threshold):
-    left = hot_table(spark).where("key = 'hot'").repartition(8, "seq")
+@pytest.mark.parametrize("by", ["seq", "key"])
+def test_hot_rows_are_spread_over_tasks(spark, monkeypatch, by):
+    """Also where all rows of the hot key come from one partition."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    left = hot_table(spark).where("key = 'hot'").repartition(8, by)
     right = spark.createDataFrame([("hot", 1)], "ref string, v int")
     hot = skew.hot_keys(left, F.col("key"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -58,7 +63,8 @@ def test_hot_rows_are_spread_over_tasks(spark, low_threshold):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) > 2
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) == n and max(r["count"] for r in sizes) <= 2 * 1000 / n
     assert sum(r["count"] for r in sizes) == 1000
 
 
@@ -152,3 +158,13 @@ def test_vocabulary_beyond_the_broadcast_bound(spark, low_threshold, monkeypatch
     monkeypatch.setattr(skew, "bounded_broadcast", lambda side, max_rows=0: side)
     same_rows(refs.outside_vocabulary(df, words, ["key", "part"]).select("seq", "key", "part"), small)
     assert small.count() == df.where("key is null or not (part = '0' and key in ('hot', 'k4'))").count()
+
+
+@pytest.mark.parametrize("bound", [0, 100_000])
+def test_vocabulary_of_any_type_and_size(spark, monkeypatch, bound):
+    values = "timestamp '2020-01-01 00:00:00.000001', -0.0D, 1.50BD", "timestamp '2020-01-01', 0.0D, 1.5BD", "null, 1D, 2BD"
+    df = spark.sql(" union all ".join(f"select {v}" for v in values)).toDF("t", "d", "m")
+    words = spark.sql("select timestamp '2020-01-01 00:00:00.000001', 0.0D, 1.5BD union all select null, 1D, 2BD").toDF("t", "d", "m")
+    monkeypatch.setattr(skew, "bounded_broadcast", lambda side, max_rows=bound: side if not bound else F.broadcast(side))
+    left = refs.outside_vocabulary(df, words, ["t", "d", "m"]).collect()
+    assert sorted(str(r.t) for r in left) == ["2020-01-01 00:00:00", "None"]
