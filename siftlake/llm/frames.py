@@ -1,7 +1,6 @@
 """Small helpers the operators share: adding columns batch by batch, stored intermediate tables, held-out rows."""
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.lake import shared_folder
+
 # Rows in one Arrow batch. Texts may be long, so batches stay far below Spark's default of 10,000 rows.
 BATCH_ROWS = 1000
 
@@ -49,15 +50,6 @@ def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where none is named (tests on one machine), a folder made once."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = "file://" + tempfile.mkdtemp(prefix="siftlake-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
