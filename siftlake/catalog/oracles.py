@@ -10,7 +10,7 @@ def blank(c: str) -> str:
 
 
 def num(c: str) -> str:
-    return f"TRY_CAST({c} AS DECIMAL(18,6))"
+    return f"TRY_CAST({c} AS DECIMAL(30,10))"
 
 
 def ts(c: str) -> str:
@@ -34,24 +34,24 @@ def unlike(c: str, pattern: str) -> str:
 
 
 def no_code(c: str, prefix: str, digits: int, high: int | None = None, low: int | None = 1) -> str:
-    number = f"CAST(substr(trim({c}), {len(prefix) + 1}) AS BIGINT)"
+    number = f"CAST(substr({c}, {len(prefix) + 1}) AS BIGINT)"
     bounds = []
     if low is not None:
         bounds.append(f"{number} < {low}")
     if high is not None:
         bounds.append(f"{number} > {high}")
     rest = f" WHEN {' OR '.join(bounds)} THEN true" if bounds else ""
-    return f"(CASE WHEN {unlike(c, f'{prefix}[0-9]{{{digits}}}')} THEN true{rest} ELSE false END)"
+    return f"(CASE WHEN {c} IS NULL OR NOT regexp_full_match({c}, '{prefix}[0-9]{{{digits}}}') THEN true{rest} ELSE false END)"
 
 
 def product(a: str, b: str) -> str:
     """Product of two parsed numbers; the wide cast keeps DuckDB from multiplying in 64 bits."""
-    return f"CAST({a} AS DECIMAL(20,6)) * {b}"
+    return f"CAST({a} AS DECIMAL(19,5)) * CAST({b} AS DECIMAL(19,5))"
 
 
 def ratio(amount: str, n: str) -> str:
     """amount / n rounded half-up to two places in whole numbers; the amount has at most six places."""
-    return f"CAST((2 * CAST({amount} * 1000000 AS HUGEINT) + {n} * 10000) // (2 * {n} * 10000) AS DOUBLE) / 100"
+    return f"CAST((2 * CAST(CAST({amount} AS DECIMAL(28,6)) * 1000000 AS HUGEINT) + {n} * 10000) // (2 * {n} * 10000) AS DOUBLE) / 100"
 
 
 EMAIL = "[^@\\s]+@[^@\\s]+\\.[^@\\s]+"
@@ -239,6 +239,22 @@ RULES = {
     ],
 }
 
+RULES["orders_ranged"] = [
+    (label, no_code("customer_id", "C", 9, 1000) if label == "invalid_customer_id" else cond) for label, cond in RULES["orders"]
+]
+RULES["inventory_by_day"] = [
+    (
+        label,
+        {
+            "invalid_warehouse_id": outside("trim(warehouse_id)", *[f"W{i:03d}" for i in range(1, 11)]),
+            "invalid_inventory_status": outside("trim(inventory_status)", "In Stock", "Low Stock", "Out of Stock", "Overstocked"),
+            "inventory_status_mismatch": cond.replace("inventory_status", "trim(inventory_status)"),
+            "future_last_updated": f"CAST(updated AS DATE) > DATE '{AS_OF}'",
+        }.get(label, cond),
+    )
+    for label, cond in RULES["inventory"]
+]
+
 KEYS = {
     "customers": "customer_id", "sellers": "seller_id", "products": "product_id", "orders": "order_id",
     "order_items": "order_item_id", "payments": "payment_id", "inventory": "inventory_id",
@@ -253,14 +269,14 @@ def _prepared(entity: str) -> list[str]:
     if entity == "payments":
         ctes += _labelled("orders")
         ctes.append(
-            f"order_refs AS (SELECT trim(order_id) AS ref_id, {ts('order_date')} AS ref_date, {num('total_amount')} AS ref_total "
+            f"order_refs AS (SELECT order_id AS ref_id, {ts('order_date')} AS ref_date, {num('total_amount')} AS ref_total "
             "FROM orders_l WHERE _dq_issue IS NULL)"
         )
-        join, extra = " LEFT JOIN order_refs ON trim(v.order_id) = ref_id", ", ref_id, ref_date, ref_total"
+        join, extra = " LEFT JOIN order_refs ON v.order_id = ref_id", ", ref_id, ref_date, ref_total"
     elif entity == "inventory":
         ctes += _labelled("products")
-        ctes.append("product_refs AS (SELECT trim(product_id) AS ref_id FROM products_l WHERE _dq_issue IS NULL)")
-        join, extra = " LEFT JOIN product_refs ON trim(v.product_id) = ref_id", ", ref_id"
+        ctes.append("product_refs AS (SELECT product_id AS ref_id FROM products_l WHERE _dq_issue IS NULL)")
+        join, extra = " LEFT JOIN product_refs ON v.product_id = ref_id", ", ref_id"
     elif entity == "products":
         ctes.append(f"pairs AS (SELECT * FROM {PAIRS})")
         join = " LEFT JOIN pairs ON v.category = pairs.category AND v.subcategory = pairs.subcategory"
@@ -437,12 +453,49 @@ def status_counts() -> str:
     )
 
 
+def _mart_checks(key: str, required, amounts) -> str:
+    branches = [f"SELECT 'repeated_{key}' AS \"check\", count(*) AS violations FROM (SELECT {key} FROM m GROUP BY 1 HAVING count(*) > 1)"]
+    branches += [f"SELECT 'null_{c}' AS \"check\", count(*) AS violations FROM m WHERE {c} IS NULL" for c in required]
+    branches += [f"SELECT 'negative_{c}' AS \"check\", count(*) AS violations FROM m WHERE {c} < 0" for c in amounts]
+    return " UNION ALL ".join(branches)
+
+
 def mart_check() -> str:
     amounts = ("gross_sales", "discount_amount", "tax_amount", "net_sales", "successful_payment_amount")
-    branches = ["SELECT 'repeated_sales_date' AS \"check\", count(*) AS violations FROM (SELECT sales_date FROM m GROUP BY 1 HAVING count(*) > 1)",
-                "SELECT 'null_sales_date' AS \"check\", count(*) AS violations FROM m WHERE sales_date IS NULL"]
-    branches += [f"SELECT 'negative_{c}' AS \"check\", count(*) AS violations FROM m WHERE {c} < 0" for c in amounts]
-    return f"WITH m AS ({daily_sales()}) " + " UNION ALL ".join(branches)
+    return f"WITH m AS ({daily_sales()}) " + _mart_checks("sales_date", ["sales_date"], amounts)
+
+
+C360_COLUMNS = (
+    "customer_id", "first_name", "last_name", "city", "state", "country", "loyalty_tier", "customer_status",
+    "registration_date", "total_orders", "completed_orders", "cancelled_orders", "returned_orders", "total_items_purchased",
+    "total_spend", "first_order_date", "last_order_date", "successful_payment_amount", "average_order_value",
+    "customer_lifetime_days",
+)
+
+
+def mart_check_customers() -> str:
+    amounts = ("total_spend", "successful_payment_amount", "average_order_value", "total_orders")
+    return f"WITH m AS ({customer_360()}) " + _mart_checks("customer_id", C360_COLUMNS, amounts)
+
+
+def mart_conservation() -> str:
+    """What silver holds for silver customers, ids compared without outer spaces; the mart must hold as much."""
+    return _silver("customers", "orders", "order_items", "payments") + f""",
+known AS (SELECT trim(order_id) AS oid, order_status FROM orders_s WHERE trim(customer_id) IN (SELECT trim(customer_id) FROM customers_s)),
+spend AS (SELECT CAST(round(coalesce(sum({num('item_total')}), 0), 2) AS DOUBLE) AS total FROM order_items_s
+    WHERE trim(order_id) IN (SELECT oid FROM known WHERE order_status IN {DONE})),
+paid AS (SELECT CAST(round(coalesce(sum({num('amount')}), 0), 2) AS DOUBLE) AS total FROM payments_s
+    WHERE payment_status = 'Success' AND trim(order_id) IN (SELECT oid FROM known))
+SELECT 'spend' AS measure, total AS silver_total, total AS mart_total FROM spend
+UNION ALL SELECT 'paid', total, total FROM paid"""
+
+
+def resend_validate() -> str:
+    view = f"({sql_view('orders')})"
+    return (
+        "SELECT order_id, count(*) AS n_rows, CASE WHEN order_id IS NULL THEN 0 ELSE count(*) - 1 END AS n_duplicates "
+        f"FROM (SELECT order_id FROM {view} UNION ALL SELECT order_id FROM {view} WHERE ingest_seq % 17 = 0) GROUP BY order_id"
+    )
 
 
 def null_profile(columns) -> str:
@@ -453,9 +506,9 @@ def null_profile(columns) -> str:
 
 def payment_recheck() -> str:
     """Silver payments against raw orders: stated amount differs or no order total."""
-    ctes = _labelled("payments") + ["raw_orders AS (SELECT trim(order_id) AS rid, min(" + num("total_amount") + ") AS rtotal FROM orders_v WHERE NOT " + blank("order_id") + " GROUP BY 1)"]
+    ctes = _labelled("payments") + ["raw_orders AS (SELECT order_id AS rid, min(" + num("total_amount") + ") AS rtotal FROM orders_v WHERE NOT " + blank("order_id") + " GROUP BY 1)"]
     return _merge(ctes) + (
-        f"SELECT payment_id, amount, CAST(rtotal AS DOUBLE) AS order_total FROM payments_l LEFT JOIN raw_orders ON trim(order_id) = rid "
+        f"SELECT payment_id, amount, CAST(rtotal AS DOUBLE) AS order_total FROM payments_l LEFT JOIN raw_orders ON order_id = rid "
         f"WHERE rtotal IS NULL OR round({num('amount')}, 2) <> round(rtotal, 2)"
     )
 
@@ -472,7 +525,9 @@ _SUBCATEGORIES = """(VALUES ('Mobiles', 'Electronics'), ('Laptops', 'Electronics
 _RANKED = """SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS n,
  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem"""
 
-_RICH = "(SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0)"
+_NAMED = """(SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN 'no' || CAST(o_custkey AS VARCHAR) WHEN o_orderkey % 31 = 0 THEN NULL
+ ELSE CAST(o_custkey AS VARCHAR) END AS customer_id FROM orders)"""
+_CUSTOMERS = "(SELECT CAST(c_custkey AS VARCHAR) AS cid, c_mktsegment, c_acctbal FROM customer)"
 
 
 def _constraint_totals() -> str:
@@ -487,7 +542,7 @@ def _constraint_totals() -> str:
 def build() -> dict[str, str]:
     from ..entities import schemas
 
-    flag = "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id, c_custkey IS NOT NULL AS ref_exists FROM orders LEFT JOIN " + _RICH + " ON o_custkey = c_custkey"
+    flag = f"SELECT o_orderkey, customer_id, cid IS NOT NULL AS ref_exists FROM {_NAMED} LEFT JOIN {_CUSTOMERS} ON customer_id = cid"
     view = lambda e: f"({sql_view(e)})"
     return {
         "orders_first_issue": labels("orders"),
@@ -515,30 +570,41 @@ def build() -> dict[str, str]:
         "negative_counts": "SELECT 'c_acctbal' AS column_name, count(*) FILTER (WHERE c_acctbal < 0) AS negative_count FROM customer "
         "UNION ALL SELECT 'c_custkey', count(*) FILTER (WHERE c_custkey < 0) FROM customer",
         "constraint_report": silver_check("orders"),
+        **{
+            f"silver_recheck_{e}": silver_check(e)
+            for e in ("customers", "sellers", "products", "order_items", "payments", "inventory")
+        },
+        "orders_is_valid": _merge(_labelled("orders")) + "SELECT ingest_seq, _dq_issue IS NULL AS is_valid FROM orders_l",
+        "orders_validate_ranged": labels("orders", "orders_ranged"),
+        "inventory_validate_by_day": labels("inventory", "inventory_by_day"),
+        "customers_flag_all": f"SELECT ingest_seq, customer_id, count(*) OVER (PARTITION BY customer_id) > 1 AS is_repeated FROM {view('customers')}",
+        "resend_validate": resend_validate(),
         "layer_check": _merge(_labelled("orders")) + _constraint_totals(),
         "mart_check": mart_check(),
+        "mart_check_customers": mart_check_customers(),
+        "mart_conservation": mart_conservation(),
         "dedup_keep_first": "SELECT * EXCLUDE (n, copies) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) "
         f"FROM ({_RANKED}) WHERE n = 1",
         "dedup_flag_later": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, n > 1 AS is_later_copy FROM ({_RANKED})",
         "dedup_flag_all": f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, copies > 1 AS is_repeated FROM ({_RANKED})",
-        "dedup_exact": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem",
+        "dedup_exact": "SELECT DISTINCT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM "
+        "(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 17 = 0)",
         "ref_exists_flag": flag,
         "ref_exists_broadcast": flag,
-        "ref_attributes": "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id, c_mktsegment AS segment, "
-        f"c_acctbal AS balance, c_custkey IS NOT NULL AS customer_found FROM orders LEFT JOIN {_RICH} ON o_custkey = c_custkey",
-        "orphan_report": "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id FROM orders WHERE NOT EXISTS "
-        f"(SELECT 1 FROM {_RICH} WHERE c_custkey = o_custkey)",
+        "ref_attributes": "SELECT o_orderkey, customer_id, c_mktsegment AS segment, c_acctbal AS balance, cid IS NOT NULL AS customer_found "
+        f"FROM {_NAMED} LEFT JOIN {_CUSTOMERS} ON customer_id = cid",
+        "orphan_report": f"SELECT o_orderkey, customer_id FROM {_NAMED} WHERE NOT EXISTS (SELECT 1 FROM {_CUSTOMERS} WHERE cid = customer_id)",
         "payment_orphans": _silver("orders") + f"SELECT ingest_seq, order_id FROM {view('payments')} v WHERE NOT EXISTS "
-        "(SELECT 1 FROM orders_s s WHERE trim(s.order_id) = trim(v.order_id))",
-        "dependent_vocabulary": "SELECT p_partkey, p_type, p_brand FROM part a WHERE NOT EXISTS "
-        "(SELECT 1 FROM part b WHERE b.p_size >= 40 AND b.p_type = a.p_type AND b.p_brand = a.p_brand)",
+        "(SELECT 1 FROM orders_s s WHERE s.order_id = v.order_id)",
+        "dependent_vocabulary": "SELECT * FROM (SELECT p_partkey, p_type, CASE WHEN p_partkey % 19 = 0 THEN 'Brand#00' ELSE p_brand END AS p_brand "
+        "FROM part) a WHERE NOT EXISTS (SELECT 1 FROM part b WHERE b.p_type = a.p_type AND b.p_brand = a.p_brand)",
         "taxonomy_check": "SELECT ingest_seq, v.category, v.subcategory, pairs.category IS NULL AS outside "
         f"FROM {view('products')} v LEFT JOIN {PAIRS} ON v.category = pairs.category AND v.subcategory = pairs.subcategory",
         "ship_before_order": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, "
         "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate",
-        "order_total_reconciliation": "SELECT o_orderkey, o_totalprice, CAST(line_total AS DOUBLE) AS line_total FROM orders LEFT JOIN "
-        "(SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS line_total FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey "
-        "WHERE line_total IS NULL OR line_total <> CAST(o_totalprice AS DECIMAL(18,2))",
+        "order_total_reconciliation": "SELECT l_orderkey AS o_orderkey, CAST(total + CASE WHEN l_orderkey % 37 = 0 THEN 0.01 ELSE 0 END AS DOUBLE) AS stated_total, "
+        "CASE WHEN l_orderkey % 41 <> 0 THEN CAST(total AS DOUBLE) END AS line_total FROM "
+        "(SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY 1) WHERE l_orderkey % 37 = 0 OR l_orderkey % 41 = 0",
         "payment_recheck": payment_recheck(),
         "line_total_check": f"SELECT ingest_seq, ingest_sub, ingest_day, quantity, unit_price, item_total, CAST(round({product(num('quantity'), num('unit_price'))}, 2) AS DOUBLE) AS computed_total "
         f"FROM {view('order_items')} WHERE round({num('item_total')}, 2) <> round({product(num('quantity'), num('unit_price'))}, 2)",
@@ -558,7 +624,7 @@ def build() -> dict[str, str]:
         "quantity_triage": f"SELECT CASE WHEN quantity IS NULL THEN 'missing' WHEN n < 0 THEN 'return' WHEN n > 0 THEN 'sale' WHEN n = 0 THEN 'zero' ELSE 'malformed' END AS quantity_class, "
         f"count(*) AS count FROM (SELECT quantity, {num('quantity')} AS n FROM {view('order_items')}) GROUP BY 1",
         "price_normalize": "SELECT ingest_seq, unit_price, CAST(TRY_CAST(CASE WHEN unit_price LIKE 'Rs.%' THEN substr(unit_price, 4) "
-        f"WHEN unit_price LIKE '₹%' THEN substr(unit_price, 2) ELSE unit_price END AS DECIMAL(18,6)) AS DOUBLE) AS unit_price_number FROM {view('products')}",
+        f"WHEN unit_price LIKE '₹%' THEN substr(unit_price, 2) ELSE unit_price END AS DECIMAL(30,10)) AS DOUBLE) AS unit_price_number FROM {view('products')}",
         "region_lookup": f"SELECT state, region, count(*) AS count FROM {view('customers')} v LEFT JOIN {_REGIONS} ON trim(v.state) = name GROUP BY ALL",
         "category_backfill": f"SELECT ingest_seq, CASE WHEN {blank('category')} THEN cat ELSE category END AS category, subcategory "
         f"FROM {view('products')} v LEFT JOIN {_SUBCATEGORIES} ON trim(v.subcategory) = sub",

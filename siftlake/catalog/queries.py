@@ -17,6 +17,9 @@ from ..sources.tables import read_table as table
 from . import oracles
 from .views import AS_OF, DIGITS, ORDER_BY, spark_view
 
+# Upper end of the customer ids that the ranged variant accepts.
+MAX_CUSTOMER = 1000
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate"]
 
@@ -47,6 +50,8 @@ def ruleset(name: str) -> dq.RuleSet:
         "products": lambda: entities.products_strict(AS_OF),
         "products_multi": lambda: entities.products_multi(AS_OF),
         "orders": lambda: entities.orders(AS_OF, DIGITS, None),
+        "orders_ranged": lambda: entities.orders(AS_OF, DIGITS, MAX_CUSTOMER),
+        "inventory_by_day": lambda: entities.inventory(AS_OF, grain="date", trim=True),
         "order_items": lambda: entities.order_items(DIGITS, None, None),
         "payments": lambda: entities.payments(AS_OF),
         "inventory": lambda: entities.inventory(AS_OF),
@@ -138,14 +143,35 @@ def q_negative_counts(spark, sf_dir):
     return report.negative_profile(customer, ["c_acctbal", "c_custkey"])
 
 
-def q_constraint_report(spark, sf_dir):
-    rules = ruleset("orders")
-    view = spark_view(spark, sf_dir, "orders")
-    raw = report.check_rules(view, rules, order_by=ORDER_BY["orders"])
-    clean = report.check_rules(Silver(spark, sf_dir)["orders"], rules, order_by=ORDER_BY["orders"])
+def q_silver_check(spark, sf_dir, entity):
+    """Rules of an entity counted on the raw view and again on its silver rows."""
+    rules, silver = ruleset(entity), Silver(spark, sf_dir)
+    refs_ = silver.references(entity)
+    raw = report.check_rules(spark_view(spark, sf_dir, entity), rules, refs_, ORDER_BY[entity])
+    clean = report.check_rules(silver[entity], rules, refs_, ORDER_BY[entity])
     return raw.select(F.lit("raw").alias("layer"), "*").unionByName(clean.select(F.lit("silver").alias("layer"), "*"))
 
 
+def q_is_valid(spark, sf_dir):
+    rows, rules = prepared(spark, sf_dir, "orders")
+    return rows.select("ingest_seq", dq.is_valid(rules.rules).alias("is_valid"))
+
+
+def q_flag_all_customers(spark, sf_dir):
+    """Every copy of a repeated customer id; NULL ids are equal to each other."""
+    rows = dedup.flag_all_copies(spark_view(spark, sf_dir, "customers"), "customer_id", "is_repeated", "equal")
+    return rows.select("ingest_seq", "customer_id", "is_repeated")
+
+
+def q_resend_validate(spark, sf_dir):
+    """Orders without an arrival number, every 17th row sent twice: rows and duplicates of each id."""
+    view = spark_view(spark, sf_dir, "orders")
+    sent = view.union(view.where("ingest_seq % 17 = 0")).select(*schemas.ORDERS)
+    found = dq.validate(sent, ruleset("orders"))
+    duplicate = F.count_if(F.col(dq.ISSUE) == "duplicate_order_record")
+    return found.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(duplicate, F.lit(0)).alias("n_duplicates"))
+
+
 def q_layer_check(spark, sf_dir):
     rows = labelled(spark, sf_dir, "orders")
     return report.check_layers(dq.silver(rows), dq.quarantine(rows))
@@ -156,6 +182,44 @@ def q_mart_check(spark, sf_dir):
     return report.check_mart(daily(spark, sf_dir, ordered=False), "sales_date", amounts)
 
 
+def customers_mart(spark, sf_dir, silver: Silver | None = None, ordered: bool = True) -> DataFrame:
+    silver = silver or Silver(spark, sf_dir, shared=("orders",))
+    t = [silver[e] for e in ("customers", "orders", "order_items", "payments")]
+    return marts.customer_360(*t, ordered=ordered)
+
+
+def q_mart_check_customers(spark, sf_dir):
+    mart = customers_mart(spark, sf_dir, ordered=False)
+    amounts = ["total_spend", "successful_payment_amount", "average_order_value", "total_orders"]
+    return report.check_mart(mart, "customer_id", amounts, mart.columns)
+
+
+def q_mart_conservation(spark, sf_dir):
+    """Silver amounts that belong to a silver customer, outer spaces of ids aside, and the customer mart's totals."""
+    c = F.col
+    silver = Silver(spark, sf_dir, shared=("customers", "orders", "order_items", "payments"))
+    known = silver["customers"].select(F.trim("customer_id").alias("_customer"))
+    orders = silver["orders"].select(F.trim("order_id").alias("_order"), F.trim("customer_id").alias("_customer"), "order_status")
+    orders = orders.join(known, "_customer", "left_semi")
+    done = orders.where(c("order_status").isin(*v.COMPLETED_STATUSES)).select("_order")
+    items = silver["order_items"].withColumn("_order", F.trim("order_id")).join(done, "_order", "left_semi")
+    paid = silver["payments"].where("payment_status = 'Success'").withColumn("_order", F.trim("order_id"))
+    paid = paid.join(orders.select("_order"), "_order", "left_semi")
+    mart = customers_mart(spark, sf_dir, silver, ordered=False)
+
+    def row(measure, rows, name, amount):
+        return rows.select(F.lit(measure).alias("measure"), F.lit(name).alias("side"), amount.alias("amount"))
+
+    sides = row("spend", items, "silver", parsing.number(c("item_total"))).union(row("spend", mart, "mart", c("total_spend")))
+    sides = sides.union(row("paid", paid, "silver", parsing.number(c("amount"))))
+    sides = sides.union(row("paid", mart, "mart", c("successful_payment_amount")))
+    totals = [
+        parsing.money(F.coalesce(F.sum(F.when(c("side") == name, c("amount"))), F.lit(0))).alias(f"{name}_total")
+        for name in ("silver", "mart")
+    ]
+    return plain(sides.groupBy("measure").agg(*totals))
+
+
 def q_dedup_keep_first(spark, sf_dir):
     return plain(dedup.keep_first(line_table(spark, sf_dir), LINE_KEY, LINE_ORDER))
 
@@ -171,19 +235,22 @@ def q_dedup_flag_all(spark, sf_dir):
 
 
 def q_dedup_exact(spark, sf_dir):
-    lines = line_table(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    return dedup.drop_exact_copies(lines)
+    """Whole line items, those of every 17th order sent twice."""
+    lines = line_table(spark, sf_dir)
+    return plain(dedup.drop_exact_copies(lines.union(lines.where("l_orderkey % 17 = 0"))))
 
 
 def _with_text_ids(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").withColumn("customer_id", F.col("o_custkey").cast("string"))
-    rich = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
-    return orders, rich.withColumn("customer_id", F.col("c_custkey").cast("string"))
+    """All orders and customers with text ids; every 29th order names nobody known, every 31st nobody."""
+    key = F.col("o_orderkey")
+    planted = F.when(key % 29 == 0, F.concat(F.lit("no"), F.col("o_custkey"))).when(key % 31 == 0, F.lit(None))
+    orders = table(spark, sf_dir, "orders").withColumn("customer_id", planted.otherwise(F.col("o_custkey").cast("string")))
+    return orders, table(spark, sf_dir, "customer").withColumn("customer_id", F.col("c_custkey").cast("string"))
 
 
 def q_ref_exists_flag(spark, sf_dir):
     orders, customers = _with_text_ids(spark, sf_dir)
-    return refs.exists_flag(orders, customers, "customer_id", "customer_id").select("o_orderkey", "customer_id", "ref_exists")
+    return refs.exists_flag(orders, customers, "customer_id", "customer_id", spread_by=["o_orderkey"]).select("o_orderkey", "customer_id", "ref_exists")
 
 
 def q_ref_exists_broadcast(spark, sf_dir):
@@ -196,13 +263,13 @@ def q_ref_attributes(spark, sf_dir):
     orders, customers = _with_text_ids(spark, sf_dir)
     attributes = {"segment": F.col("c_mktsegment"), "balance": parsing.number(F.col("c_acctbal"))}
     lookup = refs.Lookup("customers", "customer_id", "customer_id", "customer_found", attributes)
-    joined = refs.attach(orders, customers, lookup)
+    joined = refs.attach(orders, customers, lookup, spread_by=["o_orderkey"])
     return plain(joined.select("o_orderkey", "customer_id", "segment", "balance", "customer_found"))
 
 
 def q_orphan_report(spark, sf_dir):
     orders, customers = _with_text_ids(spark, sf_dir)
-    return refs.orphans(orders, customers, "customer_id", "customer_id").select("o_orderkey", "customer_id")
+    return refs.orphans(orders, customers, "customer_id", "customer_id", spread_by=["o_orderkey"]).select("o_orderkey", "customer_id")
 
 
 def q_payment_orphans(spark, sf_dir):
@@ -211,10 +278,10 @@ def q_payment_orphans(spark, sf_dir):
 
 
 def q_dependent_vocabulary(spark, sf_dir):
-    """Parts whose (type, brand) never occurs among large parts."""
-    parts = table(spark, sf_dir, "part")
-    vocabulary = parts.where("p_size >= 40").select("p_type", "p_brand")
-    return refs.outside_vocabulary(parts, vocabulary, ["p_type", "p_brand"]).select("p_partkey", "p_type", "p_brand")
+    """Parts, every 19th of another brand, whose (type, brand) does not occur in the table."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    other = F.when(F.col("p_partkey") % 19 == 0, F.lit("Brand#00")).otherwise(F.col("p_brand"))
+    return refs.outside_vocabulary(parts.withColumn("p_brand", other), parts, ["p_type", "p_brand"]).select(*parts.columns)
 
 
 def q_taxonomy_check(spark, sf_dir):
@@ -226,24 +293,23 @@ def q_ship_before_order(spark, sf_dir):
     lines = line_table(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
     hot = skew.hot_keys(lines, F.col("l_orderkey"))
-    joined = skew.spread_lookup(lines, orders, "l_orderkey", "order_key", hot)
+    joined = skew.spread_lookup(lines, orders, "l_orderkey", "order_key", hot, spread_by=[*LINE_KEY, *LINE_ORDER])
     early = p.exceeds(F.col("o_orderdate"), F.col("l_shipdate"))
     return plain(joined.where(early).select(*LINE_KEY, *LINE_ORDER, "o_orderdate"))
 
 
 def q_order_total_reconciliation(spark, sf_dir):
-    """Orders whose total differs from the sum of their lines."""
+    """Orders whose stated total differs from the sum of their lines: every 37th is a cent off, every 41st has no line."""
+    key = F.col("l_orderkey")
     price = parsing.number(F.col("l_extendedprice"))
-    computed = (
-        line_table(spark, sf_dir)
-        .groupBy("l_orderkey")
-        .agg(parsing.money(F.sum(price)).alias("line_total"))
-    )
-    orders = table(spark, sf_dir, "orders")
-    joined = orders.join(computed, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    stated = parsing.number(F.col("o_totalprice"))
-    wrong = F.col("line_total").isNull() | p.disagrees(stated, F.col("line_total"))
-    return plain(joined.where(wrong).select("o_orderkey", "o_totalprice", "line_total"))
+    lines = line_table(spark, sf_dir)
+    sums = lines.groupBy("l_orderkey").agg(parsing.money(F.sum(price)).alias("line_total"))
+    cent = F.when(key % 37 == 0, F.lit("0.01").cast("decimal(3,2)")).otherwise(0)
+    orders = sums.select(key.alias("o_orderkey"), (F.col("line_total") + cent).alias("stated_total"))
+    ref = sums.where(key % 41 != 0).select(key.alias("order_key"), "line_total")
+    lookup = refs.Lookup("lines", "o_orderkey", "order_key", "_found", {"line_total": F.col("line_total")})
+    wrong = refs.reconcile(orders, ref, lookup, F.col("stated_total"), "line_total")
+    return plain(wrong.select("o_orderkey", "stated_total", "line_total"))
 
 
 def q_payment_recheck(spark, sf_dir):
@@ -302,7 +368,7 @@ def q_status_consistency(spark, sf_dir):
     return _flags(spark, sf_dir, "inventory", status_conflict=conflict)
 
 
-def _hot(spark, sf_dir, entity, column):
+def _hot(spark, sf_dir, entity, column) -> DataFrame:
     return skew.hot_keys(spark_view(spark, sf_dir, entity), F.col(column))
 
 
@@ -313,7 +379,6 @@ def daily(spark, sf_dir, ordered: bool = True):
         silver["order_items"],
         silver["payments"],
         item_ids_unique=True,
-        hot_orders=_hot(spark, sf_dir, "order_items", "order_id"),
         ordered=ordered,
     )
 
@@ -323,9 +388,7 @@ def q_daily_sales(spark, sf_dir):
 
 
 def q_customer_360(spark, sf_dir):
-    silver = Silver(spark, sf_dir, shared=("orders",))
-    t = [silver[e] for e in ("customers", "orders", "order_items", "payments")]
-    return plain(marts.customer_360(*t))
+    return plain(customers_mart(spark, sf_dir))
 
 
 def q_sales_with_product(spark, sf_dir):
@@ -437,9 +500,20 @@ _QUERIES = {
     "duplicate_keys": q_repeated_keys,
     "duplicate_key_summary": q_repeated_key_summary,
     "negative_counts": q_negative_counts,
-    "constraint_report": q_constraint_report,
+    "constraint_report": partial(q_silver_check, entity="orders"),
+    **{
+        f"silver_recheck_{e}": partial(q_silver_check, entity=e)
+        for e in ("customers", "sellers", "products", "order_items", "payments", "inventory")
+    },
+    "orders_is_valid": q_is_valid,
+    "orders_validate_ranged": partial(q_labels, entity="orders", rules="orders_ranged"),
+    "inventory_validate_by_day": partial(q_labels, entity="inventory", rules="inventory_by_day"),
+    "customers_flag_all": q_flag_all_customers,
+    "resend_validate": q_resend_validate,
     "layer_check": q_layer_check,
     "mart_check": q_mart_check,
+    "mart_check_customers": q_mart_check_customers,
+    "mart_conservation": q_mart_conservation,
     "dedup_keep_first": q_dedup_keep_first,
     "dedup_flag_later": q_dedup_flag_later,
     "dedup_flag_all": q_dedup_flag_all,

@@ -230,9 +230,10 @@ ORDER_ITEMS = _select(
             code("P", "l_partkey"), "(l_partkey + l_linenumber)", 419, "''", "'X' || CAST(l_partkey AS STRING)", "NULL"
         ),
         "quantity": plant(
-            "CAST(CAST(l_quantity AS INT) AS STRING)", "(l_orderkey + l_linenumber)", 421, "'0'", "'1.5'", "'abc'", "NULL", "'-2'"
+            "CAST(CAST(l_quantity AS INT) AS STRING)", "(l_orderkey + l_linenumber)", 421,
+            "'0'", "'1.5'", "'abc'", "NULL", "'-2'", "'1000000000000'", "'1.0000001'",
         ),
-        "unit_price": plant(f"CAST({_PRICE} AS STRING)", "(l_orderkey + l_linenumber)", 431, "'0'", "'NaN'"),
+        "unit_price": plant(f"CAST({_PRICE} AS STRING)", "(l_orderkey + l_linenumber)", 431, "'0'", "'NaN'", "'0.0000001'"),
         "discount_amount": plant(
             plant(f"CAST({_LINE_DISCOUNT} AS STRING)", "(l_orderkey + l_partkey)", 439, f"CAST(CAST({_GROSS} + 0.01 AS DECIMAL(18,2)) AS STRING)"),
             "(l_orderkey + l_linenumber)", 433, "'-1'", "NULL",

@@ -64,7 +64,7 @@ def products_multi(as_of=v.AS_OF) -> RuleSet:
         rules=(
             Rule("missing_product_id", p.blank(c("product_id"))),
             Rule("duplicate_product_id", c(DUPLICATE)),
-            Rule("invalid_seller_id", p.bad_code(c("seller_id"), "S", 5)),
+            Rule("invalid_seller_id", p.not_matching(c("seller_id"), r"\AS[0-9]{5}\z")),
             Rule("missing_product_name", p.blank(c("product_name"))),
             Rule("invalid_category", p.blank(c("category"))),
             Rule("invalid_subcategory", p.blank(c("subcategory"))),

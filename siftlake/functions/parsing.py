@@ -5,11 +5,13 @@ from pyspark.sql import Column, functions as F
 # Everything a regex calls white space; F.trim alone strips spaces only.
 WHITESPACE = " \t\n\x0b\f\r"
 
-# Wide enough for prices, fine enough to keep 0.004 and 1.001 apart from 0 and 1.
-NUMBER = "decimal(18,6)"
-MONEY = "decimal(18,2)"
+# Values below 10^20 with ten places: wide and fine enough for amounts, their products and sums.
+NUMBER = "decimal(30,10)"
+MONEY = "decimal(38,2)"
 
-ISO_TIMESTAMP = r"\A\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)?\z"
+# A full date, alone or with a time to the minute, second or fraction, and an offset.
+ISO_TIMESTAMP = r"\A\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?\z"
+OFFSET_TIMESTAMP = r"\A\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]\d{2}:?\d{2})\z"
 ISO_DATE = r"\A\d{4}-\d{2}-\d{2}\z"
 
 
@@ -29,12 +31,21 @@ def money(c: Column) -> Column:
 
 
 def timestamp(c: Column) -> Column:
-    """Zone-free timestamp from ISO text; a bare date means midnight.
+    """Zone-free timestamp from ISO text; a bare date means midnight, a time with an offset is taken in UTC.
 
-    The pattern keeps out the year-only and year-month forms a plain cast would accept.
+    The patterns keep out the year-only and year-month forms a plain cast would accept.
     """
     value = text(c)
-    return F.when(value.rlike(ISO_TIMESTAMP), value).try_cast("timestamp_ntz")
+    plain = F.when(value.rlike(ISO_TIMESTAMP), value).try_cast("timestamp_ntz")
+    # An offset of hours and minutes shifts the local time written before it.
+    zone = F.regexp_extract(value, r"(Z|[+-]\d{2}:?\d{2})\z", 1)
+    local = F.when(value.rlike(OFFSET_TIMESTAMP), F.regexp_replace(value, r"(?:Z|[+-]\d{2}:?\d{2})\z", ""))
+    minutes = F.when(zone == "Z", 0).otherwise(
+        F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int")
+        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.right(zone, F.lit(2)).try_cast("int"))
+    )
+    shifted = F.timestamp_add("MINUTE", -minutes, local.try_cast("timestamp_ntz"))
+    return F.coalesce(plain, shifted)
 
 
 def iso_date(c: Column) -> Column:
@@ -44,8 +55,8 @@ def iso_date(c: Column) -> Column:
 
 
 def code_number(c: Column, prefix: str, digits: int) -> Column:
-    """Number behind a coded id such as C000042; NULL when the text is not such a code."""
-    value = text(c)
+    """Number behind a coded id such as C000042; NULL when the text is not exactly such a code."""
+    value = c.cast("string")
     coded = value.rlike(rf"\A{prefix}[0-9]{{{digits}}}\z")
     return F.when(coded, F.substring(value, len(prefix) + 1, digits)).cast("bigint")
 

@@ -49,21 +49,17 @@ def _attach(
     df: DataFrame, repeated: DataFrame, keys: list[str], null_keys: str, broadcast_rows: int | None
 ) -> DataFrame:
     names = [f"_dup_key{i}" for i in range(len(keys))]
+    # Stored: the statistics are aggregated once, and Spark joins the table by its size.
+    repeated = materialize(repeated, "repeated-keys")
     if broadcast_rows is not None:
         # Few repeated keys: the rows themselves need no shuffle at all.
-        repeated = materialize(repeated, "repeated-keys")
         side = skew.bounded_broadcast(repeated, broadcast_rows)
         if side is not repeated:
             return df.join(side, _equal(df, side, keys, names, null_keys), "left").drop(*names)
     is_hot = F.col("_copies") >= skew.HOT_ROWS
-    if "_first" in repeated.columns:
-        # Reading every statistic in both branches lets Spark aggregate them once and reuse the exchange.
-        is_hot = is_hot & F.col("_first").isNotNull()
     n_buckets = skew.buckets(F.col("_copies"))
-
-    # At most total rows / HOT_ROWS keys are hot; stored, so that Spark joins the table by its size.
+    # At most total rows / HOT_ROWS keys are hot.
     hot = repeated.where(is_hot).select(*[F.col(n).alias(f"_hot{n}") for n in names], n_buckets.alias("_buckets"))
-    hot = materialize(hot, "hot-keys")
     marked = df.join(hot, _equal(df, hot, keys, [f"_hot{n}" for n in names], null_keys), "left")
     joined = skew.spread_join(
         marked.drop(*[f"_hot{n}" for n in names]),
@@ -109,12 +105,42 @@ def flag_all_copies(
     return out.withColumn(flag, F.col("_copies").isNotNull()).drop("_copies")
 
 
-def keep_first(df: DataFrame, keys, order_by) -> DataFrame:
-    """One row per key, the lowest by ``order_by``, in a single aggregation."""
+def flag_resends(
+    df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "distinct", order_by=()
+) -> DataFrame:
+    """``flag_later_copies`` for rows that may be resent as they are, or arrive at one time or at none.
+
+    Exact copies are aggregated into one row with their number first. Copies of a key that differ are
+    told apart by ``order_by`` and then by a hash of the row, so that exactly one of all is not flagged.
+    """
+    keys, order_by = _names(keys), _names(order_by)
+    columns = df.columns
+    # Copies of one row collapse before the shuffle, however many there are.
+    once = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_resent"))
+    once = once.withColumn("_row_hash", F.xxhash64(*columns))
+    found = flag_later_copies(once, keys, [*order_by, "_row_hash"], flag, null_keys)
+    found = found.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_resent"))).alias("_copy"))
+    repeated = F.col("_copy") > 1
+    if null_keys == "distinct":
+        repeated = repeated & reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return found.withColumn(flag, F.col(flag) | repeated).select(*columns, flag)
+
+
+def keep_first(df: DataFrame, keys, order_by, null_keys: str = "distinct") -> DataFrame:
+    """One row per key, the lowest by ``order_by``, in a single aggregation.
+
+    Rows with a NULL key are all kept, unless ``null_keys="equal"`` treats them as one key.
+    """
     keys, order_by = _names(keys), _names(order_by)
+    if null_keys not in ("distinct", "equal"):
+        raise ValueError(f"null_keys must be 'distinct' or 'equal', not {null_keys!r}")
     rest = [c for c in df.columns if c not in keys]
     first = F.min(F.struct(*_ordering(order_by), *rest)).alias("_row")
-    out = df.groupBy(*keys).agg(first)
+    groups = [F.col(k) for k in keys]
+    if null_keys == "distinct":
+        known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        groups.append(F.when(~known, F.monotonically_increasing_id()).alias("_own"))
+    out = df.groupBy(*groups).agg(first)
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .validate import ISSUE, RuleSet, prepare, validate
+from ..sources.lake import materialize
+from .validate import ISSUE, RuleSet, issue, prepare
 
 
 def _long(row: DataFrame, names: list[str], columns: list[str], first: str, value: str, numbered: bool = False) -> DataFrame:
@@ -107,18 +108,20 @@ def check_layers(silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     return _long(wide, names, ["a", "b", "c"], "check", "violations")
 
 
-def check_mart(mart: DataFrame, key: str, money_columns) -> DataFrame:
-    """Mart invariants as (check, violations): repeated keys, NULL keys, negative amounts."""
-    money_columns = list(money_columns)
-    repeated = repeated_keys(mart, key).agg(F.count(F.lit(1)).alias("violations"))
-    repeated = repeated.select(F.lit(f"repeated_{key}").alias("check"), "violations")
-    wide = mart.agg(
-        F.count_if(F.col(key).isNull()).alias("k"),
-        *[F.count_if(F.col(c) < 0).alias(f"n_{i}") for i, c in enumerate(money_columns)],
+def check_mart(mart: DataFrame, key: str, money_columns, required=None) -> DataFrame:
+    """Mart invariants as (check, violations): repeated keys, NULLs of required columns, negative amounts.
+
+    The mart is read once: its counts are summed per key and then over all keys.
+    """
+    money_columns, required = list(money_columns), list(required or [key])
+    flags = [F.col(c).isNull() for c in required] + [F.col(c) < 0 for c in money_columns]
+    per_key = mart.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(x).alias(f"_n{i}") for i, x in enumerate(flags)])
+    wide = per_key.agg(
+        F.count_if(F.col("_rows") > 1).alias("r"),
+        *[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"n_{i}") for i in range(len(flags))],
     )
-    names = [f"null_{key}"] + [f"negative_{c}" for c in money_columns]
-    columns = ["k"] + [f"n_{i}" for i in range(len(money_columns))]
-    return repeated.unionByName(_long(wide, names, columns, "check", "violations"))
+    names = [f"repeated_{key}"] + [f"null_{c}" for c in required] + [f"negative_{c}" for c in money_columns]
+    return _long(wide, names, ["r"] + [f"n_{i}" for i in range(len(flags))], "check", "violations")
 
 
 def schema_report(df: DataFrame):
@@ -127,10 +130,24 @@ def schema_report(df: DataFrame):
 
 
 def summary(df: DataFrame, ruleset: RuleSet, references=None, order_by=None) -> dict[str, DataFrame]:
-    """Rule counts, totals and label distribution of one entity, still lazy."""
-    labelled = validate(df, ruleset, references, order_by)
+    """Rule counts, totals and label distribution of one entity, from one validation.
+
+    Rows are validated and grouped by label once; the small stored result answers all three.
+    """
+    prepared = prepare(df, ruleset, references, order_by)
+    grouped = prepared.groupBy(issue(ruleset).alias(ISSUE)).agg(*rule_count_columns(ruleset))
+    grouped = materialize(grouped, "summary")
+    columns = [f"rule_{i}" for i in range(1, len(ruleset.rules) + 1)]
+    wide = grouped.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+    valid, rows = F.col(ISSUE).isNull(), F.col("rows")
+
+    def total(condition):
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0))
+
     return {
-        "rule_counts": check_rules(df, ruleset, references, order_by),
-        "totals": totals(labelled),
-        "distribution": issue_distribution(labelled),
+        "rule_counts": _long(wide, ruleset.labels, columns, "label", "violations", numbered=True),
+        "totals": grouped.agg(
+            total(F.lit(True)).alias("total_rows"), total(valid).alias("valid_rows"), total(~valid).alias("invalid_rows")
+        ),
+        "distribution": grouped.where(~valid).select(ISSUE, rows.alias("count")).orderBy(F.desc("count"), ISSUE),
     }

@@ -38,6 +38,7 @@ def spread_join(
     right_buckets: Column,
     how: str = "left",
     null_safe: bool = False,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Equi-join with the rows of hot keys spread over buckets.
 
@@ -45,11 +46,12 @@ def spread_join(
     columns give the number of buckets of the row's key and must agree for equal keys. Left rows
     with a NULL key match nothing (unless ``null_safe``) and are spread as well.
 
-    The bucket of a left row is a hash of its columns and its partition number: stable when a task is
+    The bucket of a left row is a hash of its columns (or of those in ``spread_by``, where reading all
+    would be waste and these differ within a key) and its partition number: stable when a task is
     repeated, even within a partition that holds one key only, and different for copies in different
     partitions.
     """
-    row = F.xxhash64(*left.columns, F.spark_partition_id())
+    row = F.xxhash64(*(spread_by or left.columns), F.spark_partition_id())
     bucket = F.when(left_buckets > 1, F.pmod(row, left_buckets))
     if not null_safe:
         for name, _ in on:
@@ -69,11 +71,15 @@ def with_buckets(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return df.join(hot.select("hot_key", F.col("buckets").alias("_buckets")), df[key] == F.col("hot_key"), "left").drop("hot_key")
 
 
-def spread_lookup(left: DataFrame, right: DataFrame, key: str, ref: str, hot: DataFrame, how: str = "left") -> DataFrame:
+def spread_lookup(
+    left: DataFrame, right: DataFrame, key: str, ref: str, hot: DataFrame, how: str = "left",
+    spread_by: list[str] | None = None,
+) -> DataFrame:
     """``spread_join`` on one key whose hot values are known."""
     right = with_buckets(right, ref, hot).withColumnRenamed("_buckets", "_right_buckets")
     out = spread_join(
-        with_buckets(left, key, hot), right, [(key, ref)], F.col("_buckets"), F.col("_right_buckets"), how
+        with_buckets(left, key, hot), right, [(key, ref)], F.col("_buckets"), F.col("_right_buckets"), how,
+        spread_by=spread_by,
     )
     return out.drop("_buckets", "_right_buckets")
 

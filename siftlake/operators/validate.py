@@ -5,7 +5,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.parsing import text
 from ..functions.predicates import blank
 from . import dedup, refs, skew
 
@@ -56,7 +55,8 @@ def prepare(
 ) -> DataFrame:
     """Add the helper columns the rules read: duplicate flag, reference attributes, parsed values.
 
-    ``broadcast_rows`` and ``unique_references`` are passed on to the duplicate flag and the lookups.
+    Without ``order_by`` rows have no arrival order: exact copies count as resent, and of the copies of a
+    key one is kept. ``broadcast_rows`` and ``unique_references`` are passed on to the duplicate flag and the lookups.
     """
     source = df = df.drop(ISSUE)
     if ruleset.duplicates:
@@ -67,12 +67,12 @@ def prepare(
         if ruleset.duplicates == "all":
             df = dedup.flag_all_copies(df, keyed, DUPLICATE, ruleset.null_keys, broadcast_rows)
         elif order_by is None:
-            raise ValueError("order_by is required to tell the first copy of a key from later ones")
+            df = dedup.flag_resends(df, keyed, DUPLICATE, ruleset.null_keys)
         else:
             df = dedup.flag_later_copies(df, keyed, order_by, DUPLICATE, ruleset.null_keys, broadcast_rows)
         df = df.drop("_duplicate_key")
     for lookup in ruleset.lookups:
-        usable = F.when(~blank(F.col(lookup.column)), text(F.col(lookup.column)))
+        usable = F.when(~blank(F.col(lookup.column)), refs.as_id(F.col(lookup.column)))
         hot = skew.hot_keys(source, usable)
         df = refs.attach(df, references[lookup.table], lookup, hot, unique_references)
     return parse_once(df, ruleset.derived)

@@ -6,6 +6,7 @@ never repeats it. Rule counts are observed during that same write.
 """
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -71,19 +72,30 @@ def promote(
     return EntityResult(values["rows"], values["invalid"], per_rule)
 
 
-def promote_all(lake: Lake, as_of, order_by) -> dict[str, EntityResult]:
-    """Every entity from raw to silver and quarantine, references before the tables that use them."""
-    rulesets = [
-        entities.customers(as_of),
-        entities.sellers(as_of),
-        entities.products_strict(as_of),
-        entities.orders(as_of),
-        entities.order_items(),
-        entities.payments(as_of),
-        entities.inventory(as_of),
-    ]
+def rule_sets(as_of, **parameters) -> list[RuleSet]:
+    """Rule sets of all entities, references before the tables that use them.
+
+    ``parameters`` maps an entity to the arguments of its rule set, such as ids of another range:
+    ``orders={"max_customer": None}``.
+    """
+    builders = {
+        "customers": partial(entities.customers, as_of),
+        "sellers": partial(entities.sellers, as_of),
+        "products": partial(entities.products_strict, as_of),
+        "orders": partial(entities.orders, as_of),
+        "order_items": entities.order_items,
+        "payments": partial(entities.payments, as_of),
+        "inventory": partial(entities.inventory, as_of),
+    }
+    if unknown := set(parameters) - set(builders):
+        raise ValueError(f"no such entity: {sorted(unknown)}")
+    return [build(**parameters.get(entity, {})) for entity, build in builders.items()]
+
+
+def promote_all(lake: Lake, as_of, order_by=None, **parameters) -> dict[str, EntityResult]:
+    """Every entity from raw to silver and quarantine; ``parameters`` as for ``rule_sets``."""
     results = {}
-    for ruleset in rulesets:
+    for ruleset in rule_sets(as_of, **parameters):
         lake.copy(ruleset.entity)
         references = {lookup.table: lake.read("silver", lookup.table) for lookup in ruleset.lookups}
         results[ruleset.entity] = promote(lake, ruleset, references, order_by)
@@ -93,7 +105,7 @@ def promote_all(lake: Lake, as_of, order_by) -> dict[str, EntityResult]:
 def build_marts(lake: Lake) -> None:
     """Write both gold marts from the silver tables."""
     t = lake.read_all("silver", ("customers", "orders", "order_items", "payments"))
-    c360 = marts.customer_360(t["customers"], t["orders"], t["order_items"], t["payments"])
+    c360 = marts.customer_360(t["customers"], t["orders"], t["order_items"], t["payments"], ordered=False)
     lake.write(c360, "gold", "customer_360")
-    daily = marts.daily_sales(t["orders"], t["order_items"], t["payments"], item_ids_unique=True)
+    daily = marts.daily_sales(t["orders"], t["order_items"], t["payments"], item_ids_unique=True, ordered=False)
     lake.write(daily, "gold", "daily_sales")

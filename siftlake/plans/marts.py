@@ -1,7 +1,7 @@
 """Gold marts: customer 360 and daily sales.
 
-Inputs are silver tables. Order items and payments are summed per order before they meet the
-orders, so one order with very many lines cannot unbalance a join.
+Inputs are silver tables. Order items and payments are summed per order before they meet the orders in
+both marts, so one order with very many lines cannot unbalance a join; only ``sales_lines`` joins single lines.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,7 +21,7 @@ def _zero(c):
 
 def _average(amount, n):
     """Amount per unit with enough digits left for an exact final rounding; NULL when n is 0."""
-    return F.try_divide(amount.cast("decimal(28,6)"), n.cast("decimal(19,0)"))
+    return F.try_divide(amount.cast("decimal(32,6)"), n.cast("decimal(19,0)"))
 
 
 def customer_360(
@@ -139,32 +139,47 @@ def daily_payments(payments: DataFrame) -> DataFrame:
 
 
 def daily_sales(
-    orders: DataFrame,
-    order_items: DataFrame,
-    payments: DataFrame,
-    item_ids_unique: bool = False,
-    hot_orders: DataFrame | None = None,
-    ordered: bool = True,
+    orders: DataFrame, order_items: DataFrame, payments: DataFrame, item_ids_unique: bool = False, ordered: bool = True
 ) -> DataFrame:
     """One row per day with a completed sale.
 
-    ``item_ids_unique`` (true for silver, where validation removed repeated ids) counts lines
-    without shuffling their ids.
+    Lines are summed per order before they meet the orders; the distinct products of a day come from the
+    distinct (order, product) pairs. ``item_ids_unique`` (true for silver, where validation removed
+    repeated ids) counts lines without shuffling their ids.
     """
     c = F.col
-    lines = sales_lines(orders, order_items, hot_orders).where(c("sales_date").isNotNull())
-    n_items = F.count("order_item_id") if item_ids_unique else F.count_distinct("order_item_id")
-    daily = lines.groupBy("sales_date").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        n_items.alias("total_order_items"),
-        F.sum("quantity").alias("_quantity"),
-        F.sum("gross_item_amount").alias("_gross"),
-        F.sum("discount_amount").alias("_discount"),
-        F.sum("tax_amount").alias("_tax"),
-        F.sum("item_total").alias("_net"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("product_id").alias("unique_products"),
+    eligible = orders.where(c("order_status").isin(*COMPLETED_STATUSES)).select(
+        c("order_id").alias("_order"), "customer_id", F.to_date(timestamp(c("order_date"))).alias("sales_date")
+    )
+    eligible = eligible.where(c("sales_date").isNotNull())
+    quantity = number(c("quantity"))
+    per_order = order_items.groupBy("order_id").agg(
+        F.count("order_item_id").alias("_items"),
+        F.sum(quantity).alias("_quantity"),
+        F.sum(quantity * number(c("unit_price"))).alias("_gross"),
+        F.sum(number(c("discount_amount"))).alias("_discount"),
+        F.sum(number(c("tax_amount"))).alias("_tax"),
+        F.sum(number(c("item_total"))).alias("_net"),
+    )
+    sold = per_order.join(eligible, c("order_id") == c("_order"))
+    sums = [F.sum(n).alias(n) for n in ("_items", "_quantity", "_gross", "_discount", "_tax", "_net")]
+    # One row per (day, customer) first; days with very many orders stay many rows until the last step.
+    per_customer = sold.groupBy("sales_date", "customer_id", "order_id").agg(*sums)
+    per_customer = per_customer.groupBy("sales_date", "customer_id").agg(F.count("order_id").alias("_orders"), *sums)
+    daily = per_customer.groupBy("sales_date").agg(
+        F.sum("_orders").alias("total_orders"), F.count("customer_id").alias("unique_customers"), *sums
     )
+
+    def per_day(column, name):
+        pairs = order_items.select("order_id", column).distinct().join(eligible, c("order_id") == c("_order"))
+        pairs = pairs.select(c("sales_date").alias("_day"), column).distinct()
+        return pairs.groupBy(c("_day").alias(f"_day_{name}")).agg(F.count(column).alias(name))
+
+    daily = daily.join(per_day("product_id", "unique_products"), c("sales_date") == c("_day_unique_products"))
+    if item_ids_unique:
+        daily = daily.withColumn("total_order_items", c("_items"))
+    else:
+        daily = daily.join(per_day("order_item_id", "total_order_items"), c("sales_date") == c("_day_total_order_items"))
     net = _zero(c("_net"))
     mart = daily.join(daily_payments(payments), c("sales_date") == c("payment_day"), "left").select(
         "sales_date",

@@ -1,42 +1,47 @@
 """Landing-zone readers with explicit schemas."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, DateType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-
-def _struct(names: str, **types) -> StructType:
-    return StructType([StructField(n, types.get(n, StringType())) for n in names.split()])
-
-
-CUSTOMERS = _struct("customer_id first_name last_name email phone city state signup_date customer_segment")
-PRODUCTS = _struct(
-    "product_id product_name category sub_category brand unit_price is_active", is_active=BooleanType()
+# The columns of the landing files. All are read as text, so that a malformed value stays
+# visible to the rules; a line that cannot be read at all is kept in CORRUPT.
+CUSTOMERS = (
+    "customer_id", "first_name", "last_name", "email", "phone", "city", "state", "signup_date", "customer_segment",
 )
-STORES = _struct("store_id store_name city state region")
-# discount_code appears in later files only; the superset schema reads NULL where it is absent.
-ORDERS = _struct("order_id customer_id store_id order_date order_status payment_mode channel discount_code")
-ORDER_ITEMS = _struct(
-    "order_id product_id quantity unit_price line_total",
-    quantity=LongType(), unit_price=DoubleType(), line_total=DoubleType(),
+PRODUCTS = ("product_id", "product_name", "category", "sub_category", "brand", "unit_price", "is_active")
+STORES = ("store_id", "store_name", "city", "state", "region")
+# discount_code appears in later files only; it reads as NULL where it is absent.
+ORDERS = (
+    "order_id", "customer_id", "store_id", "order_date", "order_status", "payment_mode", "channel", "discount_code",
 )
+ORDER_ITEMS = ("order_id", "product_id", "quantity", "unit_price", "line_total")
 
 LANDING_DATE = "landing_date"
+CORRUPT = "_corrupt_record"
+
 
+def _text_schema(columns) -> StructType:
+    return StructType([StructField(c, StringType()) for c in (*columns, CORRUPT)])
 
-def read_csv(spark: SparkSession, root: str, schema: StructType, partition: str = "ingest_date") -> DataFrame:
-    """CSV files under ``root/<partition>=<date>/``; the directory date becomes ``landing_date``."""
-    full = StructType(list(schema.fields) + [StructField(partition, DateType())])
-    df = spark.read.schema(full).option("header", True).csv(root)
+
+def read_csv(spark: SparkSession, root: str, columns, partition: str = "ingest_date") -> DataFrame:
+    """CSV files under ``root/<partition>=<date>/``; the directory date becomes ``landing_date``.
+
+    Lines with too few or too many values are kept, their text in ``_corrupt_record``.
+    """
+    full = _text_schema(columns).add(partition, DateType())
+    df = spark.read.schema(full).option("header", True).option("columnNameOfCorruptRecord", CORRUPT).csv(root)
     return df.withColumnRenamed(partition, LANDING_DATE)
 
 
-def read_json_lines(spark: SparkSession, root: str, schema: StructType, partition: str = "order_date") -> DataFrame:
-    """JSON Lines under ``root/<partition>=<date>/``.
+def read_json_lines(spark: SparkSession, root: str, columns, partition: str = "order_date") -> DataFrame:
+    """JSON Lines under ``root/<partition>=<date>/``; a line that is no JSON is kept in ``_corrupt_record``.
 
     The directory is named like a column of the records, so partition discovery would overwrite the
     record's own value. Files are listed recursively and the landing date is read from the path.
     """
-    df = spark.read.schema(schema).option("recursiveFileLookup", True).json(root)
+    reader = spark.read.schema(_text_schema(columns)).option("recursiveFileLookup", True)
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).json(root)
     day = F.regexp_extract(F.col("_metadata.file_path"), rf"{partition}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
     return df.withColumn(LANDING_DATE, day.try_cast("date"))
 

@@ -134,13 +134,13 @@ ACCEPTED = {
     "customers": [{"email": "a@b.c"}, {"phone": "6000000000"}, {"phone": " 9999999999 "}, {"postal_code": "000000"},
                   {"date_of_birth": "2026-08-01"}, {"registration_date": "2026-07-31 10:00:00"}, {"country": " India "}],
     "sellers": [{"seller_rating": 1.0}, {"joined_date": "2026-08-01"}],
-    "products": [{"seller_id": "S01000"}, {"seller_id": " S00001 "}, {"category": "Electronics", "subcategory": "Accessories"},
+    "products": [{"seller_id": "S01000"}, {"category": "Electronics", "subcategory": "Accessories"},
                  {"unit_price": "1e3"}, {"unit_price": " 120 "}, {"stock_quantity": "0"}, {"cost_price": "0.004", "unit_price": "0.005"}],
     "orders": [{"customer_id": "C050000"}, {"total_amount": "100.004"}, {"order_date": "2026-08-01"},
                {"discount_amount": "100.00", "total_amount": "10.00"}, {"order_date": "2026-07-01T10:00:00"}],
     "order_items": [{"quantity": "2.0"}, {"item_total": "95.004"}, {"product_id": "P010000"}],
     "payments": [{"payment_status": "Pending", "transaction_reference": None}, {"amount": "100.004"},
-                 {"order_id": " O000001 "}, {"payment_date": "2026-07-01"}, {"transaction_reference": " TXN7 "}],
+                 {"payment_date": "2026-07-01"}, {"transaction_reference": " TXN7 "}],
     "inventory": [{"inventory_status": "Overstocked"}, {"inventory_status": "Low Stock"}, {"reorder_level": "8", "inventory_status": "Low Stock"},
                   {"stock_quantity": "2", "available_quantity": "0", "inventory_status": "Out of Stock"}, {"last_updated": "2026-08-01"}],
 }
@@ -287,6 +287,37 @@ def test_validity_flag_agrees_with_label(spark):
     assert flagged.where("ok is null or ok <> unlabelled").count() == 0
 
 
-def test_order_is_required_for_keep_first(spark):
-    with pytest.raises(ValueError):
-        dq.validate(frame(spark, "orders", [{}]), entities.orders())
+def test_without_arrival_order_exact_copies_are_resends(spark):
+    rows = frame(spark, "orders", [{}, {}, {"order_id": "O000002"}]).drop("ingest_seq")
+    labels = sorted(str(r._dq_issue) for r in dq.validate(rows, entities.orders()).collect())
+    assert labels == ["None", "None", "duplicate_order_record"]
+
+
+@pytest.mark.parametrize("value, parsed", [
+    ("2026-01-01T10:00:00Z", "2026-01-01 10:00:00"), ("2026-01-01 10:00+05:30", "2026-01-01 04:30:00"),
+    ("2026-01-01 10:00", "2026-01-01 10:00:00"), ("2026-01-01T10:00:00.1234567", "2026-01-01 10:00:00.123456"),
+    ("2026-01-01", "2026-01-01 00:00:00"), ("2026-01", None), ("2026", None), ("2026-02-30", None),
+])
+def test_timestamp_forms(spark, value, parsed):
+    from pyspark.sql import functions as F
+    from siftlake.functions.parsing import timestamp
+
+    row = spark.createDataFrame([(value,)], "v string").select(timestamp(F.col("v")).alias("t")).first()
+    assert (None if row.t is None else str(row.t)) == parsed
+
+
+def test_numbers_beyond_the_usual(spark):
+    """Large and tiny amounts are judged as they are, and ids with outer spaces are not codes."""
+    from siftlake.plans import marts
+
+    changes = [
+        {"quantity": "1000000000000", "item_total": "1"}, {"unit_price": "0.0000001"}, {"quantity": "1.0000001"},
+        {"order_id": " O000001 "}, {"order_id": "O000001"},
+    ]
+    rows = frame(spark, "order_items", [{**c, "order_item_id": str(i)} for i, c in enumerate(changes)])
+    got = [r._dq_issue for r in dq.validate(rows, entities.order_items(), None, "ingest_seq").orderBy("ingest_seq").collect()]
+    # A discount of 10 exceeds a gross amount of next to nothing.
+    assert got == ["invalid_item_total", "discount_exceeds_gross_amount", "invalid_quantity", "invalid_order_id", None]
+    items = frame(spark, "order_items", [{"order_item_id": str(i), "item_total": "20000000000000000"} for i in range(3)])
+    mart = marts.daily_sales(frame(spark, "orders", [{}]), items, frame(spark, "payments", [{}]), item_ids_unique=True)
+    assert mart.first().net_sales == 60000000000000000

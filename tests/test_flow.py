@@ -120,12 +120,14 @@ def test_promotion_needs_three_write_jobs(spark, lake):
 
 def test_work_table_goes_to_the_shared_folder():
     def session(folder):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder))
+        context = SimpleNamespace(master="spark://cluster:1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
 
     one = Lake(session("/shared/checkpoints"), "/lakes/one").work_path("orders")
     other = Lake(session("/shared/checkpoints"), "/lakes/two").work_path("orders")
     assert one.startswith("/shared/checkpoints/") and one.endswith("/orders") and one != other
-    assert Lake(session(None), "/lakes/one/").work_path("orders") == "/lakes/one/work/orders"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        Lake(session(None), "/lakes/one/").work_path("orders")
 
 
 def _silver():
@@ -217,3 +219,11 @@ def test_sales_with_product_keeps_unknown_products(spark):
     rich = marts.sales_with_product(marts.sales_lines(orders, items), products)
     got = sorted((r.product_id, r.category, r.brand) for r in rich.collect())
     assert got == [("P000001", "Fashion", "A"), ("P000777", None, None)]
+
+
+def test_rule_set_parameters():
+    default = {r.entity: r for r in flow.rule_sets("2026-08-01")}
+    wide = {r.entity: r for r in flow.rule_sets("2026-08-01", orders={"max_customer": None}, products={})}
+    assert list(default) == list(wide) and str(default["orders"].rules[3]) != str(wide["orders"].rules[3])
+    with pytest.raises(ValueError):
+        flow.rule_sets("2026-08-01", order={})

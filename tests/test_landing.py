@@ -27,9 +27,12 @@ def test_csv_layout(spark, tmp_path):
     write(
         tmp_path / "customers/ingest_date=2026-05-02/part.csv",
         "customer_id,first_name,last_name,email,phone,city,state,signup_date,customer_segment\n"
-        "CUST-0000002,Ravi,Das,r@x.in,9876543210,Agra,Nowhere,2025-01-02,Regular\n",
+        "CUST-0000002,Ravi,Das,r@x.in,9876543210,Agra,Nowhere,2025-01-02,Regular\n"
+        "CUST-0000003,Ravi\n",
     )
     df = landing.read_csv(spark, str(tmp_path / "customers"), landing.CUSTOMERS)
+    assert [r._corrupt_record for r in df.collect() if r._corrupt_record] == ["CUST-0000003,Ravi"]
+    df = df.where("_corrupt_record is null").drop("_corrupt_record").cache()
     assert df.count() == 3
     assert {str(r.landing_date) for r in df.collect()} == {"2026-05-01", "2026-05-02"}
     unique = dedup.drop_exact_copies(df)
@@ -61,14 +64,16 @@ def test_items_json(spark, tmp_path):
         {"order_id": "A", "product_id": "P", "quantity": None, "unit_price": 2.5, "line_total": 5.0},
         {"order_id": "A", "product_id": "P", "quantity": -2, "unit_price": 2.5, "line_total": 5.0},
         {"order_id": "A", "product_id": "P", "quantity": 2, "unit_price": 2.5, "line_total": 5.0},
-        {"order_id": "A", "product_id": "P", "quantity": 2, "unit_price": 2.5, "line_total": 7.5},
+        {"order_id": "A", "product_id": "P", "quantity": "2", "unit_price": 2.5, "line_total": 7.5},
+        {"order_id": "A", "product_id": "P", "quantity": "two", "unit_price": 2.5, "line_total": 7.5},
     ]
-    write(tmp_path / "order_items/order_date=2026-05-03/a.json", "\n".join(map(json.dumps, items)))
+    write(tmp_path / "order_items/order_date=2026-05-03/a.json", "\n".join(map(json.dumps, items)) + '\n{"order_id": "A", "quan')
     df = landing.read_json_lines(spark, str(tmp_path / "order_items"), landing.ORDER_ITEMS)
     counts = {r.quantity_class: r["count"] for r in ops.quantity_triage(df).collect()}
-    assert counts == {"missing": 1, "return": 1, "sale": 2}
+    assert counts == {"missing": 2, "return": 1, "sale": 2, "malformed": 1}
+    assert [r._corrupt_record for r in df.where("_corrupt_record is not null").collect()] == ['{"order_id": "A", "quan']
     wrong = ops.line_total_mismatches(df, "quantity", "unit_price", "line_total")
-    assert sorted((r.quantity, float(r.computed_total)) for r in wrong.collect()) == [(-2, -5.0), (2, 5.0)]
+    assert sorted((r.quantity, float(r.computed_total)) for r in wrong.collect()) == [("-2", -5.0), ("2", 5.0)]
 
 
 def test_drifting_parquet_and_union(spark, tmp_path):

@@ -99,7 +99,9 @@ def test_all_copies_equal_window_count(spark, low_threshold, null_keys):
 def test_keep_first_and_exact_copies(spark):
     df = hot_table(spark)
     first = df.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("seq"))).where("n = 1").drop("n")
+    first = first.where("key is not null").union(df.where("key is null"))
     same_rows(dedup.keep_first(df, "key", "seq"), first)
+    assert dedup.keep_first(df, "key", "seq", null_keys="equal").where("key is null").count() == 1
     assert dedup.drop_exact_copies(df.unionByName(df)).count() == df.count()
 
 
@@ -122,7 +124,7 @@ def test_lookup_never_multiplies_or_loses_rows(spark, low_threshold):
     out = refs.attach(df, ref, lookup)
     assert out.count() == df.count()
     got = {(r.key, r.v, r.found) for r in out.select("key", "v", "found").distinct().collect()}
-    assert ("hot", 1, True) in got and ("k4", 7, True) in got
+    assert ("hot", 2, True) in got and ("k4", 7, True) in got
     assert (None, None, False) in got and (" ", None, False) in got
     assert len({k for k, _, _ in got}) == len(got)
 
@@ -168,3 +170,15 @@ def test_vocabulary_of_any_type_and_size(spark, monkeypatch, bound):
     monkeypatch.setattr(skew, "bounded_broadcast", lambda side, max_rows=bound: side if not bound else F.broadcast(side))
     left = refs.outside_vocabulary(df, words, ["t", "d", "m"]).collect()
     assert sorted(str(r.t) for r in left) == ["2020-01-01 00:00:00", "None"]
+
+
+@pytest.mark.parametrize("order_by", [(), "seq"])
+def test_resends_leave_one_row_of_each_key(spark, low_threshold, order_by):
+    """Whole-row copies, equal and unknown arrivals: all but one copy of a known key are flagged."""
+    df = hot_table(spark).withColumn("seq", F.when(F.col("seq") % 4 > 0, F.lit(1)))
+    df = df.union(df.where("key = 'hot'")).union(df.where("key = 'k4'"))
+    out = dedup.flag_resends(df, "key", "dup", order_by=order_by)
+    same_rows(out.drop("dup"), df)
+    kept = {r.key: r["count"] for r in out.where("not dup").groupBy("key").count().collect()}
+    assert {v for k, v in kept.items() if k is not None} == {1}
+    assert set(kept) == {r.key for r in df.select("key").distinct().collect()} and kept[None] == df.where("key is null").count()
