@@ -45,8 +45,8 @@ def no_code(c: str, prefix: str, digits: int, high: int | None = None, low: int
 
 
 def product(a: str, b: str) -> str:
-    """Product of two parsed numbers; the wide cast keeps DuckDB from multiplying in 64 bits."""
-    return f"CAST({a} AS DECIMAL(19,5)) * CAST({b} AS DECIMAL(19,5))"
+    """Product of two parsed numbers; the casts keep seven places and leave room for the product."""
+    return f"CAST({a} AS DECIMAL(20,7)) * CAST({b} AS DECIMAL(18,7))"
 
 
 def ratio(amount: str, n: str) -> str:
