@@ -481,11 +481,12 @@ def mart_check_customers() -> str:
 def mart_conservation() -> str:
     """What silver holds for silver customers, ids compared without outer spaces; the mart must hold as much."""
     return _silver("customers", "orders", "order_items", "payments") + f""",
-known AS (SELECT trim(order_id) AS oid, order_status FROM orders_s WHERE trim(customer_id) IN (SELECT trim(customer_id) FROM customers_s)),
-spend AS (SELECT CAST(round(coalesce(sum({num('item_total')}), 0), 2) AS DOUBLE) AS total FROM order_items_s
-    WHERE trim(order_id) IN (SELECT oid FROM known WHERE order_status IN {DONE})),
-paid AS (SELECT CAST(round(coalesce(sum({num('amount')}), 0), 2) AS DOUBLE) AS total FROM payments_s
-    WHERE payment_status = 'Success' AND trim(order_id) IN (SELECT oid FROM known))
+known AS (SELECT trim(order_id) AS oid, trim(customer_id) AS cid, order_status FROM orders_s
+    WHERE trim(customer_id) IN (SELECT trim(customer_id) FROM customers_s)),
+spend AS (SELECT CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total FROM (SELECT round(sum({num('item_total')}), 2) AS amount
+    FROM order_items_s JOIN known ON trim(order_id) = oid WHERE order_status IN {DONE} GROUP BY cid)),
+paid AS (SELECT CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total FROM (SELECT round(sum({num('amount')}), 2) AS amount
+    FROM payments_s JOIN known ON trim(order_id) = oid WHERE payment_status = 'Success' GROUP BY cid))
 SELECT 'spend' AS measure, total AS silver_total, total AS mart_total FROM spend
 UNION ALL SELECT 'paid', total, total FROM paid"""
 

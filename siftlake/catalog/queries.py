@@ -201,18 +201,21 @@ def q_mart_conservation(spark, sf_dir):
     known = silver["customers"].select(F.trim("customer_id").alias("_customer"))
     orders = silver["orders"].select(F.trim("order_id").alias("_order"), F.trim("customer_id").alias("_customer"), "order_status")
     orders = orders.join(known, "_customer", "left_semi")
-    done = orders.where(c("order_status").isin(*v.COMPLETED_STATUSES)).select("_order")
-    items = silver["order_items"].withColumn("_order", F.trim("order_id")).join(done, "_order", "left_semi")
-    paid = silver["payments"].where("payment_status = 'Success'").withColumn("_order", F.trim("order_id"))
-    paid = paid.join(orders.select("_order"), "_order", "left_semi")
+    done = orders.where(c("order_status").isin(*v.COMPLETED_STATUSES))
+    paid = silver["payments"].where("payment_status = 'Success'")
     mart = customers_mart(spark, sf_dir, silver, ordered=False)
 
-    def row(measure, rows, name, amount):
-        return rows.select(F.lit(measure).alias("measure"), F.lit(name).alias("side"), amount.alias("amount"))
+    def kept(measure, rows, owners, stated):
+        """Amounts per customer, rounded like the mart's."""
+        rows = rows.select(F.trim("order_id").alias("_order"), parsing.number(c(stated)).alias("_stated"))
+        sums = rows.join(owners, "_order").groupBy("_customer").agg(parsing.money(F.sum("_stated")).alias("amount"))
+        return sums.select(F.lit(measure).alias("measure"), F.lit("silver").alias("side"), "amount")
 
-    sides = row("spend", items, "silver", parsing.number(c("item_total"))).union(row("spend", mart, "mart", c("total_spend")))
-    sides = sides.union(row("paid", paid, "silver", parsing.number(c("amount"))))
-    sides = sides.union(row("paid", mart, "mart", c("successful_payment_amount")))
+    def shown(measure, column):
+        return mart.select(F.lit(measure).alias("measure"), F.lit("mart").alias("side"), c(column).alias("amount"))
+
+    sides = kept("spend", silver["order_items"], done, "item_total").union(shown("spend", "total_spend"))
+    sides = sides.union(kept("paid", paid, orders, "amount")).union(shown("paid", "successful_payment_amount"))
     totals = [
         parsing.money(F.coalesce(F.sum(F.when(c("side") == name, c("amount"))), F.lit(0))).alias(f"{name}_total")
         for name in ("silver", "mart")
