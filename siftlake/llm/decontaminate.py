@@ -4,11 +4,13 @@
 the item's weights: a passage that holds all its words scores 1. Postings are kept per term, in item
 order, with the highest weight of each block of ``BLOCK_ITEMS`` items.
 
-*Search.* Documents are read in passages of ``PASSAGE`` words, each beginning half a passage after the
-last, so that every run of up to half a passage lies whole in one of them; longer items get longer
-passages. For a passage the block maxima of its distinct terms are added up; a block whose sum stays
-below the threshold holds no item above it and is skipped, and only the postings of the remaining
-blocks are scored. All items at or above the threshold are found, not just the best ones.
+*Search*, block-max WAND with a fixed threshold, for many passages at once. Documents are read in
+passages of ``PASSAGE`` words, each beginning half a passage after the last, so that every run of up to
+half a passage lies whole in one of them; longer items get longer passages. A passage is dropped when the highest weights of its distinct terms add up to less than the
+threshold: then no item can be a pivot. For the others the block maxima are added up; a block whose sum
+stays below the threshold is skipped, and only the postings of the remaining blocks are scored. As the
+threshold never rises, every pivot that a cursor would stop at lies in one of those blocks. All items at
+or above the threshold are found, not just the best ones.
 
 *Verification.* A found item counts when the passage also holds at least ``OVERLAP`` of the word
 trigrams of its question, and of its answer where it has one (of the whole part, if shorter).
@@ -74,6 +76,7 @@ class Index:
     block_pointer: np.ndarray
     blocks: np.ndarray
     block_weights: np.ndarray
+    term_weights: np.ndarray
     questions: list
     answers: list
     passage: int
@@ -102,6 +105,7 @@ def _slice_index(rows: list, frequency: dict[int, int], n_items: int, mean_lengt
     return Index(
         [r.item_id for r in rows], vocabulary, pointer, item, weight,
         block_pointer, item[starts] // BLOCK_ITEMS, block_weights,
+        np.maximum.reduceat(block_weights, block_pointer[:-1]) if len(vocabulary) else block_weights,
         [_grams(q) for q in questions], [_grams(a) for a in answers],
         max(PASSAGE, 2 * int(lengths.max(initial=0))),
     )
@@ -167,6 +171,9 @@ def search(index: Index, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarra
         own = at[np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - first, sizes)]
         distinct = np.unique(passage[own >= 0] * n_terms + own[own >= 0])
         passage, term = np.divmod(distinct, n_terms)
+        # No pivot: a passage whose terms' highest weights stay below the threshold holds no item.
+        reach = np.bincount(passage, index.term_weights[term], n) >= threshold - 1e-9
+        passage, term = passage[reach[passage]], term[reach[passage]]
         posting, which = _expand(index.block_pointer, term)
         bound = np.bincount(passage[which] * n_blocks + index.blocks[posting], index.block_weights[posting], n * n_blocks)
         open_ = bound >= threshold - 1e-9
