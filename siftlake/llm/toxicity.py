@@ -119,11 +119,11 @@ class Network:
         w = self.weights
         count = len(places)
         inside = places < len(x) - 1
-        states = np.zeros((WINDOW, count, 2 * HIDDEN), dtype=np.float32)
+        states = np.zeros((WINDOW, count, 2 * HIDDEN), dtype=x.dtype)
         memory = []
         for side, steps in (("f", range(WINDOW)), ("b", range(WINDOW - 1, -1, -1))):
             gates = x @ w["in_" + side] + w["bias_" + side]
-            h = np.zeros((count, HIDDEN), dtype=np.float32)
+            h = np.zeros((count, HIDDEN), dtype=x.dtype)
             half = slice(0, HIDDEN) if side == "f" else slice(HIDDEN, 2 * HIDDEN)
             for t in steps:
                 g = gates[places[:, t]]
@@ -162,8 +162,8 @@ class Network:
         d_x = np.zeros_like(x)
         for side in "fb":
             half = slice(0, HIDDEN) if side == "f" else slice(HIDDEN, 2 * HIDDEN)
-            carried = np.zeros((len(places), HIDDEN), dtype=np.float32)
-            d_gates = np.zeros((len(x), 3 * HIDDEN), dtype=np.float32)
+            carried = np.zeros((len(places), HIDDEN), dtype=x.dtype)
+            d_gates = np.zeros((len(x), 3 * HIDDEN), dtype=x.dtype)
             for _, t, h, r, z, n, un in reversed([m for m in memory if m[0] == side]):
                 d = carried + d_states[t, :, half]
                 live = inside[:, t, None]

@@ -52,7 +52,7 @@ def test_round_trip_over_shards(spark, table, path):
     assert store.manifest().count() > 3
     got = sorted(map(tuple, ts.read_digests(store).collect()), key=lambda x: x[0])
     assert got == expected([(d, t) for d, t, *_ in rows], path)
-    keys = spark.createDataFrame([(rows[5][0],), (rows[150][0],), (1,), (None,)], "doc_id long")
+    keys = spark.createDataFrame([(rows[5][0],), (rows[150][0],), (2,), (None,)], "doc_id long")
     found = {x.doc_id: x.ids for x in ts.lookup(store, keys).collect()}
     whole = tokenizers.Tokenizer.from_file(path)
     assert found == {rows[i][0]: whole.encode(rows[i][1], add_special_tokens=False).ids + [0] for i in (5, 150)}
