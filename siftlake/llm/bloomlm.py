@@ -9,15 +9,15 @@ gives its level back; a false positive can only raise it. The probability of wor
 
 with c the middle of the level. Texts begin after an end token and end with one.
 
-*Counting.* A task counts its n-grams before anything is shuffled and sends, for each segment of the
-hash space, one row of sorted hashes and counts; a segment's group adds them up, sets the bits of its
-own part of the filter and keeps the exact word counts. More text means more segments, so a group stays
-at about ``SEGMENT_BYTES`` of text.
+*Counting and probing.* Texts are cut into chunks of about ``CHUNK_TOKENS`` tokens, stored as word numbers.
+A chunk sends each segment of the hash space one row: its distinct n-grams there, with their counts in the
+training texts. A segment's group adds the counts up, sets the bits of its own part of the filter, probes
+it for every chunk that sent n-grams, and answers with one byte per n-gram and the exact counts of words.
+The answers meet the stored chunks. No machine holds the whole filter or all words.
 
-*Bounds.* The filter has as many bits as the texts have bytes (a power of two), ``MAX_BITS`` (64 MB) at
-most; a segment that would be filled beyond half leaves out its rarest pairs, never words. It is
-broadcast. Exact word counts for the base score are broadcast up to ``MAX_WORDS`` distinct words
-(80 MB); beyond that they meet the documents' distinct words in a join, with equal results.
+*Bounds.* More text means more segments, so a group stays at about ``SEGMENT_BYTES`` of text or one chunk.
+The filter has as many bits as the texts have bytes (a power of two); a segment whose n-grams would fill
+it beyond half gets more, so no n-gram is ever left out.
 
 Defined results: NULL text is empty, which is one end token. With no training text N and V are 0.
 Repeated rows are counted and scored each.
@@ -27,23 +27,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import textblocks as tb
-from .frames import append_columns, free_name, prepare, remainder, stored
+from .frames import free_name, prepare, remainder, stored
 
 END = np.uint64(0x1F83D9ABFB41BD6B)
 _PAIR, _WORD = np.uint64(0x510E527FADE682D1), np.uint64(0x9B05688C2B3E6C1F)
 
-MAX_BITS = 1 << 29
+# No longer a bound; callers name it.
 MAX_WORDS = 5_000_000
 SEGMENT_BYTES = 16 << 20
 SPREAD = 0.9
 PROBES = 3
 # Bits of a hash beyond those that name its segment.
 _REST = 40
-# N-grams a task holds before it sends their counts.
-_BUFFER = 1_500_000
+CHUNK_TOKENS = 1_500_000
 
 
 def thresholds(most: int = 1 << 62) -> np.ndarray:
@@ -88,7 +90,7 @@ def _word_key(found: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Shape:
-    """Bits of the filter and number of segments, both powers of two."""
+    """Least bits of the filter and number of segments, both powers of two."""
 
     bits: int
     segments: int
@@ -98,7 +100,7 @@ class Shape:
         def power(x):
             return 1 << max(0, int(np.ceil(np.log2(max(x, 1)))))
 
-        bits = min(MAX_BITS, max(1 << 16, power(text_bytes)))
+        bits = max(1 << 16, power(text_bytes))
         return cls(bits, min(power(-(-text_bytes // SEGMENT_BYTES)) * 2, bits >> 10))
 
     def split(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,60 +111,15 @@ class Shape:
         segment = (hashes >> np.uint64(64 - own)).astype(np.int64)
         return segment, (hashes >> np.uint64(64 - own - _REST)) & np.uint64((1 << _REST) - 1)
 
-    def places(self, rest: np.ndarray, level: np.ndarray, probe: int) -> np.ndarray:
-        """Bit within the segment for each n-gram at a level."""
-        seed = level.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(probe + 1) * np.uint64(0x165667B19E3779F9)
-        return (tb.mix(rest + seed) % np.uint64(self.bits // self.segments)).astype(np.int64)
 
-
-_COUNTED = ["kind", "segment", "low", "high", "counts"]
-
-
-def _counted(docs: DataFrame, shape: Shape) -> DataFrame:
-    """Per task and segment, sorted hashes and their counts; kind 0 holds word hashes whole, 1 the rests of pairs."""
-    prepare(docs.sparkSession)
-
-    def rows(hashes, kind):
-        values, counts = np.unique(hashes, return_counts=True)
-        if kind:
-            segment, values = shape.split(values)
-        else:
-            segment = shape.split(_word_key(values))[0]
-            order = np.argsort(segment, kind="stable")
-            segment, values, counts = segment[order], values[order], counts[order]
-        edges = np.searchsorted(segment, np.arange(shape.segments + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            own = values[edges[s] : edges[s + 1]]
-            high = (own >> np.uint64(32)).astype("<u1" if kind else "<u4").tobytes()
-            n = counts[edges[s] : edges[s + 1]].astype("<u4").tobytes()
-            yield kind, int(s), own.astype("<u4").tobytes(), high, n
-
-    def flushed(parts):
-        for kind in (0, 1):
-            found = list(rows(np.concatenate([p[kind] for p in parts]), kind))
-            for i in range(0, len(found), 64):
-                columns = list(zip(*found[i : i + 64]))
-                types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_COUNTED)
-
-    def run(batches):
-        parts, held = [], 0
-        for batch in batches:
-            for block in tb.blocks(batch.column(0)):
-                found, bounds = tokens(block)
-                parts.append((found, _pairs(_previous(found, bounds), found)))
-                held += len(found)
-                if held >= _BUFFER:
-                    yield from flushed(parts)
-                    parts, held = [], 0
-        if parts:
-            yield from flushed(parts)
-
-    return docs.select("text").mapInArrow(run, "kind int, segment int, low binary, high binary, counts binary")
+def places(rest: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
+    """Bit within a segment of ``size`` bits for each n-gram at a level."""
+    seed = np.uint64((level * 0xC2B2AE3D27D4EB4F + (probe + 1) * 0x165667B19E3779F9) % (1 << 64))
+    return (tb.mix(rest + seed) % np.uint64(size)).astype(np.int64)
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
+    if not any(len(values) for values, _ in parts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     values, counts = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(values, kind="stable")
@@ -172,176 +129,268 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def segment_bits(shape: Shape, words: np.ndarray, word_counts, pairs: np.ndarray, pair_counts) -> np.ndarray:
-    """The filled part of the filter for one segment, packed."""
-    size = shape.bits // shape.segments
-    room = size * np.log(2) / PROBES
-    word_levels, pair_levels = levels(word_counts), levels(pair_counts)
-    least, need = 1, word_levels.sum() + pair_levels.sum()
-    while need > room and least <= pair_levels.max(initial=0):
-        need -= least * (pair_levels == least).sum()
-        least += 1
-    kept = pair_levels >= least
-    rest = np.concatenate((shape.split(_word_key(words))[1], pairs[kept]))
-    level = np.concatenate((word_levels, pair_levels[kept]))
+    """The filter of one segment, packed: all its n-grams, with as many bits as keep it at most half full."""
+    rest = np.concatenate((shape.split(_word_key(words))[1], pairs))
+    level = np.concatenate((levels(word_counts), levels(pair_counts)))
+    size = max(shape.bits // shape.segments, int(np.ceil(level.sum() * PROBES / np.log(2))))
+    size = -(-size // 8) * 8
     bits = np.zeros(size, dtype=bool)
     for q in range(1, int(level.max(initial=0)) + 1):
         rest, level = rest[level >= q], level[level >= q]
         for probe in range(PROBES):
-            bits[shape.places(rest, np.full(len(rest), q), probe)] = True
+            bits[places(rest, q, probe, size)] = True
     return np.packbits(bits)
 
 
-def train(docs: DataFrame, shape: Shape) -> DataFrame:
-    """One row per segment: its part of the filter and its exact word counts (a stored table)."""
-    def add_up(table):
-        parts = {0: [], 1: []}
-        for batch in table.to_batches():
-            for kind, low, high, counts in zip(*(batch.column(n).to_pylist() for n in ("kind", "low", "high", "counts"))):
-                upper = np.frombuffer(high, "<u1" if kind else "<u4").astype(np.uint64)
-                values = np.frombuffer(low, "<u4").astype(np.uint64) | (upper << np.uint64(32))
-                parts[kind].append((values, np.frombuffer(counts, "<u4").astype(np.int64)))
-        words, word_counts = _summed(parts[0])
-        pairs, pair_counts = _summed(parts[1])
-        bits = segment_bits(shape, words, word_counts, pairs, pair_counts)
-        columns = [
-            pa.array([table["segment"][0].as_py()], pa.int32()), pa.array([bits.tobytes()], pa.binary()),
-            pa.array([words.tobytes()], pa.binary()), pa.array([word_counts.tobytes()], pa.binary()),
-            pa.array([len(words)], pa.int64()), pa.array([int(word_counts.sum())], pa.int64()),
-        ]
-        names = ["segment", "bits", "words", "counts", "n_words", "n_tokens"]
-        return pa.Table.from_arrays(columns, names=names)
-
-    schema = "segment int, bits binary, words binary, counts binary, n_words long, n_tokens long"
-    return stored(_counted(docs, shape).groupBy("segment").applyInArrow(add_up, schema), "lm-segments")
-
-
 @dataclass(frozen=True)
 class Model:
+    """One segment's filter, and numbers of tokens and words."""
+
     shape: Shape
     bits: np.ndarray
     n_tokens: int
     n_words: int
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Counts of n-grams as far as the filter knows them, by probing level after level."""
-        segment, rest = self.shape.split(hashes)
-        base = segment * (self.shape.bits // self.shape.segments)
-        level = np.zeros(len(hashes), dtype=np.int64)
-        alive = np.arange(len(hashes))
+    def levels(self, rest: np.ndarray) -> np.ndarray:
+        """Levels of the segment's n-grams as far as the filter knows them, by probing level after level."""
+        level = np.zeros(len(rest), dtype=np.uint8)
+        alive = np.arange(len(rest)) if len(self.bits) else np.zeros(0, np.int64)
         q = 0
         while len(alive) and q < len(LEVEL_COUNTS) - 1:
             q += 1
             for probe in range(PROBES):
-                at = base[alive] + self.shape.places(rest[alive], np.full(len(alive), q), probe)
+                at = places(rest[alive], q, probe, len(self.bits) * 8)
                 alive = alive[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
             level[alive] = q
-        return LEVEL_COUNTS[level]
-
-    def log10(self, before: np.ndarray, found: np.ndarray) -> np.ndarray:
-        """log10 P(token | token before)."""
-        words, place = np.unique(np.concatenate((found, before)), return_inverse=True)
-        count = self.counts(_word_key(words))
-        own, context = place[: len(found)], place[len(found) :]
-        pairs, pair_place = np.unique(_pairs(before, found), return_inverse=True)
-        together = self.counts(pairs)[pair_place]
-        together = np.minimum(together, np.minimum(count[own], count[context]))
-        p = (count[own] + 1) / (self.n_tokens + self.n_words + 1)
-        spread = np.maximum(count[context], 1) ** SPREAD
-        return np.log10(np.minimum((together + spread * p) / (count[context] + spread), 1))
-
-
-def _base_joined(rows: DataFrame, segments: DataFrame, n_tokens: int, n_words: int) -> DataFrame:
-    """row_id, n_known and base_score for any number of words: distinct words of each text meet the counts in a join."""
-    def distinct(batches):
-        for batch in batches:
-            for block in tb.blocks(batch.column(1)):
-                found, bounds = tokens(block)
-                for i, row in enumerate(batch.column(0).to_numpy()[block.first : block.first + len(block)]):
-                    words, times = np.unique(found[bounds[i] : bounds[i + 1]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(words), row)), pa.array(words.view(np.int64)), pa.array(times)],
-                        names=["row_id", "word", "times"],
-                    )
-
-    def unpacked(batches):
+        return level
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        return LEVEL_COUNTS[self.levels(self.shape.split(hashes)[1])]
+
+
+def _by_segment(shape: Shape, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of words by segment, and the segments in that order."""
+    segment = shape.split(_word_key(words))[0]
+    order = np.argsort(segment, kind="stable")
+    return order, segment[order]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """32-bit values, compressed with equal bytes together."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], n * 4, codec="zstd", asbytes=True), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _batches(rows, schema: pa.Schema, n: int):
+    """Tuples as record batches of at most ``n`` rows."""
+    rows = list(rows)
+    for i in range(0, len(rows), n):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + n]), schema)], schema=schema)
+
+
+def _schema(**types: pa.DataType) -> pa.Schema:
+    return pa.schema([pa.field(n, t) for n, t in types.items()])
+
+
+_BIN = pa.binary()
+_CHUNKS = _schema(chunk=pa.int64(), asks=pa.bool_(), rows=_BIN, place=_BIN, lengths=_BIN, words=_BIN, learns=_BIN)
+_SENT = _schema(
+    chunk=pa.int64(), asks=pa.bool_(), segment=pa.int32(), words=_BIN, word_counts=_BIN, low=_BIN, high=_BIN, pair_counts=_BIN
+)
+_ANSWERS = _schema(
+    segment=pa.int32(), chunk=pa.int64(), n_words=pa.int64(), n_tokens=pa.int64(), word_levels=_BIN, known=_BIN, pair_levels=_BIN
+)
+
+
+def _chunks(docs: DataFrame, keep: list[str], learns: str, asks: bool, first: int = 0) -> DataFrame:
+    """Rows of ``_CHUNKS``: documents (the columns to keep), their tokens as numbers of the chunk's words, frequent words
+    first, and which of them to learn from. Chunks are scored if ``asks``."""
+    prepare(docs.sparkSession)
+
+    def chunk_row(chunk, parts):
+        rows, learning, found, bounds = zip(*parts)
+        sink = pa.BufferOutputStream()
+        if asks:
+            with pa.ipc.new_stream(sink, rows[0].schema) as out:
+                for batch in rows:
+                    out.write_batch(batch)
+        words, place, n = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        lengths = np.concatenate([np.diff(b) for b in bounds])
+        learning = np.concatenate(learning).astype(np.uint8).tobytes()
+        return chunk, asks, sink.getvalue().to_pybytes(), _packed(rank[place]), _packed(lengths), words[order].tobytes(), learning
+
+    def run(batches):
+        chunk, parts, held = first + (TaskContext.get().partitionId() << 32), [], 0
         for batch in batches:
-            for words, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(words, np.int64)), pa.array(np.frombuffer(counts, np.int64))], names=["word", "n"]
-                )
-
-    known = segments.select("words", "counts").mapInArrow(unpacked, "word long, n long")
-    found = rows.select("row_id", "text").mapInArrow(distinct, "row_id long, word long, times long")
-    n = F.coalesce("n", F.lit(0))
-    each = F.col("times") * F.log10((n + 1) / F.lit(float(n_tokens + n_words + 1)))
-    return found.join(known, "word", "left").groupBy("row_id").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("n_known"), F.sum(each).alias("base_score")
-    )
-
-
-def scores(docs: DataFrame, training: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """Every row with n_tokens, n_known, train_tokens, base_score and score; ``training`` has the texts to learn from."""
-    spark = docs.sparkSession
-    shape = Shape.of(training.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    segments = train(training, shape)
-    n_words, n_tokens = segments.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    bits = np.zeros(shape.bits // 8, dtype=np.uint8)
-    size = len(bits) // shape.segments
-    for row in segments.select("segment", "bits").toLocalIterator():
-        bits[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.bits, np.uint8)
-    sent = spark.sparkContext.broadcast(Model(shape, bits, n_tokens, n_words))
-    del bits
-    exact = None
-    if n_words <= max_words:
-        words, counts, at = np.zeros(n_words, np.uint64), np.zeros(n_words, np.uint64), 0
-        for row in segments.select("words", "counts").toLocalIterator():
-            own = np.frombuffer(row.words, np.uint64)
-            words[at : at + len(own)] = own
-            counts[at : at + len(own)] = np.frombuffer(row.counts, np.int64)
-            at += len(own)
-        order = np.argsort(words)
-        exact = spark.sparkContext.broadcast((words[order], counts[order]))
-        del words, counts, order
-
-    def make():
-        model = sent.value
-        words, counts = exact.value if exact is not None else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-
-        def compute(batch):
-            out = [np.zeros(batch.num_rows) for _ in range(4)]
+            learning = batch.column(learns).to_numpy(zero_copy_only=False)
             for block in tb.blocks(batch.column("text")):
                 found, bounds = tokens(block)
-                rows = slice(block.first, block.first + len(block))
-                begins = bounds[:-1]
-                distinct, place = np.unique(found, return_inverse=True)
-                count = np.zeros(len(distinct))
-                if len(words):
-                    at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
-                    count = np.where(words[at] == distinct, counts[at], 0)
-                base = np.log10((count + 1) / (n_tokens + n_words + 1))
-                out[0][rows] = np.diff(bounds)
-                out[1][rows] = np.add.reduceat((count > 0)[place].astype(np.int64), begins)
-                out[2][rows] = np.add.reduceat(base[place], begins)
-                out[3][rows] = np.add.reduceat(model.log10(_previous(found, bounds), found), begins)
-            n, known, base, score = out
-            total = pa.array(np.full(batch.num_rows, n_tokens), pa.int64())
-            return pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)), total, pa.array(base), pa.array(score)
-
-        return compute
+                own = slice(block.first, block.first + len(block))
+                parts.append((batch.select(keep).slice(block.first, len(block)), learning[own], found, bounds))
+                held += len(found)
+                if held >= CHUNK_TOKENS:
+                    yield from _batches([chunk_row(chunk, parts)], _CHUNKS, 1)
+                    chunk, parts, held = chunk + 1, [], 0
+        if parts:
+            yield from _batches([chunk_row(chunk, parts)], _CHUNKS, 1)
+
+    return docs.mapInArrow(run, from_arrow_schema(_CHUNKS))
+
 
+@dataclass
+class _Chunk:
+    """A stored chunk, its distinct words and pairs, and the place of each token's."""
+
+    words: np.ndarray
+    place: np.ndarray
+    bounds: np.ndarray
+    pairs: np.ndarray
+    pair_place: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict) -> "_Chunk":
+        words, place = np.frombuffer(row["words"], np.uint64), _unpacked(row["place"])
+        bounds = np.concatenate(([0], np.cumsum(_unpacked(row["lengths"]))))
+        found = words[place]
+        return cls(words, place, bounds, *np.unique(_pairs(_previous(found, bounds), found), return_inverse=True))
+
+
+def _sent(chunks: DataFrame, shape: Shape) -> DataFrame:
+    """Rows of ``_SENT``: each chunk's distinct words and rests of pairs, by segment, with their counts in training texts."""
+    def rows(row):
+        chunk = _Chunk.of(row)
+        learned = np.repeat(np.frombuffer(row["learns"], np.uint8) == 1, np.diff(chunk.bounds))
+        word_counts = np.bincount(chunk.place[learned], minlength=len(chunk.words))
+        pair_counts = np.bincount(chunk.pair_place[learned], minlength=len(chunk.pairs))
+        order, word_segment = _by_segment(shape, chunk.words)
+        words, word_counts = chunk.words[order], word_counts[order]
+        segment, rest = shape.split(chunk.pairs)
+        edges = [np.searchsorted(x, np.arange(shape.segments + 1)) for x in (word_segment, segment)]
+        for s in np.flatnonzero(np.diff(edges[0]) + np.diff(edges[1])):
+            w, p = (slice(e[s], e[s + 1]) for e in edges)
+            yield (
+                row["chunk"], row["asks"], int(s), words[w].tobytes(), word_counts[w].astype("<u4").tobytes(),
+                rest[p].astype("<u4").tobytes(), (rest[p] >> np.uint64(32)).astype("<u1").tobytes(), pair_counts[p].astype("<u4").tobytes(),
+            )
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _batches(rows(batch.slice(i, 1).to_pylist()[0]), _SENT, 64)
+
+    columns = [n for n in _CHUNKS.names if n != "rows"]
+    return chunks.select(*columns).mapInArrow(run, from_arrow_schema(_SENT))
+
+
+def _answered(sent: DataFrame, shape: Shape) -> DataFrame:
+    """Rows of ``_ANSWERS``: for each segment its numbers of words and tokens (no chunk), and what it answers each chunk."""
+    def answer(table):
+        asking, words, pairs = [], [], []
+        for batch in table.to_batches():
+            for row in batch.to_pylist():
+                own = np.frombuffer(row["words"], np.uint64)
+                rest = np.frombuffer(row["low"], "<u4").astype(np.uint64)
+                rest |= np.frombuffer(row["high"], "<u1").astype(np.uint64) << np.uint64(32)
+                for kind, values, n in ((words, own, "word_counts"), (pairs, rest, "pair_counts")):
+                    n = np.frombuffer(row[n], "<u4").astype(np.int64)
+                    kind.append((values[n > 0], n[n > 0]))
+                if row["asks"]:
+                    asking.append((row["chunk"], own, rest))
+        (words, word_counts), (pairs, pair_counts) = _summed(words), _summed(pairs)
+        model = Model(shape, segment_bits(shape, words, word_counts, pairs, pair_counts), 0, 0)
+        segment = table["segment"][0].as_py()
+        out = [(segment, None, len(words), int(word_counts.sum()), None, None, None)]
+        for chunk, own, rest in asking:
+            known = _looked_up(words, word_counts, own).tobytes()
+            own_levels = model.levels(shape.split(_word_key(own))[1])
+            out.append((segment, chunk, 0, 0, own_levels.tobytes(), known, model.levels(rest).tobytes()))
+        return pa.Table.from_batches(_batches(out, _ANSWERS, len(out)))
+
+    return stored(sent.groupBy("segment").applyInArrow(answer, from_arrow_schema(_ANSWERS)), "lm-segments")
+
+
+def _looked_up(words: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Counts of the wanted words among sorted words; 0 where there is none."""
+    if not len(words):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(words, wanted), len(words) - 1)
+    return np.where(words[at] == wanted, counts[at], 0).astype(np.int64)
+
+
+def scores(docs: DataFrame, training: DataFrame, max_words: int | None = None) -> DataFrame:
+    """Every row with n_tokens, n_known, train_tokens, base_score and score; ``training`` has the texts to learn from.
+
+    ``max_words`` has no effect any more: exact word counts come with the answers, however many words there are.
+    """
+    learns = free_name(docs, "learns")
+    apart = training.select("text", F.lit(True).alias("learns"))
+    return _scored(docs.withColumn(learns, F.lit(False)), docs.columns, learns, apart)
+
+
+def _scored(docs: DataFrame, columns: list[str], learns: str, apart: DataFrame | None = None) -> DataFrame:
+    """The scores beside some columns of the documents; learnt from the rows with ``learns`` and all of ``apart``."""
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
+    shape = Shape.of(sum(df.agg(size).first()[0] for df in (docs, apart) if df is not None))
     fields = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    if exact is not None:
-        return append_columns(docs, fields, make)
-    row_id = free_name(docs, "row_id")
-    rows = stored(docs.withColumn(row_id, F.monotonically_increasing_id()), "lm-rows")
-    base = _base_joined(rows.select(F.col(row_id).alias("row_id"), "text"), segments, n_tokens, n_words)
-    base = base.select(F.col("row_id").alias("_row"), F.col("n_known").alias("_known"), F.col("base_score").alias("_base"))
-    found = append_columns(rows, fields, make).join(base, F.col(row_id) == F.col("_row"), "left")
-    found = found.withColumn("n_known", F.col("_known")).withColumn("base_score", F.col("_base"))
-    return found.drop(row_id, "_row", "_known", "_base")
+    new = StructType.fromDDL(fields)
+    kept = [f for f in docs.select(*columns).schema.fields if f.name not in set(new.names)]
+    keep = [f.name for f in kept]
+    chunks = _chunks(docs, keep, learns, True)
+    if apart is not None:
+        chunks = chunks.union(_chunks(apart, [], "learns", False, 1 << 62))
+    chunks = stored(chunks, "lm-chunks")
+    answers = _answered(_sent(chunks, shape), shape)
+    n_words, n_tokens = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+
+    def finish(body, answers):
+        body = body.to_pylist()[0]
+        rows, chunk = pa.ipc.open_stream(body["rows"]).read_all(), _Chunk.of(body)
+        order, begins = _by_segment(shape, chunk.words)[0], chunk.bounds[:-1]
+        answers = sorted(answers.to_pylist(), key=lambda a: a["segment"])
+
+        def joined(name, kind):
+            return np.frombuffer(b"".join(a[name] for a in answers), kind)
+
+        level, known = np.empty(len(order), np.uint8), np.empty(len(order), np.int64)
+        level[order], known[order] = joined("word_levels", np.uint8), joined("known", np.int64)
+        together = LEVEL_COUNTS[joined("pair_levels", np.uint8)][chunk.pair_place]
+        count = LEVEL_COUNTS[level]
+        own = count[chunk.place]
+        context = np.concatenate(([0.0], own[:-1]))
+        context[begins] = count[np.flatnonzero(chunk.words == END)]
+        base = np.log10((known + 1) / (n_tokens + n_words + 1))
+        lengths = np.diff(chunk.bounds)
+        columns = [
+            pa.array(lengths), pa.array(np.add.reduceat((known > 0)[chunk.place].astype(np.int64), begins)),
+            pa.array(np.full(len(lengths), n_tokens), pa.int64()), pa.array(np.add.reduceat(base[chunk.place], begins)),
+            pa.array(np.add.reduceat(log10(own, context, together, n_tokens, n_words), begins)),
+        ]
+        return pa.Table.from_arrays([rows[n] for n in keep] + columns, names=keep + new.names)
+
+    bodies = chunks.where("asks").select("chunk", "rows", "place", "lengths", "words")
+    found = answers.where("chunk is not null").select("chunk", "segment", "word_levels", "known", "pair_levels")
+    return bodies.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(finish, StructType(kept + list(new.fields)))
+
+
+def log10(own, context, together, n_tokens: int, n_words: int) -> np.ndarray:
+    """log10 P(token | token before) from the counts of the token, the token before and the pair."""
+    together = np.minimum(together, np.minimum(own, context))
+    p = (own + 1) / (n_tokens + n_words + 1)
+    spread = np.maximum(context, 1) ** SPREAD
+    return np.log10(np.minimum((together + spread * p) / (context + spread), 1))
 
 
 def score_table(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, token counts, base score and model score of every document."""
     held_out = remainder("doc_id", 7) == 2
-    return scores(docs.select("doc_id", held_out.alias("held_out"), "text"), docs.where(~held_out)).drop("text")
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text", (~held_out).alias("learns"))
+    return _scored(rows, ["doc_id", "held_out"], "learns")

@@ -95,3 +95,26 @@ def test_awkward_rows(awkward, empty):
     assert bloomlm.score_table(empty).collect() == []
     nothing = bloomlm.scores(awkward, empty).collect()
     assert len(nothing) == awkward.count() and all(g.n_known == 0 and g.base_score == 0 for g in nothing)
+
+
+def test_no_pair_is_left_out():
+    """The filter grows with what it must hold: every counted pair is found, and chance hits stay rare."""
+    r = np.random.default_rng(4)
+    shape = bloomlm.Shape(1 << 12, 1)
+    rest = np.unique(r.integers(0, 2**40, 3000).astype(np.uint64))
+    bits = bloomlm.segment_bits(shape, np.arange(1, 20, dtype=np.uint64), np.full(19, 3), rest, np.ones(len(rest), np.int64))
+    model = bloomlm.Model(shape, bits, 1, 1)
+    assert (model.counts(rest << np.uint64(24)) > 0).all()
+    assert (model.counts(r.integers(0, 2**63, 5000).astype(np.uint64)) > 0).mean() < 0.2
+    assert bloomlm.Shape.of(30 << 30).bits >= 30 << 30
+
+
+def test_many_chunks_and_segments_give_the_same(awkward, monkeypatch):
+    def rounded():
+        found = bloomlm.scores(awkward, awkward.where("doc_id is null or doc_id % 2 = 1"))
+        return sorted(str((g.doc_id, g.text, g.n_tokens, g.n_known, round(g.base_score, 6))) for g in found.collect())
+
+    whole = rounded()
+    monkeypatch.setattr(bloomlm, "CHUNK_TOKENS", 1)
+    monkeypatch.setattr(bloomlm, "SEGMENT_BYTES", 1 << 14)
+    assert rounded() == whole
