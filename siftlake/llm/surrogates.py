@@ -13,9 +13,11 @@ of their script with an ending of their gender. Capitals follow the original.
 
 *Collision check*, over all distinct entities as a table: no two entities of a type may share a
 surrogate, and no surrogate may be an entity of that type that occurs in the texts. Those in conflict
-take their next attempt, until none is left; the smallest entity of a conflict keeps its own. Entities
-beyond attempt 0 are the exceptions, broadcast when they are at most ``MAX_EXCEPTIONS``; if there were
-more, or ``MAX_ATTEMPTS`` did not suffice, names get longer and all is assigned again.
+take their next attempt, until none is left; the smallest entity of a conflict keeps its own. Where
+``MAX_ATTEMPTS`` do not suffice, names get longer and are assigned again; entities of other types get the
+unused values of their shape (of an address, its first two octets) in order, and where a shape has none
+left, a mark such as ``[ip 3]``. Entities beyond attempt 0 are the exceptions, broadcast when they are at
+most ``MAX_EXCEPTIONS``, else joined to their documents; names get longer if theirs are more than that.
 
 Defined results: NULL text stays NULL; text without entities is unchanged; the same entity has one
 surrogate in all rows; repeated rows are rewritten alike.
@@ -23,16 +25,20 @@ surrogate in all rows; repeated rows are rewritten alike.
 
 import hashlib
 import re
+import unicodedata
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .frames import append_columns, prepare, stored
+from .frames import append_columns, free_name, prepare, stored
 
 MAX_EXCEPTIONS = 200_000
-# Attempts before names get longer.
+# Attempts before names get longer and other types get unused values.
 MAX_ATTEMPTS = 10
+# Attempt of an entity whose surrogate was assigned, not computed.
+ASSIGNED = -1
 TYPES = ("email", "ip", "phone", "card", "secret", "given_m", "given_f", "given_x", "surname")
 
 # Titles and the gender they tell.
@@ -127,12 +133,29 @@ def _permuted(symbols: list[int], radices: list[int], key: bytes, tweak: str) ->
     return left + right
 
 
+@lru_cache(maxsize=100_000)
+def _class_of(x: str) -> str:
+    """The characters that may stand for one: ASCII digits, letters of a case, or letters of its kind in its script's block."""
+    for c in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        if x in c:
+            return c
+    if ord(x) < 128 or not x.isalnum():
+        return x
+
+    def kind(c):
+        return unicodedata.category(c), c.isalnum(), c.lower() == c, c.upper().lower() == c
+
+    block = ord(x) & ~127
+    return "".join(c for c in map(chr, range(block, block + 128)) if kind(c) == kind(x))
+
+
 def _shaped(value: str, key: bytes, tweak: str) -> str:
-    """Digits to digits, letters to letters of their case, hexadecimal strings to such; all else stays."""
-    classes = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    """Digits to digits, letters to letters of their script and case, hexadecimal strings to such; all else stays."""
     if re.fullmatch(r"[0-9a-f]{16,}", value):
-        classes = ["0123456789abcdef"]
-    at = [(i, c) for i, x in enumerate(value) for c in classes if x in c]
+        classes = ["0123456789abcdef"] * len(value)
+    else:
+        classes = [_class_of(x) for x in value]
+    at = [(i, c) for i, c in enumerate(classes) if len(c) > 1]
     out = list(value)
     symbols = _permuted([c.index(value[i]) for i, c in at], [len(c) for _, c in at], key, tweak)
     for (i, c), s in zip(at, symbols):
@@ -140,6 +163,35 @@ def _shaped(value: str, key: bytes, tweak: str) -> str:
     return "".join(out)
 
 
+def numbered(kind: str, entity: str, n: int) -> str | None:
+    """The n-th value of an entity's shape, None beyond the last; values of one shape have the same ones."""
+    if kind == "ip":
+        a, b = entity.split(".")[:2]
+        return f"{a}.{b}.{n >> 8}.{n & 255}" if n < 1 << 16 else None
+    classes = [_class_of(x) for x in entity]
+    if kind == "email":
+        top = entity.rindex(".")
+        classes[top:] = entity[top:]
+    elif kind == "phone":
+        first = 2 if entity[0] == "+" else 0
+        classes[:first] = entity[:first]
+        classes[first] = "23456789" if entity[first] > "1" else "01"
+    elif kind == "card":
+        classes[0] = entity[0]
+        classes[-1] = "-"
+    out = []
+    for c in reversed(classes):
+        n, place = divmod(n, len(c))
+        out.append(c[place])
+    if n:
+        return None
+    out = "".join(reversed(out))
+    if kind == "card":
+        off = (int(entity[-1]) - _luhn([int(d) for d in entity[:-1]])) % 10
+        out = out[:-1] + str((_luhn([int(d) for d in out[:-1]]) + off) % 10)
+    return out
+
+
 def _script(name: str) -> str:
     point = ord(name[0])
     return "cyrillic" if 0x400 <= point < 0x530 else "greek" if 0x370 <= point < 0x400 else "latin"
@@ -190,6 +242,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0, syllables: i
 
 def _dressed(kind: str, canonical: str, original: str) -> str:
     """A canonical surrogate in the punctuation and capitals of the original."""
+    if canonical[0] == "[":
+        return canonical
     if kind in ("phone", "card"):
         digits = iter(re.sub(r"\D", "", canonical))
         return "".join(next(digits) if c.isdigit() else c for c in original)
@@ -234,46 +288,117 @@ def _conflicts(now: DataFrame) -> DataFrame:
     return judged.where("real or entity <> owner").select("type", "entity")
 
 
+def _attempted(found: DataFrame, key: bytes, syllables: int) -> tuple[DataFrame, DataFrame | None]:
+    """Entities after their attempts, and those still in conflict (None if there are none)."""
+    now = stored(_assigned(found.withColumn("attempt", F.lit(0)), key, syllables), "pii-assigned")
+    for i in range(MAX_ATTEMPTS + 1):
+        again = stored(_conflicts(now), "pii-conflicts")
+        if again.isEmpty():
+            return now, None
+        if i == MAX_ATTEMPTS:
+            return now, again
+        moved = now.drop("surrogate").join(again.withColumn("moved", F.lit(1)), ["type", "entity"], "left")
+        moved = moved.select("type", "entity", (F.col("attempt") + F.coalesce("moved", F.lit(0))).cast("int").alias("attempt"))
+        now = stored(_assigned(moved, key, syllables), "pii-assigned")
+
+
+def _numbered(rows: DataFrame, column: str, value: str, n: str | None = None) -> DataFrame:
+    """Rows with the n-th value (without ``n`` the first, which names the shape) of the shape of ``value``."""
+    def make():
+        def compute(batch):
+            numbers = batch.column(n).to_pylist() if n else [0] * batch.num_rows
+            return (pa.array(map(numbered, batch.column("type").to_pylist(), batch.column(value).to_pylist(), numbers), pa.string()),)
+
+        return compute
+
+    return append_columns(rows, f"{column} string", make)
+
+
+def _with_unused(now: DataFrame, left: DataFrame) -> DataFrame:
+    """All entities; those left in conflict get the unused values of their shape in order, then marks."""
+    both = ["type", "entity"]
+    kept = now.join(left, both, "left_anti")
+    used = stored(_numbered(
+        kept.select("type", F.col("surrogate").alias("value")).union(now.select("type", F.col("entity").alias("value"))).distinct(),
+        "shape", "value",
+    ), "pii-used")
+    order = Window.partitionBy("type", "shape")
+    need = _numbered(left, "shape", "entity").withColumn("rank", F.row_number().over(order.orderBy("entity")))
+    need = stored(need, "pii-left")
+    wanted = need.groupBy("type", "shape").agg(F.count(F.lit(1)).alias("n"))
+    most = used.join(wanted, ["type", "shape"]).groupBy("type", "shape").agg((F.first("n") + F.count(F.lit(1))).alias("most"))
+    tried = most.select("type", "shape", F.explode(F.sequence(F.lit(0).cast("long"), F.col("most"))).alias("number"))
+    tried = _numbered(tried, "value", "shape", "number").where("value is not null").join(used.select("type", "value"), ["type", "value"], "left_anti")
+    free = tried.withColumn("rank", F.row_number().over(order.orderBy("number"))).select("type", "shape", "rank", "value")
+    given = need.join(free, ["type", "shape", "rank"], "left")
+    mark = F.concat(F.lit("["), F.col("type"), F.lit(" "), F.row_number().over(Window.partitionBy("type").orderBy("entity")), F.lit("]"))
+    found = given.where("value is not null").unionByName(given.where("value is null").withColumn("value", mark))
+    new = found.select("type", "entity", F.lit(ASSIGNED).alias("attempt"), F.col("value").alias("surrogate"))
+    return stored(kept.select("type", "entity", "attempt", "surrogate").union(new), "pii-assigned")
+
+
 def assignment(docs: DataFrame, key: bytes, syllables: int = 3, text: str = "text") -> tuple[DataFrame, int]:
     """type, entity, attempt and surrogate of every entity, free of conflicts, and the length of names it took."""
     found = stored(entities(docs, text), "pii-entities")
+    named = F.col("type").isin([t for t in TYPES if t == "surname" or t.startswith("given")])
+    others, left = _attempted(found.where(~named), key, syllables)
+    if left is not None:
+        others = _with_unused(others, left)
     while True:
-        now = stored(_assigned(found.withColumn("attempt", F.lit(0)), key, syllables), "pii-assigned")
-        for _ in range(MAX_ATTEMPTS):
-            again = stored(_conflicts(now), "pii-conflicts")
-            free = again.isEmpty()
-            if free:
-                break
-            moved = now.drop("surrogate").join(again.withColumn("moved", F.lit(1)), ["type", "entity"], "left")
-            moved = moved.select("type", "entity", (F.col("attempt") + F.coalesce("moved", F.lit(0))).cast("int").alias("attempt"))
-            now = stored(_assigned(moved, key, syllables), "pii-assigned")
-        if free and now.where("attempt > 0").limit(MAX_EXCEPTIONS + 1).count() <= MAX_EXCEPTIONS:
-            return now, syllables
+        names, left = _attempted(found.where(named), key, syllables)
+        if left is None and names.where("attempt > 0").limit(MAX_EXCEPTIONS + 1).count() <= MAX_EXCEPTIONS:
+            return others.select("type", "entity", "attempt", "surrogate").unionByName(names), syllables
         syllables += 1
 
 
+def _joined(docs: DataFrame, late: DataFrame, text: str, name: str) -> DataFrame:
+    """Documents with the exceptions among their own entities, for any number of exceptions."""
+    row = free_name(docs, "row_id")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pii-rows")
+
+    def run(batches):
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen = sorted({x[2:] for x in find(t)}) if t else []
+                columns = [pa.array([i] * len(seen), pa.int64())] + [pa.array([x[k] for x in seen], pa.string()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["_row", "type", "entity"])
+
+    held = rows.select(row, text).mapInArrow(run, "_row long, type string, entity string").join(late, ["type", "entity"])
+    own = held.groupBy("_row").agg(F.collect_list(F.struct("type", "entity", "attempt", "surrogate")).alias(name))
+    return rows.join(own, F.col(row) == F.col("_row"), "left").drop(row, "_row")
+
+
 def replaced(docs: DataFrame, key: bytes, text: str = "text", counts: str = "entity_counts") -> DataFrame:
     """Every row with its text rewritten, and how many entities of each type it held."""
     assigned, syllables = assignment(docs, key, text=text)
-    late = {(r.type, r.entity): r.attempt for r in assigned.where("attempt > 0").select("type", "entity", "attempt").collect()}
+    wanted, own = docs.columns, free_name(docs, "exceptions")
+    late = assigned.where("attempt <> 0").select("type", "entity", "attempt", "surrogate")
+    few = late.limit(MAX_EXCEPTIONS + 1).count() <= MAX_EXCEPTIONS
+    if not few:
+        docs = _joined(docs, late, text, own)
+    late = {(r.type, r.entity): (r.attempt, r.surrogate) for r in (late.collect() if few else ())}
     late = docs.sparkSession.sparkContext.broadcast(late)
 
     def make():
-        attempts, memo = late.value, {}
+        everywhere, memo = late.value, {}
 
-        def canonical(kind, entity):
+        def canonical(kind, entity, exceptions):
+            if (kind, entity) in exceptions:
+                return exceptions[kind, entity][1]
             if len(memo) > 100_000:
                 memo.clear()
             if (kind, entity) not in memo:
-                memo[kind, entity] = surrogate(key, kind, entity, attempts.get((kind, entity), 0), syllables)
+                memo[kind, entity] = surrogate(key, kind, entity, 0, syllables)
             return memo[kind, entity]
 
         def compute(batch):
             texts, numbers = [], []
-            for t in batch.column(text).to_pylist():
+            given = batch.column(own).to_pylist() if not few else [None] * batch.num_rows
+            for t, mine in zip(batch.column(text).to_pylist(), given):
+                exceptions = {(x["type"], x["entity"]): (x["attempt"], x["surrogate"]) for x in mine} if mine else everywhere
                 out, end, seen = [], 0, Counter()
                 for begin, stop, kind, entity in find(t) if t else ():
-                    out += [t[end:begin], _dressed(kind, canonical(kind, entity), t[begin:stop])]
+                    out += [t[end:begin], _dressed(kind, canonical(kind, entity, exceptions), t[begin:stop])]
                     seen[kind] += 1
                     end = stop
                 texts.append(t if not out else "".join(out) + t[end:])
@@ -286,7 +411,7 @@ def replaced(docs: DataFrame, key: bytes, text: str = "text", counts: str = "ent
 
     kinds = ", ".join(f"{k}: int" for k in TYPES)
     new = append_columns(docs, f"{text} string, {counts} struct<{kinds}>", make)
-    return new.select(*docs.columns, counts)
+    return new.select(*wanted, counts)
 
 
 def surrogate_table(docs: DataFrame, key: bytes = b"siftlake surrogate key") -> DataFrame:

@@ -69,3 +69,20 @@ def test_awkward_rows(awkward, empty):
 def test_same_entity_in_all_rows(table):
     rows = sg.replaced(table([(i, f"{i} write to x.y@z.org today", "en", "a") for i in range(50)]), KEY).collect()
     assert len({r.text.split(" ")[3] for r in rows}) == 1
+
+
+def test_every_type_ends(table, monkeypatch):
+    """Other scripts are permuted; what no attempt can settle gets unused values, and marks where a range is full."""
+    assert sg.surrogate(KEY, "email", "почта@пример.com") != "почта@пример.com"
+    monkeypatch.setattr(sg, "MAX_ATTEMPTS", 1)
+    full = " ".join(f"10.0.{i >> 8}.{i & 255}" for i in range(40_000))
+    docs = table([(1, f"почта@пример.com and _@-.com, {full}", "en", "a")])
+    assigned = [r for r in sg.assignment(docs, KEY)[0].collect()]
+    assert len(assigned) == 40_002 == len({(r.type, r.surrogate) for r in assigned})
+    assert not {(r.type, r.surrogate) for r in assigned} & {(r.type, r.entity) for r in assigned}
+    marks = [r for r in assigned if r.surrogate[0] == "["]
+    assert [r.entity for r in marks if r.type == "email"] == ["_@-.com"] and len(marks) == 1 + 40_000 - (65_536 - 40_000)
+    small = table([(1, "почта@пример.com and _@-.com", "en", "a"), (2, "nothing", "en", "a")])
+    few = sorted(r.text for r in sg.replaced(small, KEY).collect())
+    monkeypatch.setattr(sg, "MAX_EXCEPTIONS", 0)
+    assert sorted(r.text for r in sg.replaced(small, KEY).collect()) == few and few[1].endswith(" and [email 1]")
