@@ -1,7 +1,8 @@
 """Personal data replaced by surrogates: keyed, of the same type and format, distinct and consistent.
 
 *Detection*: e-mail addresses, IPv4 addresses, telephone numbers, card numbers (13 to 19 digits), values
-of named secrets, and names after a title. A name's parts are entities of their own: ``surname`` and
+of named secrets (to the closing quote or white space), and names after a title, of any number of parts
+joined by blanks, hyphens or apostrophes. A name's parts are entities of their own: ``surname`` and
 ``given`` (with the gender that the title tells); once a name is introduced in a text, its parts are
 replaced wherever they stand alone there, so that references stay together.
 
@@ -61,15 +62,27 @@ ENDINGS = {
 
 _EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])")
 _IP = re.compile(r"(?<![\d.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\d]|\.\d)")
-_PHONE = re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?!\w)")
+_PHONE = re.compile(
+    r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?!\w)"
+    # without separators after a plus, and in groups of two digits
+    r"|(?<![\w+])\+[1-9][0-9]{7,14}(?!\w)|(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?[0-9]|0[0-9])(?:([ .-])[0-9]{2})(?:\1[0-9]{2}){3}(?![\w]|[.-][0-9])"
+)
 _CARD = re.compile(r"(?<!\d)[0-9]{13,19}(?!\d)|(?<![\d-])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?!\d)")
 # What every number of a kind below holds.
 _NUMBER = re.compile(r"[0-9][0-9 .)-]")
-_SECRET = re.compile(r"(?i)(?<!\w)(?:api[_-]?key|token|secret|password|passwd)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-]{8,200})")
+# A quoted value runs to its closing quote, any other to white space; the punctuation after it stays.
+_SECRET = re.compile(
+    r"(?i)(?<!\w)(?:api[_-]?key|token|secret|password|passwd)[\"']?\s{0,3}[=:]\s{0,3}"
+    r"(?:\"([^\"\r\n]{8,})\"|'([^'\r\n]{8,})'|[\"']?([^\s\"']{7,}[^\s\"',;.:!?)\]}>]))"
+)
+# Letters joined by hyphens and apostrophes, without the s of a genitive.
+_PART = r"[^\W\d_]+(?:-[^\W\d_]+|['’](?!s(?!\w))[^\W\d_]+)*"
+_UPPER = r"(?![a-zà-öø-ÿа-яѐ-џα-ωά-ώ])"
 _NAME = re.compile(
-    r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? ((?:[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]{1,30})(?: [^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]{1,30}){0,2})"
+    r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + rf")\.? ({_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART}(?: {_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART})*)"
 )
-_CAPITAL = re.compile(r"(?<!\w)[^\W\d_]{2,31}(?!\w)")
+_CAPITAL = re.compile(r"[^\W\d_]{2,}")
+_JOINED = re.compile(rf"(?<!\w){_PART}(?!\w)")
 
 
 def _luhn(digits: list[int]) -> int:
@@ -88,7 +101,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
     if "=" in text or ":" in text:
-        found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
+        found += [(*m.span(m.lastindex), "secret", m[m.lastindex]) for m in _SECRET.finditer(text)]
     if _NUMBER.search(text):
         found += [(m.start(), m.end(), "ip", m[0]) for m in _IP.finditer(text) if _valid_ip(m[0])]
         found += [(m.start(), m.end(), "card", re.sub(r"\D", "", m[0])) for m in _CARD.finditer(text)]
@@ -102,10 +115,15 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             kind = "surname" if i == len(names) - 1 else f"given_{TITLES[m[1]]}"
             parts.setdefault(name.casefold(), kind)
     if parts:
-        for m in _CAPITAL.finditer(text):
+        for m in _JOINED.finditer(text):
             kind = parts.get(m[0].casefold())
             if kind and not m[0][0].islower():
                 found.append((m.start(), m.end(), kind, m[0].casefold()))
+            elif not m[0].isalpha():  # a part beside a hyphen or an apostrophe
+                for x in _CAPITAL.finditer(m[0]):
+                    kind = parts.get(x[0].casefold())
+                    if kind and not x[0][0].islower():
+                        found.append((m.start() + x.start(), m.start() + x.end(), kind, x[0].casefold()))
     out, end = [], 0
     for item in sorted(found, key=lambda x: (x[0], -x[1])):
         if item[0] >= end:

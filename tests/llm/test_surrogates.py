@@ -86,3 +86,20 @@ def test_every_type_ends(table, monkeypatch):
     few = sorted(r.text for r in sg.replaced(small, KEY).collect())
     monkeypatch.setattr(sg, "MAX_EXCEPTIONS", 0)
     assert sorted(r.text for r in sg.replaced(small, KEY).collect()) == few and few[1].endswith(" and [email 1]")
+
+
+@pytest.mark.parametrize("text, kind, values", [
+    (f"token={'aB3' * 100} end", "secret", ["aB3" * 100]),
+    ("token: eyJhbGciOi.eyJzdWIi.c2ln-_x end", "secret", ["eyJhbGciOi.eyJzdWIi.c2ln-_x"]),
+    ("password=ab+cdEFGHIJKL, next", "secret", ["ab+cdEFGHIJKL"]),
+    ('secret = "two words/and+more" end', "secret", ["two words/and+more"]),
+    ("Mrs Smith-Jones left", "surname", ["Smith-Jones"]),
+    ("Señor Juan Carlos García López vino", "surname", ["López"]),
+    ("Señor Juan Carlos García López vino", "given_m", ["Juan", "Carlos", "García"]),
+    ("Mr O'Brien said; Mr Smith's car", "surname", ["O'Brien", "Smith"]),
+    ("call +14155552671 now", "phone", ["+14155552671"]),
+    ("call 01 23 45 67 89 now", "phone", ["01 23 45 67 89"]),
+    ("call +33 1 23 45 67 89 now", "phone", ["+33 1 23 45 67 89"]),
+])
+def test_entities_are_whole(text, kind, values):
+    assert [text[b:e] for b, e, k, _ in sg.find(text) if k == kind] == values
