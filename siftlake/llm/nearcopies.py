@@ -18,8 +18,8 @@ text without words has an empty set and is linked with nothing. Two documents ar
 5. *Grouping.* Union-find inside partitions, then alternating large-star and small-star steps, each
    written to the shared folder.
 
-With 32 bands of 4 registers a pair at exactly 0.75 shares no bucket with probability 5e-6; a pair
-linked only below the signature cut of ``PRUNE`` is about as unlikely.
+With 32 bands of 4 registers a pair at exactly 0.75 shares no bucket with probability 5e-6; with
+independent registers it falls below the signature cut of ``PRUNE`` with probability 5e-7.
 
 Defined results: NULL text counts as empty. A NULL doc_id is linked with nothing: its component is
 NULL and it is kept. Rows with one doc_id are one document, linked by each of its texts; every row is
@@ -37,7 +37,7 @@ from .frames import checked_broadcast, free_name, prepare, stored
 WIDTH = 5
 REGISTERS = 128
 BANDS = 32
-PRUNE = 0.6
+PRUNE = 0.55
 NUMERATOR, DENOMINATOR = 75, 100
 # Members of one bucket, and elements of their sets, compared in one task against as many others.
 BLOCK_MEMBERS = 1024

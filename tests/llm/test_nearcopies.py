@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -114,3 +115,10 @@ def test_components_of_long_chains(spark):
     got = dict(nearcopies.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert all(got[i] == 0 for i in range(n + 1))
     assert all(got[1000 + i] == 1000 + i % 3 for i in range(50))
+
+
+def test_signature_cut_loses_less_than_the_banding():
+    """Independent registers at exactly 0.75: below the cut far more rarely than without a shared band."""
+    below = math.ceil(nearcopies.PRUNE * nearcopies.REGISTERS)
+    cut = sum(math.comb(nearcopies.REGISTERS, i) * 0.75**i * 0.25 ** (nearcopies.REGISTERS - i) for i in range(below))
+    assert cut < (1 - 0.75 ** (nearcopies.REGISTERS // nearcopies.BANDS)) ** nearcopies.BANDS / 5
