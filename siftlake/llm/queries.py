@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloomlm, decontaminate, langid, ledger, mixing, nearcopies, preferences, surrogates, tokenstore, toxicity
+from . import (
+    bloomlm, decontaminate, divergence, importance, langid, ledger, mixing, nearcopies, preferences, surrogates, tokenstore, toxicity, urlfilter,
+)
 from .frames import new_folder
 
 
@@ -58,6 +60,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_table(read(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.url_table(read(spark, sf_dir, "pages"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_table(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_leaks": op2_leaks,
@@ -69,10 +83,15 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language_model": op9_language_model,
     "op10_language": op10_language,
+    "op11_url_filter": op11_url_filter,
+    "op12_importance": op12_importance,
+    "op13_divergence": op13_divergence,
 }
 
 # SQL counterparts, where SQL can express the operator.
 ORACLES = {
     "op4_preferences": preferences.SQL,
     "op7_rule_ledger": ledger.SQL,
+    "op12_importance": importance.SQL,
+    "op13_divergence": divergence.SQL,
 }
