@@ -45,8 +45,12 @@ def no_code(c: str, prefix: str, digits: int, high: int | None = None, low: int
 
 
 def product(a: str, b: str) -> str:
-    """Product of two parsed numbers; the casts keep seven places and leave room for the product."""
-    return f"CAST({a} AS DECIMAL(20,7)) * CAST({b} AS DECIMAL(18,7))"
+    """Product of two parsed numbers, NULL for huge ones; the casts keep seven places and leave room for the product."""
+    return f"TRY_CAST({a} AS DECIMAL(20,7)) * TRY_CAST({b} AS DECIMAL(18,7))"
+
+
+def huge(a: str, b: str) -> str:
+    return f"({a} IS NOT NULL AND {b} IS NOT NULL AND {product(a, b)} IS NULL)"
 
 
 def ratio(amount: str, n: str) -> str:
@@ -196,7 +200,8 @@ RULES = {
         ("invalid_discount_amount", "discount IS NULL OR discount < 0"),
         ("discount_exceeds_gross_amount", f"discount > round({product('q', 'price')}, 2)"),
         ("invalid_tax_amount", "tax IS NULL OR tax < 0"),
-        ("invalid_item_total", f"total IS NULL OR total < 0 OR round(total, 2) <> round({product('q', 'price')} - discount + tax, 2)"),
+        ("invalid_item_total", f"total IS NULL OR total < 0 OR round(total, 2) <> round({product('q', 'price')} - discount + tax, 2) "
+         f"OR ({huge('q', 'price')} AND discount IS NOT NULL AND tax IS NOT NULL)"),
     ],
     "payments": [
         ("duplicate_payment_record", "copy_no > 1"),
@@ -608,7 +613,8 @@ def build() -> dict[str, str]:
         "(SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY 1) WHERE l_orderkey % 37 = 0 OR l_orderkey % 41 = 0",
         "payment_recheck": payment_recheck(),
         "line_total_check": f"SELECT ingest_seq, ingest_sub, ingest_day, quantity, unit_price, item_total, CAST(round({product(num('quantity'), num('unit_price'))}, 2) AS DOUBLE) AS computed_total "
-        f"FROM {view('order_items')} WHERE round({num('item_total')}, 2) <> round({product(num('quantity'), num('unit_price'))}, 2)",
+        f"FROM {view('order_items')} WHERE round({num('item_total')}, 2) <> round({product(num('quantity'), num('unit_price'))}, 2) "
+        f"OR ({num('item_total')} IS NOT NULL AND {huge(num('quantity'), num('unit_price'))})",
         "code_check": f"SELECT ingest_seq, ingest_sub, ingest_day, {no_code('order_id', 'O', 9)} AS bad_order, {no_code('product_id', 'P', 9)} AS bad_product FROM {view('order_items')}",
         "pattern_check": f"SELECT ingest_seq, {unlike('email', EMAIL)} AS bad_email, {unlike('phone', MOBILE)} AS bad_phone, "
         f"{unlike('postal_code', POSTAL)} AS bad_postal_code FROM {view('customers')}",

@@ -217,6 +217,8 @@ _PRICED_LINES = _steps(
     {"total": "CAST(gross - discount + tax AS DECIMAL(18,2))"},
 )
 
+_HUGE = "'9999999999999999999'"
+
 # Lines repeat (l_orderkey, l_linenumber); the three ingest columns together order them totally.
 ORDER_ITEMS = _select(
     {
@@ -229,11 +231,18 @@ ORDER_ITEMS = _select(
         "product_id": plant(
             code("P", "l_partkey"), "(l_partkey + l_linenumber)", 419, "''", "'X' || CAST(l_partkey AS STRING)", "NULL"
         ),
+        # Both numbers of a line are huge together: their product is beyond any decimal.
         "quantity": plant(
-            "CAST(CAST(l_quantity AS INT) AS STRING)", "(l_orderkey + l_linenumber)", 421,
-            "'0'", "'1.5'", "'abc'", "NULL", "'-2'", "'1000000000000'", "'1.0000001'",
+            plant(
+                "CAST(CAST(l_quantity AS INT) AS STRING)", "(l_orderkey + l_linenumber)", 421,
+                "'0'", "'1.5'", "'abc'", "NULL", "'-2'", "'1000000000000'", "'1.0000001'",
+            ),
+            "(l_orderkey + l_linenumber)", 457, _HUGE,
+        ),
+        "unit_price": plant(
+            plant(f"CAST({_PRICE} AS STRING)", "(l_orderkey + l_linenumber)", 431, "'0'", "'NaN'", "'0.0000001'"),
+            "(l_orderkey + l_linenumber)", 457, _HUGE,
         ),
-        "unit_price": plant(f"CAST({_PRICE} AS STRING)", "(l_orderkey + l_linenumber)", 431, "'0'", "'NaN'", "'0.0000001'"),
         "discount_amount": plant(
             plant(f"CAST({_LINE_DISCOUNT} AS STRING)", "(l_orderkey + l_partkey)", 439, f"CAST(CAST({_GROSS} + 0.01 AS DECIMAL(18,2)) AS STRING)"),
             "(l_orderkey + l_linenumber)", 433, "'-1'", "NULL",

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..functions.parsing import number, timestamp
+from ..functions.parsing import number, product, timestamp
 from ..operators.refs import Lookup
 from ..operators.validate import DUPLICATE, Rule, RuleSet
 from . import schemas, vocabulary as v
@@ -61,7 +61,10 @@ def order_items(
 ) -> RuleSet:
     c = F.col
     quantity, price, discount, tax, total = (c(n) for n in ("_quantity", "_price", "_discount", "_tax", "_total"))
-    gross = quantity * price
+    gross = product(quantity, price)
+    # No total in range equals a gross amount beyond it, and every discount exceeds one far below zero.
+    beyond = p.overflows(quantity, price, gross)
+    negative = F.coalesce((quantity < 0) != (price < 0), F.lit(False))
     return RuleSet(
         entity="order_items",
         key="order_item_id",
@@ -84,9 +87,14 @@ def order_items(
             Rule("invalid_quantity", p.not_a_count(quantity, above=0)),
             Rule("invalid_unit_price", p.out_of_range(price, above=0)),
             Rule("invalid_discount_amount", p.out_of_range(discount, low=0)),
-            Rule("discount_exceeds_gross_amount", p.exceeds(discount, F.round(gross, 2))),
+            Rule("discount_exceeds_gross_amount", p.exceeds(discount, F.round(gross, 2)) | (beyond & negative & discount.isNotNull())),
             Rule("invalid_tax_amount", p.out_of_range(tax, low=0)),
-            Rule("invalid_item_total", p.out_of_range(total, low=0) | p.disagrees(total, gross - discount + tax)),
+            Rule(
+                "invalid_item_total",
+                p.out_of_range(total, low=0)
+                | p.disagrees(total, F.try_add(F.try_subtract(gross, discount), tax))
+                | (beyond & discount.isNotNull() & tax.isNotNull()),
+            ),
         ),
     )
 

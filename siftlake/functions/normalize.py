@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from .parsing import money, number, text
+from .parsing import money, number, product, text
 
 # State to sales region.
 REGION_OF_STATE = {
@@ -66,5 +66,5 @@ def quantity_class(c: Column) -> Column:
 
 
 def line_amount(quantity: Column, unit_price: Column) -> Column:
-    """Quantity times unit price, as money."""
-    return money(number(quantity) * number(unit_price))
+    """Quantity times unit price, as money; NULL where it is beyond range."""
+    return money(product(number(quantity), number(unit_price)))

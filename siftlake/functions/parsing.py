@@ -25,6 +25,11 @@ def number(c: Column) -> Column:
     return c.try_cast(NUMBER)
 
 
+def product(a: Column, b: Column) -> Column:
+    """Product of two parsed numbers; NULL where it is beyond range, never an error."""
+    return F.try_multiply(a, b)
+
+
 def money(c: Column) -> Column:
     """Amount rounded half-up to two places."""
     return F.round(c, 2).cast(MONEY)

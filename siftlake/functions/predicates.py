@@ -77,6 +77,11 @@ def disagrees(stated: Column, computed: Column, scale: int = 2) -> Column:
     return _known(F.round(stated, scale) != F.round(computed, scale))
 
 
+def overflows(a: Column, b: Column, computed: Column) -> Column:
+    """Two known numbers whose combination is beyond range, so that it came out NULL."""
+    return a.isNotNull() & b.isNotNull() & computed.isNull()
+
+
 def differs(a: Column, b: Column) -> Column:
     """Two known values differ exactly."""
     return _known(a != b)

@@ -79,17 +79,18 @@ def flag_later_copies(
     flag: str = "_duplicate",
     null_keys: str = "distinct",
     broadcast_rows: int | None = None,
+    copies_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add a boolean column that is true for every copy of a key after its first.
 
     ``order_by`` must order the copies of a key totally (``order_ties`` finds violations).
     ``null_keys="distinct"`` never calls a row with a NULL key a duplicate; ``"equal"`` treats NULL
     keys as one key. With ``broadcast_rows`` the repeated keys are found and counted first, and
-    broadcast when they are few enough.
+    broadcast when they are few enough. ``copies_of`` is the frame whose copies count, if ``df`` is a part of it.
     """
     keys, order_by = _names(keys), _names(order_by)
     rank = _rank(order_by)
-    repeated = _repeated(df, keys, null_keys, F.min(rank).alias("_first"))
+    repeated = _repeated(df if copies_of is None else copies_of, keys, null_keys, F.min(rank).alias("_first"))
     out = _attach(df, repeated, keys, null_keys, broadcast_rows)
     # A row of unknown rank comes after every ranked copy of its key.
     later = F.coalesce(rank > F.col("_first"), F.col("_first").isNotNull())
@@ -97,33 +98,60 @@ def flag_later_copies(
 
 
 def flag_all_copies(
-    df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "equal", broadcast_rows: int | None = None
+    df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "equal", broadcast_rows: int | None = None,
+    copies_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add a boolean column that is true for every copy of a repeated key, the first included."""
     keys = _names(keys)
-    out = _attach(df, _repeated(df, keys, null_keys), keys, null_keys, broadcast_rows)
+    repeated = _repeated(df if copies_of is None else copies_of, keys, null_keys)
+    out = _attach(df, repeated, keys, null_keys, broadcast_rows)
     return out.withColumn(flag, F.col("_copies").isNotNull()).drop("_copies")
 
 
+# Copies of one row that one task puts out.
+COPIES = 1_000_000
+
+
+def digest(columns) -> Column:
+    """256 bits of a whole row: each value as text behind its length, NULL marked, so that no two rows look alike.
+
+    The columns must have types that a cast to text writes in full.
+    """
+    framed = []
+    for name in columns:
+        value = F.col(name).cast("string")
+        framed.append(F.when(value.isNull(), F.lit("-")).otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value)))
+    return F.sha2(F.concat(*framed).cast("binary"), 256)
+
+
 def flag_resends(
     df: DataFrame, keys, flag: str = "_duplicate", null_keys: str = "distinct", order_by=()
 ) -> DataFrame:
     """``flag_later_copies`` for rows that may be resent as they are, or arrive at one time or at none.
 
     Exact copies are aggregated into one row with their number first. Copies of a key that differ are
-    told apart by ``order_by`` and then by a hash of the row, so that exactly one of all is not flagged.
+    told apart by ``order_by`` and then by ``digest`` of the row, a total order, so that exactly one of all
+    is not flagged. Copies are then put out again, those of a row with more than ``COPIES`` by several tasks.
     """
     keys, order_by = _names(keys), _names(order_by)
     columns = df.columns
     # Copies of one row collapse before the shuffle, however many there are.
     once = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_resent"))
-    once = once.withColumn("_row_hash", F.xxhash64(*columns))
-    found = flag_later_copies(once, keys, [*order_by, "_row_hash"], flag, null_keys)
-    found = found.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_resent"))).alias("_copy"))
+    once = materialize(once.withColumn("_row_digest", digest(columns)), "distinct-rows")
+    found = flag_later_copies(once, keys, [*order_by, "_row_digest"], flag, null_keys).drop("_row_digest")
+
+    few = found.where(F.col("_resent") <= COPIES).withColumn("_from", F.lit(1).cast("bigint"))
+    starts = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_resent"), F.lit(COPIES).cast("bigint")))
+    many = found.where(F.col("_resent") > COPIES).select("*", starts.alias("_from"))
+    # An explicit number: the few narrow rows would be put back into one task by their size, and grow there.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(tasks, "_from", *keys)
+    last = F.least(F.col("_resent"), F.col("_from") + COPIES - 1)
+    spread = few.unionByName(many).select("*", F.explode(F.sequence("_from", last)).alias("_copy"))
     repeated = F.col("_copy") > 1
     if null_keys == "distinct":
         repeated = repeated & reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return found.withColumn(flag, F.col(flag) | repeated).select(*columns, flag)
+    return spread.withColumn(flag, F.col(flag) | repeated).select(*columns, flag)
 
 
 def keep_first(df: DataFrame, keys, order_by, null_keys: str = "distinct") -> DataFrame:

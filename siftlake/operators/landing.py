@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import normalize
 from ..functions.parsing import timestamp
-from ..functions.predicates import blank, differs, not_matching
+from ..functions.predicates import blank, differs, not_matching, overflows
 from ..functions.parsing import money, number
 
 
@@ -46,10 +46,15 @@ def add_region(df: DataFrame, state: str = "state", output: str = "region") -> D
 
 
 def line_total_mismatches(df: DataFrame, quantity: str, unit_price: str, total: str) -> DataFrame:
-    """Lines whose stated total differs from quantity times unit price, with the computed amount."""
+    """Lines whose stated total differs from quantity times unit price, with the computed amount.
+
+    A computed amount beyond range is NULL and differs from every stated one.
+    """
     computed = normalize.line_amount(F.col(quantity), F.col(unit_price))
     out = df.withColumn("computed_total", computed)
-    return out.where(differs(money(number(F.col(total))), F.col("computed_total")))
+    stated = money(number(F.col(total)))
+    beyond = overflows(number(F.col(quantity)), number(F.col(unit_price)), F.col("computed_total"))
+    return out.where(differs(stated, F.col("computed_total")) | (stated.isNotNull() & beyond))
 
 
 def parse_record_date(c: Column) -> Column:

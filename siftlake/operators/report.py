@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.lake import materialize
-from .validate import ISSUE, RuleSet, issue, prepare
+from .validate import ISSUE, RuleSet, issue, issue_bits, prepare
 
 
 def _long(row: DataFrame, names: list[str], columns: list[str], first: str, value: str, numbered: bool = False) -> DataFrame:
@@ -151,3 +151,51 @@ def summary(df: DataFrame, ruleset: RuleSet, references=None, order_by=None) ->
         ),
         "distribution": grouped.where(~valid).select(ISSUE, rows.alias("count")).orderBy(F.desc("count"), ISSUE),
     }
+
+
+def bit_patterns(prepared: DataFrame, ruleset: RuleSet) -> DataFrame:
+    """bits, rows: how often each combination of broken rules occurs. Every report on rules can be read from it."""
+    return prepared.groupBy(issue_bits(ruleset.rules).alias("bits")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def cooccurrence(patterns: DataFrame, ruleset: RuleSet) -> DataFrame:
+    """Rows that break two rules together, for every such pair in order; a rule with itself gives all its rows.
+
+    ``only_these`` counts the rows that break no other rule.
+    """
+    bits = F.col("bits")
+    numbers = F.array_compact(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(i + 1)) for i in range(len(ruleset.rules))]))
+    first = patterns.where(bits != 0).select("bits", "rows", numbers.alias("_numbers")).select("*", F.explode("_numbers").alias("rule_no"))
+    both = first.select("*", F.explode(F.filter("_numbers", lambda n: n >= F.col("rule_no"))).alias("other_no"))
+    pair = F.when(F.col("rule_no") == F.col("other_no"), 1).otherwise(2)
+    only = F.sum(F.when(F.size("_numbers") == pair, F.col("rows")).otherwise(0)).alias("only_these")
+    summed = both.groupBy("rule_no", "other_no").agg(F.sum("rows").alias("rows"), only)
+    names = F.array(*[F.lit(label) for label in ruleset.labels])
+    return summed.select(
+        "rule_no", F.element_at(names, F.col("rule_no")).alias("label"), "other_no", F.element_at(names, F.col("other_no")).alias("other_label"),
+        "rows", "only_these",
+    )
+
+
+VALID_LABEL = "(valid)"
+
+
+def issue_cube(labelled: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """Rows by entity, month and label with all totals; ``labelled`` maps an entity to its labelled rows and their date.
+
+    Each table is counted once by (month, label); grouping sets run over those counts. Columns that a total runs
+    over are NULL; ``level`` names the set, as a row without a date has month NULL too. Valid rows count as ``(valid)``.
+    """
+    counts = None
+    for entity, (rows, date) in labelled.items():
+        month = F.date_format(F.trunc(date, "month"), "yyyy-MM")
+        label = F.coalesce(F.col(ISSUE), F.lit(VALID_LABEL))
+        one = rows.select(F.lit(entity).alias("entity"), month.alias("month"), label.alias("label"))
+        one = one.groupBy("entity", "month", "label").agg(F.count(F.lit(1)).alias("_rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    columns = ["entity", "month", "label"]
+    sets = [columns, ["entity", "month"], ["entity", "label"], ["entity"], ["month"], []]
+    cube = counts.groupingSets([[F.col(c) for c in s] for s in sets], *columns)
+    kept = [F.when(F.grouping(c) == 0, F.lit(c)) for c in columns]
+    total = cube.agg(F.concat_ws(",", *kept).alias("level"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))
+    return total.select("level", *columns, "rows")

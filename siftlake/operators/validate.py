@@ -6,9 +6,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.predicates import blank
+from ..sources.lake import ISSUE
 from . import dedup, refs, skew
 
-ISSUE = "_dq_issue"
 DUPLICATE = "_duplicate"
 
 
@@ -52,10 +52,12 @@ def prepare(
     order_by=None,
     broadcast_rows: int | None = None,
     unique_references: bool = False,
+    copies_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add the helper columns the rules read: duplicate flag, reference attributes, parsed values.
 
-    Without ``order_by`` rows have no arrival order: exact copies count as resent, and of the copies of a
+    ``copies_of`` may name a frame in which copies are counted instead of ``df``, where ``df`` is a part of it; it needs
+    the key and the order columns. Without ``order_by`` rows have no arrival order: exact copies count as resent, and of the copies of a
     key one is kept. ``broadcast_rows`` and ``unique_references`` are passed on to the duplicate flag and the lookups.
     """
     source = df = df.drop(ISSUE)
@@ -64,12 +66,13 @@ def prepare(
         if ruleset.duplicate_key is not None:
             keyed = "_duplicate_key"
             df = df.withColumn(keyed, ruleset.duplicate_key)
+            copies_of = None if copies_of is None else copies_of.withColumn(keyed, ruleset.duplicate_key)
         if ruleset.duplicates == "all":
-            df = dedup.flag_all_copies(df, keyed, DUPLICATE, ruleset.null_keys, broadcast_rows)
+            df = dedup.flag_all_copies(df, keyed, DUPLICATE, ruleset.null_keys, broadcast_rows, copies_of)
         elif order_by is None:
             df = dedup.flag_resends(df, keyed, DUPLICATE, ruleset.null_keys)
         else:
-            df = dedup.flag_later_copies(df, keyed, order_by, DUPLICATE, ruleset.null_keys, broadcast_rows)
+            df = dedup.flag_later_copies(df, keyed, order_by, DUPLICATE, ruleset.null_keys, broadcast_rows, copies_of)
         df = df.drop("_duplicate_key")
     for lookup in ruleset.lookups:
         usable = F.when(~blank(F.col(lookup.column)), refs.as_id(F.col(lookup.column)))
@@ -106,6 +109,28 @@ def all_issues(rules, separator: str = "|") -> Column:
     return F.nullif(F.concat_ws(separator, *[F.when(r.invalid, F.lit(r.label)) for r in rules]), F.lit(""))
 
 
+# Rules of one set; a bit each in a signed 64-bit number.
+MAX_RULES = 63
+
+
+def issue_bits(rules) -> Column:
+    """One whole number per row with a bit for every broken rule, the first rule lowest; 0 for a valid row."""
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules do not fit a bitmask")
+    set_bits = [F.when(r.invalid, F.lit(1 << i)).otherwise(0).cast("bigint") for i, r in enumerate(rules)]
+    return reduce(Column.bitwiseOR, set_bits)
+
+
+def issues_of_bits(bits: Column, labels) -> Column:
+    """The labels behind a bitmask, in order of the rules."""
+    return F.array_compact(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(label)) for i, label in enumerate(labels)]))
+
+
+def first_issue_of_bits(bits: Column, labels) -> Column:
+    """The label of the lowest set bit, NULL for none."""
+    return F.try_element_at(issues_of_bits(bits, labels), F.lit(1))
+
+
 def is_valid(rules) -> Column:
     """True when no rule is broken; never NULL."""
     return ~reduce(lambda a, b: a | b, [F.coalesce(r.invalid, F.lit(False)) for r in rules])

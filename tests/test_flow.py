@@ -9,7 +9,7 @@ import pytest
 
 from siftlake import entities
 from siftlake.plans import flow, marts
-from siftlake.sources.lake import Lake
+from siftlake.sources.lake import Lake, new_path
 
 from rows import frame
 
@@ -108,7 +108,7 @@ def test_promote_all(spark, tmp_path):
     assert lake.read("gold", "customer_360").count() == 1 and lake.read("gold", "daily_sales").count() == 1
 
 
-def test_promotion_needs_three_write_jobs(spark, lake):
+def test_promotion_needs_few_jobs(spark, lake):
     lake, _ = lake
     spark.sparkContext.setJobGroup("promotion", "")
     flow.promote(lake, entities.order_items(), order_by="ingest_seq")
@@ -118,16 +118,15 @@ def test_promotion_needs_three_write_jobs(spark, lake):
     assert len(jobs) <= 12
 
 
-def test_work_table_goes_to_the_shared_folder():
+def test_intermediate_tables_go_to_the_shared_folder():
     def session(folder):
         context = SimpleNamespace(master="spark://cluster:1")
         return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
 
-    one = Lake(session("/shared/checkpoints"), "/lakes/one").work_path("orders")
-    other = Lake(session("/shared/checkpoints"), "/lakes/two").work_path("orders")
-    assert one.startswith("/shared/checkpoints/") and one.endswith("/orders") and one != other
+    one, other = (new_path(session("/shared/checkpoints"), "orders") for _ in range(2))
+    assert one.startswith("/shared/checkpoints/orders-") and one != other
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        Lake(session(None), "/lakes/one/").work_path("orders")
+        new_path(session(None), "orders")
 
 
 def _silver():

@@ -5,8 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from siftlake.catalog import oracles
-from siftlake.catalog.queries import QUERIES
+from siftlake.catalog import ORACLES, QUERIES
 from tools.compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -20,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(oracles.build())
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

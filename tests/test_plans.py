@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from siftlake.catalog.queries import QUERIES
+from siftlake.catalog import QUERIES
 from siftlake.operators import dedup, refs, report
 from siftlake.plans import marts
 

@@ -182,3 +182,25 @@ def test_resends_leave_one_row_of_each_key(spark, low_threshold, order_by):
     kept = {r.key: r["count"] for r in out.where("not dup").groupBy("key").count().collect()}
     assert {v for k, v in kept.items() if k is not None} == {1}
     assert set(kept) == {r.key for r in df.select("key").distinct().collect()} and kept[None] == df.where("key is null").count()
+
+
+def test_copies_that_differ_in_the_place_of_a_null(spark):
+    rows = [("k", "x", None), ("k", None, "x"), ("k", None, "x"), ("m", "1:a", "b"), ("m", "1", "a:b"), (None, None, "x"), (None, "x", None)]
+    df = spark.createDataFrame(rows, "key string, a string, b string")
+    out = dedup.flag_resends(df, "key", "dup")
+    same_rows(out.drop("dup"), df)
+    kept = [r.key for r in out.where("not dup").collect()]
+    assert sorted(map(str, kept)) == ["None", "None", "k", "m"]
+    digests = df.distinct().select(dedup.digest(df.columns).alias("d")).distinct()
+    assert digests.count() == df.distinct().count()
+
+
+def test_many_copies_of_one_row_are_put_out_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "COPIES", 10)
+    df = spark.range(35).select(F.lit("k").alias("key"), F.lit("x").alias("a"))
+    df = df.union(spark.createDataFrame([("k", "y"), ("m", "x"), ("m", "x"), (None, "x")], "key string, a string"))
+    out = dedup.flag_resends(df, "key", "dup")
+    same_rows(out.drop("dup"), df)
+    assert sorted(str(r.key) for r in out.where("not dup").collect()) == ["None", "k", "m"]
+    tasks = out.where("key = 'k' and a = 'x'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
