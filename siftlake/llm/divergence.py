@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import textblocks as tb
-from .frames import prepare, stored
+from .frames import prepare, stored, tidy
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -285,10 +285,10 @@ def collect_stripes(
     # Spark broadcasts the table of groups if its size allows; else skewed sources are split at run time.
     numbered = rows.join(groups, ["lang", "source"]).select("lang", "source_no", "text")
     folded = numbered.mapInArrow(
-        lambda batches: _fold(batches, spill_rows), "lang string, term string, docs long, sources array<int>, counts array<long>"
+        tidy(lambda batches: _fold(batches, spill_rows)), "lang string, term string, docs long, sources array<int>, counts array<long>"
     )
     ordered = folded.repartition("lang", "term").sortWithinPartitions("lang", "term")
-    merged = stored(ordered.mapInArrow(lambda batches: _merge(batches, min_docs, merge_rows), folded.schema), "divergence-stripes")
+    merged = stored(ordered.mapInArrow(tidy(lambda batches: _merge(batches, min_docs, merge_rows)), folded.schema), "divergence-stripes")
 
     entry = F.explode(F.arrays_zip("sources", "counts")).alias("e")
     n = merged.select("lang", entry).groupBy("lang", F.col("e.sources").alias("source_no")).agg(F.sum("e.counts").alias("n"))

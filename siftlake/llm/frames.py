@@ -1,5 +1,6 @@
 """Small helpers the operators share: adding columns batch by batch, stored intermediate tables, held-out rows."""
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable
@@ -14,19 +15,52 @@ from ..sources.lake import shared_folder
 # Rows in one Arrow batch. Texts may be long, so batches stay far below Spark's default of 10,000 rows.
 BATCH_ROWS = 1000
 
+# Bytes of one Arrow batch: texts of any length, few rows of long ones.
+BATCH_BYTES = 8 << 20
+
+# What operators keep in a worker process for their next task there, and how to drop it.
+HELD: dict[str, Callable[[], None]] = {}
+
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
-    """Keep Arrow batches small for all later jobs, and let Python workers on this machine find the package."""
+    """Keep Arrow batches small in rows and bytes for all later jobs, and let Python workers on this machine find the package."""
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in known:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, known)])
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def drop_held(keep: str = "") -> None:
+    """Drop what the operators but ``keep`` hold in this worker process."""
+    for owner, drop in HELD.items():
+        if owner != keep:
+            drop()
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system; a reused worker would keep its highest use."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def tidy(run: Callable, keep: str = "") -> Callable:
+    """``run`` over a task's batches, without what other operators hold, giving memory back at the end."""
+    def whole(batches):
+        drop_held(keep)
+        yield from run(batches)
+        give_back()
+
+    return whole
 
 
 def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
@@ -47,7 +81,7 @@ def append_columns(df: DataFrame, fields: str, make: Callable) -> DataFrame:
             columns = compute(batch)
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + list(columns), names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

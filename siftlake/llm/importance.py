@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 
 from . import textblocks as tb
 from .divergence import word_array
-from .frames import free_name, prepare, stored
+from .frames import free_name, prepare, stored, tidy
 
 BUCKETS = 10_000
 SEED = 2024
@@ -127,7 +127,7 @@ def find_head(
 ) -> Head:
     """The frequent words, and for ``max_n`` of 2 or more the frequent pairs, of a table."""
     prepare(docs.sparkSession)
-    named = docs.select(text).mapInArrow(lambda b: _frequent(b, max_n, head, fold_rows), "n int, feature string, count long")
+    named = docs.select(text).mapInArrow(tidy(lambda b: _frequent(b, max_n, head, fold_rows)), "n int, feature string, count long")
     summed = stored(named.groupBy("n", "feature").agg(F.sum("count").alias("count")), "importance-head")
     states, pairs = {}, {}
     for n in (1, 2) if max_n > 1 else (1,):
@@ -196,7 +196,7 @@ def hashed(
                 added = [pa.array(n, pa.int64()), pa.array(sizes, pa.int64()), lists]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + added, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def bucket_totals(rows: DataFrame, column: str = "buckets", buckets: int = BUCKETS) -> np.ndarray:
@@ -208,7 +208,7 @@ def bucket_totals(rows: DataFrame, column: str = "buckets", buckets: int = BUCKE
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["bucket", "n"])
 
-    parts = rows.select(column).mapInArrow(run, "bucket int, n long")
+    parts = rows.select(column).mapInArrow(tidy(run), "bucket int, n long")
     out = np.zeros(buckets, dtype=np.int64)
     # At most one row per bucket.
     for row in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
@@ -238,7 +238,7 @@ def weighed(rows: DataFrame, gains: np.ndarray, column: str = "buckets", weight:
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(mean, pa.int64())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def with_score(rows: DataFrame, doc_id: str = "doc_id", weight: str = "weight", score: str = "score", seed: int = SEED) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import append_columns, prepare, remainder
+from .frames import append_columns, prepare, remainder, tidy
 
 UNKNOWN = "und"
 SYMBOLS = 64
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
             )
 
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sums = rows.mapInArrow(run, "language string, vector array<double>")
+    sums = rows.mapInArrow(tidy(run), "language string, vector array<double>")
     total = Summarizer.sum(array_to_vector("vector"))
     found = sums.groupBy("language").agg(vector_to_array(total).alias("vector")).limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import checked_broadcast, free_name, prepare, stored
+from .frames import checked_broadcast, free_name, prepare, stored, tidy
 
 WIDTH = 5
 REGISTERS = 128
@@ -140,7 +140,7 @@ def profiles(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id long, n_shingles long, mark1 long, mark2 long, bands array<long>, signature binary"
     names = ["doc_id", "n_shingles", "mark1", "mark2", "bands", "signature"]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)
 
 
 def agreement(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -171,7 +171,7 @@ def similar_signatures(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     }
     fits = F.least("left_size", "right_size") * DENOMINATOR >= F.greatest("left_size", "right_size") * NUMERATOR
     both = pairs.join(side["left"], "left").join(side["right"], "right").where(fits)
-    return both.select("left", "right", "left_signature", "right_signature").mapInArrow(run, "left long, right long")
+    return both.select("left", "right", "left_signature", "right_signature").mapInArrow(tidy(run), "left long, right long")
 
 
 def _set_list(texts: pa.Array) -> list[np.ndarray]:
@@ -182,6 +182,17 @@ def _set_list(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
+def _slices(batch: pa.RecordBatch, names):
+    """Parts of a batch with at most about ``tb.BLOCK_BYTES`` in the named columns, or one row."""
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(n)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for n in names)
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + tb.BLOCK_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common > 0 and DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common)
@@ -196,7 +207,7 @@ def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose full sets reach the threshold, computed from the whole texts of both."""
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, ("left_text", "right_text"))):
             both = zip(_set_list(batch.column("left_text")), _set_list(batch.column("right_text")))
             linked = pa.array([_linked(a, b) for a, b in both], pa.bool_())
             yield pa.RecordBatch.from_arrays(
@@ -207,7 +218,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = rows.select(F.col("node").alias("left"), F.col("text").alias("left_text"))
     right = rows.select(F.col("node").alias("right"), F.col("text").alias("right_text"))
     joined = pairs.join(left, "left").join(right, "right")
-    return joined.select("left", "right", "left_text", "right_text").mapInArrow(run, "left long, right long").distinct()
+    return joined.select("left", "right", "left_text", "right_text").mapInArrow(tidy(run), "left long, right long").distinct()
 
 
 class _Roots:
@@ -244,7 +255,7 @@ def _local_union(edges: DataFrame) -> DataFrame:
                 [pa.array(own, pa.int64()), pa.array([roots(x) for x in own], pa.int64())], names=["a", "b"]
             )
 
-    return edges.mapInArrow(run, "a long, b long").where("a > b").distinct()
+    return edges.mapInArrow(tidy(run), "a long, b long").where("a > b").distinct()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .frames import prepare
+from .frames import HELD, prepare, tidy
 from .perfecthash import PerfectHash, fingerprint
 
 END_ID = 0
@@ -114,6 +114,9 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+HELD["tokenstore"] = _encoder.cache_clear
+
+
 def _sub_batches(texts: list[str]):
     part, size = [], 0
     for text in texts:
@@ -211,7 +214,7 @@ def _write_shards(rows: DataFrame, folder: str, tokenizer: str, end_id: int) ->
 
     names = ["shard", "file", "n_docs", "n_tokens", "first_key", "last_key"]
     types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    return rows.mapInArrow(run, "shard int, file string, n_docs long, n_tokens long, first_key long, last_key long")
+    return rows.mapInArrow(tidy(run, "tokenstore"), "shard int, file string, n_docs long, n_tokens long, first_key long, last_key long")
 
 
 def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> Store:
