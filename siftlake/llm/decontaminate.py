@@ -6,8 +6,9 @@ order, with the highest weight of each block of ``BLOCK_ITEMS`` items.
 
 *Search*, block-max WAND with a fixed threshold, for many passages at once. Documents are read in
 passages of ``PASSAGE`` words, each beginning half a passage after the last, so that every run of up to
-half a passage lies whole in one of them; longer items get longer passages. A passage is dropped when the highest weights of its distinct terms add up to less than the
-threshold: then no item can be a pivot. For the others the block maxima are added up; a block whose sum
+half a passage lies whole in one of them. Longer items are searched in passages of twice that length, four
+times, and so on, whatever other items there are. A passage is dropped when the highest weights of its
+distinct terms add up to less than the threshold: then no item can be a pivot. For the others the block maxima are added up; a block whose sum
 stays below the threshold is skipped, and only the postings of the remaining blocks are scored. As the
 threshold never rises, every pivot that a cursor would stop at lies in one of those blocks. All items at
 or above the threshold are found, not just the best ones.
@@ -15,11 +16,12 @@ or above the threshold are found, not just the best ones.
 *Verification.* A found item counts when the passage also holds at least ``OVERLAP`` of the word
 trigrams of its question, and of its answer where it has one (of the whole part, if shorter).
 
-The index is broadcast in slices of at most ``SLICE_ITEMS`` items whose words are counted, too; each
-slice is one pass over the documents. Document frequencies always come from all items.
+The index is broadcast in slices of at most ``SLICE_ITEMS`` items and about ``SLICE_BYTES`` of text (one longer
+item is a slice), all of one passage length; each slice is one pass over the documents. Items with equal question and answer
+are indexed once, under the smallest of their ids. Document frequencies always come from all items.
 
-Defined results: NULL text holds nothing; items without a word are never found; items with equal words
-are all found; NULL ids are carried through. Repeated documents give repeated rows.
+Defined results: NULL text holds nothing; items without a word are never found; ``leak_table`` gives items with
+equal texts under each of their ids, once per row of the benchmark; NULL ids are carried through. Repeated documents give repeated rows.
 """
 
 from dataclasses import dataclass
@@ -30,19 +32,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import append_columns, free_name, prepare
+from .frames import append_columns, free_name, prepare, stored
 
 THRESHOLD = 0.6
 OVERLAP = 0.6
 PASSAGE = 128
 BLOCK_ITEMS = 4
 SLICE_ITEMS = 20_000
+SLICE_BYTES = 16 << 20
 K1, B = 1.2, 0.75
 _GRAM = 3
 # Passages scored at once.
 _TOGETHER = 64
 
-LEAK = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
+LEAK = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double,item_no:long>>"
 
 
 def terms(texts: pa.Array):
@@ -69,6 +72,7 @@ class Index:
     """One slice of items; ``terms`` is sorted, postings of term i stand at pointer[i] to pointer[i + 1]."""
 
     item_ids: list
+    item_nos: list
     terms: np.ndarray
     pointer: np.ndarray
     items: np.ndarray
@@ -82,7 +86,15 @@ class Index:
     passage: int
 
 
-def _slice_index(rows: list, frequency: dict[int, int], n_items: int, mean_length: float) -> Index:
+def passage_length(words: int) -> int:
+    """Words of the passages in which an item of that many words is searched."""
+    size = PASSAGE
+    while size < 2 * words:
+        size *= 2
+    return size
+
+
+def _slice_index(rows: list, frequency: dict[int, int], n_items: int, mean_length: float, passage: int) -> Index:
     questions = _term_lists([r.question for r in rows])
     answers = _term_lists([r.answer for r in rows])
     both = [np.concatenate((q, a)) for q, a in zip(questions, answers)]
@@ -103,16 +115,42 @@ def _slice_index(rows: list, frequency: dict[int, int], n_items: int, mean_lengt
     block_weights = np.maximum.reduceat(weight, starts) if len(key) else weight
     block_pointer = np.searchsorted(term[starts], np.arange(len(vocabulary) + 1))
     return Index(
-        [r.item_id for r in rows], vocabulary, pointer, item, weight,
+        [r.item_id for r in rows], [r.item_no for r in rows], vocabulary, pointer, item, weight,
         block_pointer, item[starts] // BLOCK_ITEMS, block_weights,
         np.maximum.reduceat(block_weights, block_pointer[:-1]) if len(vocabulary) else block_weights,
         [_grams(q) for q in questions], [_grams(a) for a in answers],
-        max(PASSAGE, 2 * int(lengths.max(initial=0))),
+        passage,
     )
 
 
-def build_indexes(items: DataFrame) -> list[Index]:
-    """Indexes of all items (item_id long, question, answer), at most ``SLICE_ITEMS`` items in each."""
+@dataclass(frozen=True)
+class Items:
+    """Indexes of the distinct items, and a table (item_no, item_id) of all items behind them."""
+
+    indexes: list[Index]
+    ids: DataFrame
+
+
+def _slices(rows):
+    """Rows by length of their passages, cut into slices of bounded items and bytes; items without a word are left out."""
+    waiting: dict[int, list] = {}
+    sizes: dict[int, int] = {}
+    for row in rows:
+        texts = [row.question or "", row.answer or ""]
+        words = sum(map(len, _term_lists(texts)))
+        if not words:
+            continue
+        passage, size = passage_length(words), sum(len(t.encode()) for t in texts)
+        if waiting.get(passage) and (len(waiting[passage]) >= SLICE_ITEMS or sizes[passage] + size > SLICE_BYTES):
+            yield passage, waiting.pop(passage)
+            sizes[passage] = 0
+        waiting.setdefault(passage, []).append(row)
+        sizes[passage] = sizes.get(passage, 0) + size
+    yield from sorted(waiting.items())
+
+
+def build(items: DataFrame) -> Items:
+    """Indexes of all items (item_id long, question, answer)."""
     prepare(items.sparkSession)
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "question", "answer")
 
@@ -128,24 +166,27 @@ def build_indexes(items: DataFrame) -> list[Index]:
                         )
 
     found = items.select("question", "answer").mapInArrow(words, "term long, length long")
-    n_items, n_words = found.agg(F.count_if(F.col("length") > 0), F.sum("length")).first()
-    if not n_items:
-        return []
-    frequency = found.groupBy("term").count()
-    slices = max(1, -(-items.count() // (SLICE_ITEMS // 2)))
-    sliced = items.withColumn("slice", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(slices)))
+    counted = found.groupBy("term").agg(F.count(F.lit(1)).alias("count"), F.count_if(F.col("length") > 0).alias("items"), F.sum("length").alias("words"))
+    frequency = stored(counted, "leak-terms")
+    n_items, n_words = frequency.agg(F.sum("items"), F.sum("words")).first()
+    # Equal items, however many, collapse before the shuffle; the stored numbers stay the same in all later reads.
+    once = items.groupBy("question", "answer").agg(F.min("item_id").alias("item_id"))
+    once = stored(once.withColumn("item_no", F.monotonically_increasing_id()), "leak-items")
+    same = [items[c].eqNullSafe(once[c]) for c in ("question", "answer")]
+    ids = items.join(once, same).select(once["item_no"], items["item_id"])
     indexes = []
-    for i in range(slices):
-        rows = sliced.where(F.col("slice") == i).orderBy("item_id", "question", "answer").limit(SLICE_ITEMS + 1).collect()
-        if len(rows) > SLICE_ITEMS:
-            raise ValueError("one slice holds too many items: items repeat")
-        own = {int(t) for x in _term_lists([f"{r.question or ''} {r.answer or ''}" for r in rows]) for t in x.view(np.int64)}
-        known = frequency if slices == 1 else frequency.join(
-            F.broadcast(items.sparkSession.createDataFrame([(t,) for t in own], "term long")), "term", "left_semi"
-        )
-        counts = {r.term: r["count"] for r in known.collect()}
-        indexes.append(_slice_index(rows, counts, n_items, n_words / n_items))
-    return indexes
+    # The driver takes one partition at a time.
+    for passage, rows in _slices(once.orderBy("item_no").toLocalIterator()):
+        own = {int(t) for r in rows for x in _term_lists([r.question or "", r.answer or ""]) for t in x.view(np.int64)}
+        known = items.sparkSession.createDataFrame([(t,) for t in own], "term long")
+        counts = {r.term: r["count"] for r in frequency.join(known, "term", "left_semi").collect()}
+        indexes.append(_slice_index(rows, counts, n_items, n_words / n_items, passage))
+    return Items(indexes, ids)
+
+
+def build_indexes(items: DataFrame) -> list[Index]:
+    """The indexes alone."""
+    return build(items).indexes
 
 
 def _expand(pointer: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,11 +273,11 @@ def leaks(
                         if min(shares) >= overlap and (item not in best or best[item]["score"] < score):
                             best[item] = {
                                 "item_id": index.item_ids[item], "score": float(score),
-                                "question_overlap": shares[0], "answer_overlap": shares[1],
+                                "question_overlap": shares[0], "answer_overlap": shares[1], "item_no": index.item_nos[item],
                             }
                 kind = pa.list_(pa.struct([
                     ("item_id", pa.int64()), ("score", pa.float64()),
-                    ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()),
+                    ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("item_no", pa.int64()),
                 ]))
                 return (pa.array([[f[k] for k in sorted(f)] for f in found], kind),)
 
@@ -263,12 +304,19 @@ def item_parts(text: str = "text") -> tuple[Column, Column]:
     return question, F.regexp_extract(trimmed, split, 2)
 
 
+def items_of(benchmark: DataFrame) -> Items:
+    """Items of a benchmark table (item_id, text)."""
+    question, answer = item_parts()
+    return build(benchmark.select("item_id", question.alias("question"), answer.alias("answer")))
+
+
 def indexes_of(benchmark: DataFrame) -> list[Index]:
     """Indexes of a benchmark table (item_id, text)."""
-    question, answer = item_parts()
-    return build_indexes(benchmark.select("item_id", question.alias("question"), answer.alias("answer")))
+    return items_of(benchmark).indexes
 
 
 def leak_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score and overlaps of every verified leak."""
-    return leaks(docs.select("doc_id", "text"), indexes_of(benchmark)).select("doc_id", F.inline("leaks"))
+    items = items_of(benchmark)
+    found = leaks(docs.select("doc_id", "text"), items.indexes).select("doc_id", F.inline("leaks"))
+    return found.drop("item_id").join(items.ids, "item_no").select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")

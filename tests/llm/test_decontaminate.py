@@ -74,6 +74,41 @@ def test_awkward_rows(spark, awkward, empty, items):
     assert out.columns == awkward.columns + ["leaks"] and out.count() == awkward.count()
     assert dc.leaks(empty, index).collect() == []
     got = {r.doc_id: [x.item_id for x in r.leaks] for r in out.collect() if r.leaks}
-    assert got == {4: [92, 92], 5: [92, 92]}
+    assert got == {4: [92], 5: [92]}
+    every = [(None, items[0][1]), (92, "one two"), (92, "one two"), (93, "one two"), (None, "one two")]
+    rows = [(r.doc_id, r.item_id) for r in dc.leak_table(awkward, frame(spark, every)).collect()]
+    assert sorted(rows, key=str) == sorted([(d, i) for d in (4, 5) for i in (92, 92, 93, None)], key=str)
     assert dc.indexes_of(frame(spark, [(1, None)]).where("item_id < 0")) == []
     assert dc.leaks(awkward, []).where("size(leaks) > 0").count() == 0
+
+
+def test_results_do_not_depend_on_other_items(spark, table, items):
+    """Alone, beside a very long item, and repeated more often than a slice has room for."""
+    rows = [(i, prose(60 + i, 150, 4) + " " + items[i][1] + " " + prose(90 + i, 150, 4), "en", "a") for i in range(3)]
+    rows.append((9, "start " + prose(500, 1000, 4) + " end", "en", "a"))
+    own = items[:2]
+
+    def found(more):
+        out = dc.leak_table(table(rows), frame(spark, own + more)).where("item_id < 100").collect()
+        return sorted((r.doc_id, r.item_id, r.question_overlap, r.answer_overlap) for r in out)
+
+    alone = found([])
+    assert [r[:2] for r in alone] == [(0, 0), (1, 1)]
+    long = [(500, prose(500, 1000, 4))]
+    assert found(long) == alone
+    assert [dc.passage_length(n) for n in (0, 1, 64, 65, 128, 129)] == [128, 128, 128, 256, 256, 512]
+    assert {r.item_id for r in dc.leak_table(table(rows), frame(spark, own + long)).collect()} == {0, 1, 500}
+    repeated = frame(spark, own).union(spark.range(25_000).selectExpr("id + 1000", "'Same thing? Same answer'"))
+    built = dc.items_of(repeated)
+    assert sum(len(i.item_ids) for i in built.indexes) == 3 and built.ids.count() == 25_002
+    out = dc.leak_table(table([*rows, (10, "same thing same answer", "en", "a")]), repeated)
+    counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert counts == {0: 1, 1: 1, 10: 25_000}
+
+
+def test_slices_are_bounded_by_bytes(spark, table, items, monkeypatch):
+    rows = [(i, items[i][1], "en", "a") for i in range(10)]
+    whole = sorted((r.doc_id, r.item_id) for r in dc.leak_table(table(rows), frame(spark, items)).collect())
+    monkeypatch.setattr(dc, "SLICE_BYTES", 300)
+    assert len(dc.indexes_of(frame(spark, items))) >= 10
+    assert sorted((r.doc_id, r.item_id) for r in dc.leak_table(table(rows), frame(spark, items[:12])).collect()) == whole
