@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import append_columns
+from .frames import append_columns, stored
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower", "n_exclaim",
@@ -181,13 +181,26 @@ def failures_in_common(entries: DataFrame, by: str) -> DataFrame:
     return entries.groupBy(by).agg(F.bit_or("failed_bits").alias("any_failed"), F.bit_and("failed_bits").alias("all_failed"))
 
 
+def only_rule(policy: Policy, bits: str = "failed_bits") -> Column:
+    """The rule without which the policy would keep a document: the one it fails alone, else NULL."""
+    failed = F.col(bits).bitwiseAND(F.lit(policy.mask))
+    return F.coalesce(*[F.when(failed == BITS[r], F.lit(r)) for r in policy.rules])
+
+
 def rule_table(docs: DataFrame) -> DataFrame:
-    """The ledger of all documents with the base decision and the strict policy's."""
-    found = ledger(docs.select("doc_id", "text"))
-    return found.select(
+    """Every document's entry with the base decision, the strict policy's, and that policy's ablation.
+
+    The texts are measured once, into a stored ledger; policies and ablations read that table. ``only_rule`` is the rule
+    that alone rejects the document, ``kept_without`` the documents the strict policy would keep without it.
+    """
+    entries = stored(ledger(docs.select("doc_id", "text")), "ledger")
+    without = ablations(entries, STRICT).select(F.col("rule").alias("only_rule"), F.col("n_kept_without").alias("kept_without"))
+    judged = entries.select(
         "doc_id", *[F.col(m) for m in MEASURES], "failed_bits",
-        fails(BASE).alias("base_failed"), (~fails(STRICT)).alias("kept"),
+        fails(BASE).alias("base_failed"), (~fails(STRICT)).alias("kept"), only_rule(STRICT).alias("only_rule"),
     )
+    # One row per rule of a policy.
+    return judged.join(F.broadcast(without), "only_rule", "left").select(*judged.columns, "kept_without")
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -224,6 +237,8 @@ WITH base AS (
   FROM measured
 )
 SELECT doc_id, {", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in MEASURES)}, CAST(failed_bits AS INTEGER) AS failed_bits,
-  failed_bits & {BASE.mask} <> 0 AS base_failed, failed_bits & {STRICT.mask} = 0 AS kept
-FROM judged
+  failed_bits & {BASE.mask} <> 0 AS base_failed, failed_bits & {STRICT.mask} = 0 AS kept, only_rule,
+  CASE WHEN only_rule IS NOT NULL THEN count(*) FILTER (WHERE failed_bits & {STRICT.mask} = 0) OVER ()
+    + count(*) OVER (PARTITION BY only_rule) END AS kept_without
+FROM (SELECT *, CASE failed_bits & {STRICT.mask} {" ".join(f"WHEN {BITS[r]} THEN '{r}'" for r in STRICT.rules)} END AS only_rule FROM judged)
 """

@@ -35,6 +35,9 @@ def test_policies_read_the_bits(table):
     for r in got:
         assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
         assert r.kept == (r.failed_bits == 0) and not (r.kept and r.base_failed)
+        alone = [name for name, bit in ledger.BITS.items() if r.failed_bits == bit]
+        assert r.only_rule == (alone[0] if alone else None)
+        assert r.kept_without == (sum(x.kept or x.failed_bits == r.failed_bits for x in got) if alone else None)
     entries = ledger.ledger(table(rows))
     for a in ledger.ablations(entries, ledger.STRICT).collect():
         bit = ledger.BITS[a.rule]
