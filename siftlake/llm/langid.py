@@ -135,29 +135,42 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
     return Model(tuple(r.language for r in found), prototypes / np.where(norm > 0, norm, 1), seed)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Every row with its predicted language and the cosine (0 to 1) with that language's prototype."""
+def predict(
+    docs: DataFrame, model: Model, text: str = "text", language: str = "lang_pred", score: str = "score", letters: str | None = None
+) -> DataFrame:
+    """Every row with its predicted language and the cosine (0 to 1) with that language's prototype.
+
+    ``letters`` may name a further column for the number of letters of the text.
+    """
     names = np.array([*model.languages, UNKNOWN], dtype=object)
-    prototypes, seed = model.prototypes, model.seed
+    prototypes, seed, dimensions = model.prototypes, model.seed, model.prototypes.shape[1]
 
     def make():
         def compute(batch):
             n = batch.num_rows
-            best, cosine = np.full(n, len(names) - 1), np.zeros(n)
-            for first, vectors, letters in _batch_vectors(batch.column(text), prototypes.shape[1], seed):
+            best, cosine, counts = np.full(n, len(names) - 1), np.zeros(n), np.zeros(n, dtype=np.int64)
+            for first, vectors, n_letters in _batch_vectors(batch.column(text), dimensions, seed):
+                counts[first : first + len(n_letters)] = n_letters
                 if not len(prototypes):
                     continue
                 found = vectors @ prototypes.T
                 top = found.argmax(axis=1)
-                known = letters > 0
+                known = n_letters > 0
                 rows = first + np.flatnonzero(known)
                 best[rows] = top[known]
                 cosine[rows] = np.clip(found[np.arange(len(top)), top][known], 0, 1)
-            return pa.array(names[best], pa.string()), pa.array(cosine)
+            columns = [pa.array(names[best], pa.string()), pa.array(cosine)]
+            return columns if letters is None else [*columns, pa.array(counts)]
 
         return compute
 
-    return append_columns(docs, f"{language} string, {score} double", make)
+    more = "" if letters is None else f", {letters} long"
+    return append_columns(docs, f"{language} string, {score} double{more}", make)
+
+
+def noise(model: Model) -> float:
+    """Standard deviation of the cosine of a text that has nothing in common with a prototype."""
+    return 1 / np.sqrt(model.prototypes.shape[1])
 
 
 def language_table(docs: DataFrame) -> DataFrame:

@@ -64,3 +64,17 @@ def test_awkward_rows(spark, awkward, tmp_path):
     ids = [r.doc_id for r in docs.collect()]
     assert set(ids) <= {3, 7, 8, 9, None} and 3 in ids
     assert cp.run(spark, str(tmp_path)).count() == len(ids)
+
+
+def test_letters_of_no_language_go(spark, table):
+    """Random letters are rejected from a few dozen letters on; texts of the learned languages stay."""
+    from test_langid import SYLLABLES, text
+
+    r = random.Random(4)
+    learned = [(i, text(lang, i, 60), lang, "a") for i, lang in enumerate(list(SYLLABLES) * 100)]
+    scripts = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "".join(chr(0x4E00 + i) for i in range(2000)))
+    noise = [(1000 + i, "".join(r.choice(scripts[i % 3] + "   ") for _ in range(400)), None, "b") for i in range(150)]
+    short = [(2000 + i, text("aa", i, 2), "aa", "a") for i in range(20)]
+    kept = {x.doc_id for x in cp.language_id(spark, table(learned + noise + short), "").collect()}
+    assert {d for d, *_ in learned + short} <= kept
+    assert len(kept & {d for d, *_ in noise}) <= 5
