@@ -11,15 +11,19 @@ from siftlake.llm import decontaminate, langid, mixing, nearcopies, tokenstore
 from siftlake.llm.frames import free_name, new_folder
 from siftlake.llm.queries import read, tokenizer_path
 
-# A text this far from every learned language is rejected, like a text without a letter.
-MIN_COSINE = 0.03
+# A text of at least LETTERS letters is rejected if its cosine with the best language lies within this many
+# standard deviations of chance, like a text without a letter. Shorter texts are too short to be judged.
+DEVIATIONS = 3.5
+LETTERS = 64
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; texts without a letter, or unlike every language, go."""
-    language, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    found = langid.predict(docs, langid.fit(docs.select("text", "lang")), language=language, score=score)
-    known = (F.col(language) != langid.UNKNOWN) & (F.col(score) >= MIN_COSINE)
+    """Documents with a recognised language; texts without a letter, and longer ones unlike every language, go."""
+    language, score, letters = (free_name(docs, n) for n in ("lang_pred", "lang_score", "lang_letters"))
+    model = langid.fit(docs.select("text", "lang"))
+    found = langid.predict(docs, model, language=language, score=score, letters=letters)
+    like = (F.col(letters) < LETTERS) | (F.col(score) >= float(DEVIATIONS * langid.noise(model)))
+    known = (F.col(language) != langid.UNKNOWN) & like
     return found.where(known).select(*docs.columns)
 
 
