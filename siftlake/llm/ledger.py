@@ -193,7 +193,7 @@ def rule_table(docs: DataFrame) -> DataFrame:
     The texts are measured once, into a stored ledger; policies and ablations read that table. ``only_rule`` is the rule
     that alone rejects the document, ``kept_without`` the documents the strict policy would keep without it.
     """
-    entries = stored(ledger(docs.select("doc_id", "text")), "ledger")
+    entries = stored(ledger(docs.select("doc_id", "text")).drop("text"), "ledger")
     without = ablations(entries, STRICT).select(F.col("rule").alias("only_rule"), F.col("n_kept_without").alias("kept_without"))
     judged = entries.select(
         "doc_id", *[F.col(m) for m in MEASURES], "failed_bits",
