@@ -17,7 +17,7 @@ or above the threshold are found, not just the best ones.
 trigrams of its question, and of its answer where it has one (of the whole part, if shorter).
 
 The index is broadcast in slices of at most ``SLICE_ITEMS`` items and about ``SLICE_BYTES`` of text (one longer
-item is a slice), all of one passage length; each slice is one pass over the documents. Items with equal question and answer
+item is a slice), all of one passage length; every task searches all slices in one pass over its documents. Items with equal question and answer
 are indexed once, under the smallest of their ids. Document frequencies always come from all items.
 
 Defined results: NULL text holds nothing; items without a word are never found; ``leak_table`` gives items with
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textblocks as tb
-from .frames import append_columns, free_name, prepare, stored
+from .frames import append_columns, prepare, stored
 
 THRESHOLD = 0.6
 OVERLAP = 0.6
@@ -254,43 +254,35 @@ def leaks(
     threshold: float = THRESHOLD, overlap: float = OVERLAP,
 ) -> DataFrame:
     """Every document with the items it holds: item_id, best score and the overlaps of its best passage."""
-    shared = docs.sparkSession.sparkContext.broadcast
-
-    def one(frame: DataFrame, index: Index, name: str) -> DataFrame:
-        sent = shared(index)
-
-        def make():
-            index = sent.value
-
-            def compute(batch):
-                found = [{} for _ in range(batch.num_rows)]
-                for first_row, hashes, bounds in terms(batch.column(text)):
+    if not indexes:
+        return docs.withColumn(column, F.expr(f"cast(array() as {LEAK})"))
+    sent = [docs.sparkSession.sparkContext.broadcast(index) for index in indexes]
+    kind = pa.list_(pa.struct([
+        ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()),
+        ("item_no", pa.int64()),
+    ]))
+
+    def make():
+        def compute(batch):
+            # All slices in one pass: the words of a block are hashed once, and one worker serves a task.
+            found = [{} for _ in range(batch.num_rows)]
+            for first_row, hashes, bounds in terms(batch.column(text)):
+                for number, index in enumerate(s.value for s in sent):
                     begins, ends, owner = _passages(bounds, index.passage)
                     for p, item, score in search(index, hashes, begins, ends, threshold):
                         own, cache = hashes[begins[p] : ends[p]], {}
                         shares = [_share(part[item], own, cache) for part in (index.questions, index.answers)]
-                        best = found[first_row + owner[p]]
-                        if min(shares) >= overlap and (item not in best or best[item]["score"] < score):
-                            best[item] = {
+                        best, key = found[first_row + owner[p]], (number, item)
+                        if min(shares) >= overlap and (key not in best or best[key]["score"] < score):
+                            best[key] = {
                                 "item_id": index.item_ids[item], "score": float(score),
                                 "question_overlap": shares[0], "answer_overlap": shares[1], "item_no": index.item_nos[item],
                             }
-                kind = pa.list_(pa.struct([
-                    ("item_id", pa.int64()), ("score", pa.float64()),
-                    ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("item_no", pa.int64()),
-                ]))
-                return (pa.array([[f[k] for k in sorted(f)] for f in found], kind),)
-
-            return compute
+            return (pa.array([[f[k] for k in sorted(f)] for f in found], kind),)
 
-        return append_columns(frame, f"{name} {LEAK}", make)
+        return compute
 
-    if not indexes:
-        return docs.withColumn(column, F.expr(f"cast(array() as {LEAK})"))
-    names = [free_name(docs, f"_leaks{i}") for i in range(len(indexes))]
-    for index, name in zip(indexes, names):
-        docs = one(docs, index, name)
-    return docs.withColumn(column, F.concat(*names)).drop(*names)
+    return append_columns(docs, f"{column} {LEAK}", make)
 
 
 def item_parts(text: str = "text") -> tuple[Column, Column]:
