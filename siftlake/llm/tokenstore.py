@@ -34,9 +34,9 @@ from .perfecthash import PerfectHash, fingerprint
 END_ID = 0
 # Text bytes of a shard, about; a task holds one shard's ids in memory when it reads.
 SHARD_BYTES = 32 << 20
-# Encoded pieces a worker process remembers, also for its later tasks.
-MEMO_PIECES = 1_200_000
-_SUB_BATCH_CHARS = 1 << 20
+# Encoded pieces of one generation; a worker process remembers two of them, also for its later tasks.
+MEMO_PIECES = 200_000
+_SUB_BATCH_CHARS = 1 << 18
 # Pieces of one blank and letters are encoded this many at a time, as one text.
 _JOINED = 512
 
@@ -52,7 +52,10 @@ _UNCUT = re.compile("[^\x00-\x1b\x20-\x84\x86-ÿ]")
 
 
 class Encoder:
-    """Ids of whole texts; pieces are encoded by the tokenizers library once and remembered."""
+    """Ids of whole texts; pieces are encoded by the tokenizers library and remembered.
+
+    When the remembered pieces are many they become the older generation, which gives back those met again.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -71,7 +74,7 @@ class Encoder:
         self.special = [t["content"] for t in state["added_tokens"]]
         self.after_blank = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.after_blank[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
-        self.memo = {}
+        self.memo, self.older = {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -100,8 +103,12 @@ class Encoder:
             else:
                 cut[i] = _PIECE.findall(text)
         if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        self._remember(set().union(*cut.values()) - self.memo.keys())
+            self.memo, self.older = {}, self.memo
+        # Not a set difference: that would go through the whole memo each time.
+        new = {p for p in set().union(*cut.values()) if p not in self.memo}
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.memo.update(again)
+        self._remember(new.difference(again))
         for i, pieces in cut.items():
             out[i] = b"".join(map(self.memo.__getitem__, pieces))
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
@@ -270,7 +277,7 @@ def read_digests(store: Store) -> DataFrame:
 
     manifest = store.manifest().select("file", "start")
     tasks = manifest.repartition(max(1, manifest.count()))
-    return tasks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tasks.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def lookup(store: Store, keys: DataFrame, key: str = "doc_id") -> DataFrame:

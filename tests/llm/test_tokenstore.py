@@ -74,3 +74,16 @@ def test_awkward_rows(spark, awkward, empty, path):
     assert len(ts.lookup(store, spark.createDataFrame([(3,)], "doc_id long")).collect()) == 2
     none = ts.write_store(empty, new_folder(spark, "test-store"), path)
     assert ts.read_digests(none).collect() == []
+
+
+def test_a_small_memo_gives_the_same(path, monkeypatch):
+    """Generations of remembered pieces change no id and stay small."""
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randrange(3000)}" if r.random() < 0.5 else "the" for _ in range(30)) for _ in range(300)]
+    want = ts.Encoder(path).encode(texts)
+    monkeypatch.setattr(ts, "MEMO_PIECES", 100)
+    encoder, got = ts.Encoder(path), []
+    for i in range(0, len(texts), 5):
+        got += encoder.encode(texts[i : i + 5])
+        assert len(encoder.memo) + len(encoder.older) < 1000
+    assert got == want
