@@ -1,8 +1,10 @@
 """Personal data replaced by surrogates: keyed, of the same type and format, distinct and consistent.
 
 *Detection*: e-mail addresses, IPv4 addresses, telephone numbers, card numbers (13 to 19 digits), values
-of named secrets (to the closing quote or white space), and names after a title, of any number of parts
-joined by blanks, hyphens or apostrophes. A name's parts are entities of their own: ``surname`` and
+of named secrets (6 characters or more, to the closing quote or white space), and names after one or
+several titles, of any number of parts joined by blanks, hyphens or apostrophes. A value without quotes
+may be prose or code: it counts as a secret with a digit, a sign such as ``$`` or ``_`` or a capital
+behind a small letter, or with 8 characters after an equals sign. A name's parts are entities of their own: ``surname`` and
 ``given`` (with the gender that the title tells); once a name is introduced in a text, its parts are
 replaced wherever they stand alone there, so that references stay together.
 
@@ -60,7 +62,7 @@ ENDINGS = {
     "greek": {"m": "ρος", "f": "ρινα", "x": "λι", "s": "δης"},
 }
 
-_EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])")
+_EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]+@(?:[\w-]+\.)+(?:[^\W\d_]{2,}|xn--[\w-]+)(?![\w-])")
 _IP = re.compile(r"(?<![\d.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\d]|\.\d)")
 _PHONE = re.compile(
     r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?!\w)"
@@ -72,14 +74,17 @@ _CARD = re.compile(r"(?<!\d)[0-9]{13,19}(?!\d)|(?<![\d-])[0-9]{4}([ -])[0-9]{4}\
 _NUMBER = re.compile(r"[0-9][0-9 .)-]")
 # A quoted value runs to its closing quote, any other to white space; the punctuation after it stays.
 _SECRET = re.compile(
-    r"(?i)(?<!\w)(?:api[_-]?key|token|secret|password|passwd)[\"']?\s{0,3}[=:]\s{0,3}"
-    r"(?:\"([^\"\r\n]{8,})\"|'([^'\r\n]{8,})'|[\"']?([^\s\"']{7,}[^\s\"',;.:!?)\]}>]))"
+    r"(?i)(?<!\w)(?:api[_-]?key|token|secret|password|passwd)[\"']?\s{0,3}([=:])\s{0,3}"
+    r"(?:\"([^\"\r\n]{6,})\"|'([^'\r\n]{6,})'|[\"']?([^\s\"']{5,}[^\s\"',;.:!?)\]}>]))"
 )
+# What tells a value without quotes from a word of prose.
+_MADE_UP = re.compile(r"\d|_|[^\w\s'’/.,;:!?()-]|[a-z][A-Z]")
 # Letters joined by hyphens and apostrophes, without the s of a genitive.
 _PART = r"[^\W\d_]+(?:-[^\W\d_]+|['’](?!s(?!\w))[^\W\d_]+)*"
 _UPPER = r"(?![a-zà-öø-ÿа-яѐ-џα-ωά-ώ])"
+_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 _NAME = re.compile(
-    r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + rf")\.? ({_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART}(?: {_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART})*)"
+    rf"(?<!\w)((?:{_TITLE})(?:\.? (?:{_TITLE})(?=[. ]))*)\.? ({_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART}(?: {_UPPER}(?=[^\W\d_]['’-]?[^\W\d_]){_PART})*)"
 )
 _CAPITAL = re.compile(r"[^\W\d_]{2,}")
 _JOINED = re.compile(rf"(?<!\w){_PART}(?!\w)")
@@ -95,13 +100,24 @@ def _valid_ip(value: str) -> bool:
     return all(int(p) < 256 for p in value.split("."))
 
 
+def _is_secret(m: re.Match) -> bool:
+    """Whether the value of a named secret is none of prose or code."""
+    sign, quoted, value = m[1], m[2] or m[3], m[4]
+    return bool(quoted or _MADE_UP.search(value)) or (sign == "=" and len(value) >= 8)
+
+
+def _gender(titles: str) -> str:
+    """The gender that the first title with one tells."""
+    return next((g for g in map(TITLES.get, re.findall(r"\w+", titles)) if g != "x"), "x")
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(begin, end, type, entity) of the entities of a text, in order and without overlaps."""
     found = []
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
     if "=" in text or ":" in text:
-        found += [(*m.span(m.lastindex), "secret", m[m.lastindex]) for m in _SECRET.finditer(text)]
+        found += [(*m.span(m.lastindex), "secret", m[m.lastindex]) for m in _SECRET.finditer(text) if _is_secret(m)]
     if _NUMBER.search(text):
         found += [(m.start(), m.end(), "ip", m[0]) for m in _IP.finditer(text) if _valid_ip(m[0])]
         found += [(m.start(), m.end(), "card", re.sub(r"\D", "", m[0])) for m in _CARD.finditer(text)]
@@ -112,7 +128,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for m in _NAME.finditer(text) if any(t in text for t in TITLES) else ():
         names = m[2].split(" ")
         for i, name in enumerate(names):
-            kind = "surname" if i == len(names) - 1 else f"given_{TITLES[m[1]]}"
+            kind = "surname" if i == len(names) - 1 else f"given_{_gender(m[1])}"
             parts.setdefault(name.casefold(), kind)
     if parts:
         for m in _JOINED.finditer(text):
@@ -265,8 +281,10 @@ def _dressed(kind: str, canonical: str, original: str) -> str:
     if kind in ("phone", "card"):
         digits = iter(re.sub(r"\D", "", canonical))
         return "".join(next(digits) if c.isdigit() else c for c in original)
+    if kind == "email" and len(canonical) == len(original):
+        return "".join(c.upper() if o.isupper() and len(c.upper()) == 1 else c for c, o in zip(canonical, original))
     if kind in ("email", "ip", "secret"):
-        return canonical.upper() if kind == "email" and original.isupper() else canonical
+        return canonical
     if original.isupper() and len(original) > 1:
         return canonical.upper()
     return canonical[0].upper() + canonical[1:]

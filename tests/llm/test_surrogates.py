@@ -54,7 +54,7 @@ def test_conflicts_are_resolved(table, monkeypatch):
     assert longer > syllables and {r.attempt for r in rows.collect()} == {0}
 
 
-@pytest.mark.parametrize("text", ["", "no data", "1.2.3", "999.1.1.1", "version 1.2.3.4.5", "@ alone", "12 345", "Mr. x"])
+@pytest.mark.parametrize("text", ["", "no data", "1.2.3", "999.1.1.1", "version 1.2.3.4.5", "@ alone", "12 345", "Mr. x", "The secret: everything", "token: see-below", "secret=None"])
 def test_nothing_to_replace(text):
     assert sg.find(text) == []
 
@@ -97,9 +97,21 @@ def test_every_type_ends(table, monkeypatch):
     ("Señor Juan Carlos García López vino", "surname", ["López"]),
     ("Señor Juan Carlos García López vino", "given_m", ["Juan", "Carlos", "García"]),
     ("Mr O'Brien said; Mr Smith's car", "surname", ["O'Brien", "Smith"]),
+    ("Prof. Dr. Smith spoke", "surname", ["Smith"]),
+    ("Dr. Mrs Anna Smith spoke", "given_f", ["Anna"]),
+    ("password: hunter2.", "secret", ["hunter2"]),
+    ("password=changeme", "secret", ["changeme"]),
+    (f"to {'a' * 65}@example.com now", "email", [f"{'a' * 65}@example.com"]),
+    ("to почта@пример.рф now", "email", ["почта@пример.рф"]),
     ("call +14155552671 now", "phone", ["+14155552671"]),
     ("call 01 23 45 67 89 now", "phone", ["01 23 45 67 89"]),
     ("call +33 1 23 45 67 89 now", "phone", ["+33 1 23 45 67 89"]),
 ])
 def test_entities_are_whole(text, kind, values):
     assert [text[b:e] for b, e, k, _ in sg.find(text) if k == kind] == values
+
+
+def test_capitals_follow(table):
+    text = sg.replaced(table([(1, "John.Smith@Ex.com or john.smith@ex.com", "en", "a")]), KEY).first().text
+    first, _, second = text.split(" ")
+    assert [c.isupper() for c in first] == [c.isupper() for c in "John.Smith@Ex.com"] and first.lower() == second
