@@ -177,6 +177,8 @@ class Index:
         known = slot >= 0
         known[known] = self.mark[slot[known]] == fingerprint(keys)[known]
         first, repeats = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        # A fingerprint may agree by chance; the stored key decides.
+        known[known] = self.keys[self.first[slot[known]] - self.nulls] == keys[known]
         first[known], repeats[known] = self.first[slot[known]], self.repeats[slot[known]]
         return first, repeats
 

@@ -87,3 +87,12 @@ def test_a_small_memo_gives_the_same(path, monkeypatch):
         got += encoder.encode(texts[i : i + 5])
         assert len(encoder.memo) + len(encoder.older) < 1000
     assert got == want
+
+
+def test_a_foreign_key_is_not_found(monkeypatch):
+    """Even if all fingerprints agree."""
+    monkeypatch.setattr(ts, "fingerprint", lambda keys: np.zeros(len(keys), np.uint32))
+    keys = np.repeat(np.arange(0, 2000, 2), 2)
+    index = ts.Index(ts.pack_index(keys, 3, np.ones(len(keys) + 3, np.int64), 2))
+    first, repeats = index.find(np.arange(2000))
+    assert (repeats == np.where(np.arange(2000) % 2, 0, 2)).all() and (first[::2] == 3 + np.arange(0, 2000, 2)).all()
