@@ -6,7 +6,8 @@ sequences of a text are bundled (added) into the text's vector, unit vectors of
 the prototype of their language, and a text gets the language with the highest cosine.
 
 Letters are case-folded; anything that is no letter ends a word, and a word is framed by one blank.
-a-z and the blank have vectors of their own; other letters share the rest of the 64 symbols.
+Every letter of every script has a vector of its own, drawn from a generator that its code point seeds,
+so no table of letters is kept or sent.
 
 Defined results: NULL text, empty text and text without a letter give ``und`` with score 0. With no
 learned language (no training row) every text gives ``und``. Equal cosines go to the alphabetically
@@ -27,28 +28,29 @@ from . import textblocks as tb
 from .frames import append_columns, prepare, remainder, tidy
 
 UNKNOWN = "und"
-SYMBOLS = 64
+BLANK = ord(" ")
 DIMENSIONS = 512
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+# Sequences that are bound at a time; this many vectors are in memory.
+CHUNK = 4096
+# A sequence that fewer than one in RARE texts of a block hold is added where it occurs, not for all texts.
+RARE = 32
 # A model holds one vector per language; more than this many languages is refused, as it is broadcast.
 MAX_LANGUAGES = 4096
 
 
 @lru_cache(maxsize=1)
-def _symbol_table() -> np.ndarray:
-    """Symbol of every code point: 0 for no letter, 1-26 for a-z, 27-63 for the other letters."""
-    points = np.arange(0x110000)
-    other = 27 + tb.mix(points.astype(np.uint64)) % np.uint64(SYMBOLS - 27)
-    table = np.zeros(0x110000, dtype=np.int32)
-    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
-    table[letter] = other[letter]
-    table[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    return table
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
-@lru_cache(maxsize=4)
-def _letter_vectors(dimensions: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    vectors = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions)).astype(np.float32) * 2 - 1
-    return np.roll(vectors, 2, axis=1), np.roll(vectors, 1, axis=1), vectors
+def letter_vectors(points: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+    """The vector of +1 and -1 of each code point, 64 places from each number of its generator."""
+    state = tb.mix(points.astype(np.uint64) + (np.uint64(seed) << np.uint64(32)))
+    step = np.arange(1, -(-dimensions // 64) + 1, dtype=np.uint64) * _STEP
+    bits = np.unpackbits(tb.mix(state[:, None] + step).astype("<u8").view(np.uint8), axis=1)
+    return bits[:, :dimensions].astype(np.float32) * 2 - 1
 
 
 def _code_points(block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
@@ -63,28 +65,53 @@ def text_vectors(block: tb.Block, dimensions: int, seed: int) -> tuple[np.ndarra
     """Bundled vector and number of letters of each text of a block (already in lower case)."""
     n = len(block)
     points, bounds = _code_points(block)
-    symbol = _symbol_table()[points]
+    points = np.where(_letters()[points], points, BLANK)
     owner = np.repeat(np.arange(n), np.diff(bounds))
-    letters = np.bincount(owner[symbol > 0], minlength=n)
+    letters = np.bincount(owner[points != BLANK], minlength=n)
+    vectors = np.zeros((n, dimensions), dtype=np.float32)
     # A blank before each text and after the last one; runs of blanks count once.
-    at = np.concatenate((bounds[:-1], [len(symbol)]))
-    symbol = np.insert(symbol, at, 0)
+    at = np.concatenate((bounds[:-1], [len(points)]))
+    points = np.insert(points, at, BLANK)
     owner = np.insert(owner, at, np.concatenate((np.arange(n), [n - 1])))
-    keep = np.ones(len(symbol), dtype=bool)
-    keep[1:] = (symbol[1:] > 0) | (symbol[:-1] > 0)
-    symbol, owner = symbol[keep], owner[keep]
-    if len(symbol) < 3 or not letters.any():
-        return np.zeros((n, dimensions), dtype=np.float32), letters
-    gram = (symbol[:-2] * SYMBOLS + symbol[1:-1]) * SYMBOLS + symbol[2:]
-    middle = symbol[1:-1] > 0  # the middle is a letter: no sequence reaches from one text to another
+    keep = np.ones(len(points), dtype=bool)
+    keep[1:] = (points[1:] != BLANK) | (points[:-1] != BLANK)
+    points, owner = points[keep], owner[keep]
+    if len(points) < 3 or not letters.any():
+        return vectors, letters
+    met = np.zeros(0x110000, dtype=bool)
+    met[points] = True
+    alphabet = np.flatnonzero(met)
+    size = len(alphabet)
+    place = np.zeros(0x110000, dtype=np.int64)
+    place[alphabet] = np.arange(size)
+    symbol = place[points]
+    gram = (symbol[:-2] * size + symbol[1:-1]) * size + symbol[2:]
+    middle = points[1:-1] != BLANK  # the middle is a letter: no sequence reaches from one text to another
     gram, owner = gram[middle], owner[1:-1][middle]
-    used = np.flatnonzero(np.bincount(gram, minlength=SYMBOLS**3))
-    slot = np.zeros(SYMBOLS**3, dtype=np.int64)
-    slot[used] = np.arange(len(used))
-    counts = np.bincount(owner * len(used) + slot[gram], minlength=n * len(used)).reshape(n, len(used))
-    first, second, third = _letter_vectors(dimensions, seed)
-    bound = first[used // SYMBOLS**2] * second[used // SYMBOLS % SYMBOLS] * third[used % SYMBOLS]
-    return counts.astype(np.float32) @ bound, letters
+    own = letter_vectors(alphabet, dimensions, seed)
+    first, second = np.roll(own, 2, axis=1), np.roll(own, 1, axis=1)
+
+    def bound(grams):
+        return first[grams // size**2] * second[grams // size % size] * own[grams % size]
+
+    order = np.argsort(gram)
+    starts = np.flatnonzero(np.diff(gram[order], prepend=-1))
+    counts = np.diff(np.append(starts, len(order)))
+    frequent = counts * RARE >= n
+    chosen = np.repeat(frequent, counts)
+    grams, ends, found = gram[order[starts[frequent]]], np.cumsum(counts[frequent]), owner[order[chosen]]
+    for i in range(0, len(grams), CHUNK):
+        part, begin = grams[i : i + CHUNK], ends[i - 1] if i else 0
+        lengths = np.diff(ends[i : i + CHUNK], prepend=begin)
+        cell = found[begin : begin + lengths.sum()] * len(part) + np.repeat(np.arange(len(part)), lengths)
+        times = np.bincount(cell, minlength=n * len(part)).reshape(n, len(part))
+        vectors += times.astype(np.float32) @ bound(part)
+    rare = np.sort(order[~chosen])  # in the order of the texts
+    for i in range(0, len(rare), CHUNK):
+        part = rare[i : i + CHUNK]
+        begin = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        vectors[owner[part[begin]]] += np.add.reduceat(bound(gram[part]), begin, axis=0)
+    return vectors, letters
 
 
 def _batch_vectors(texts: pa.Array, dimensions: int, seed: int):
