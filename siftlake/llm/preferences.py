@@ -11,8 +11,10 @@ A plain table of conversations holds no preferences; two rules make pairs of all
 - ``swapped``: a conversation up to its last answer, against the same one with that answer replaced by
   the last answer of the conversation with the next higher id.
 
-Neighbouring ids are found in blocks of ``BLOCK`` ids first and then between blocks, so an opening shared
-by most conversations is no single task.
+Neighbouring ids are found within range partitions first and then between them, over the first id of
+each partition: an opening shared by most conversations is no single task, and what meets in one window
+is bounded by the number of partitions, dense or sparse as the ids may be. Conversations are put together
+once and stored, as both rules and both sides of a pair read them.
 
 Defined results: rows without a conv_id belong to no conversation. Rows of a conversation that repeat
 each other count once; turns are ordered by turn (NULL last), then role and text. NULL text is empty
@@ -23,7 +25,8 @@ whether both hold something to learn from. Other columns are ignored.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK = 1024
+from .frames import stored
+
 ASSISTANT = "assistant"
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 
@@ -40,15 +43,16 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 
 def next_ids(ids: DataFrame, key: list[str]) -> DataFrame:
-    """id and next_id: the next higher id with equal ``key`` columns; ids without one are left out."""
-    ids = ids.withColumn("block", F.floor(F.col("id") / BLOCK))
-    heads = ids.groupBy(*key, "block").agg(F.min("id").alias("head"))
-    # One row per block: few enough for one task even where all ids share a key.
-    order = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
-    after = heads.select(*key, "block", F.lead("head").over(order.orderBy("block")).alias("next_head"))
+    """id and next_id: the next higher id with equal ``key`` columns; ids, each given once, without one are left out."""
+    # Stored, as a partition read again after a loss must hold the same ids.
+    placed = stored(ids.repartitionByRange(*key, "id").withColumn("block", F.spark_partition_id()), "neighbours")
     inside = F.lead("id").over(Window.partitionBy(*key, "block").orderBy("id"))
-    found = ids.withColumn("inside", inside).join(after, [*key, "block"])
-    return found.select("id", F.coalesce("inside", "next_head").alias("next_id")).where("next_id is not null")
+    found = placed.withColumn("next_id", inside)
+    # The last id of a block has no neighbour in it. At most one row per block and key goes on from here.
+    heads = placed.groupBy(*key, "block").agg(F.min("id").alias("head"), F.max("id").alias("id"))
+    order = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
+    between = heads.select("id", F.lead("head").over(order.orderBy("block")).alias("next_id"))
+    return found.select("id", "next_id").union(between).where("next_id is not null")
 
 
 def same_opening(talks: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def formatted(pairs: DataFrame) -> DataFrame:
 
 def preference_table(turns: DataFrame) -> DataFrame:
     """The formatted pairs of a conversations table, ranges as text ``begin-end,begin-end``."""
-    talks = conversations(turns.select("conv_id", "turn", "role", "text"))
+    talks = stored(conversations(turns.select("conv_id", "turn", "role", "text")), "conversations")
     found = formatted(same_opening(talks).union(swapped_answers(talks)))
 
     def as_text(ranges):

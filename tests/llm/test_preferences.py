@@ -32,17 +32,21 @@ def test_prompt_completions_and_ranges(spark):
     assert ("opening", 5000) not in by and ("swapped", 5000) not in by
 
 
-def test_neighbours_across_blocks(spark, monkeypatch):
-    monkeypatch.setattr(pf, "BLOCK", 4)
-    ids = [0, 1, 5, 6, 30, 31, 32, 33, 34, 100, -7]
-    df = spark.createDataFrame([(i, "k" if i % 2 else "l") for i in ids], "id long, k string")
-    for key in ([], ["k"]):
-        got = {tuple(r) for r in pf.next_ids(df, key).collect()}
-        want = set()
-        for group in ([ids] if not key else [[i for i in ids if i % 2], [i for i in ids if not i % 2]]):
-            group = sorted(group)
-            want |= set(zip(group, group[1:]))
-        assert got == want
+def test_neighbours_across_blocks(spark):
+    """Dense, sparse and negative ids, in several range partitions that cut through a key."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        ids = [*range(40), *(i * 2**40 + 7 for i in range(-20, 0)), *(i * 2**41 for i in range(1, 30))]
+        df = spark.createDataFrame([(i, "k" if i % 2 else None if i % 3 else "l") for i in ids], "id long, k string")
+        groups = [[i for i in ids if i % 2], [i for i in ids if not i % 2 and i % 3], [i for i in ids if not i % 6]]
+        for key, parts in (([], [ids]), (["k"], groups)):
+            want = {pair for g in parts for pair in zip(sorted(g), sorted(g)[1:])}
+            found = pf.next_ids(df, key).collect()
+            assert {tuple(r) for r in found} == want and len(found) == len(want)
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_awkward_rows(spark):
