@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from siftlake.catalog import QUERIES
-from siftlake.operators import dedup, refs, report
+from siftlake.operators import dedup, refs, report, skew
 from siftlake.plans import marts
 
 from rows import frame
@@ -67,3 +67,21 @@ def test_duplicate_statistics_are_aggregated_once(spark):
     flagged = dedup.flag_later_copies(df, "o_custkey", "o_orderkey")
     # The statistics are stored once; the query itself reads them and aggregates nothing.
     assert "partial_min" not in plan(flagged)
+
+
+def test_rows_without_hot_keys_are_shuffled_once(spark):
+    """Also where the repeated keys are too many to broadcast."""
+    df = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for flagged in (dedup.flag_later_copies(df, "o_custkey", "o_orderkey"), dedup.flag_all_copies(df, "o_custkey")):
+            assert plan(flagged).count("SortMergeJoin") == 1
+        hot = skew.hot_keys(df, F.col("o_custkey").cast("string"))
+        joined = skew.spread_lookup(df.withColumn("key", F.col("o_custkey").cast("string")), df.select(F.lit("1").alias("ref")), "key", "ref", hot)
+        assert plan(joined).count("SortMergeJoin") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_flag_of_all_copies_reads_only_the_columns_it_needs(spark):
+    assert "l_extendedprice" not in plan(entry.queries()["dedup_flag_all"](spark, FOLDER))
