@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from .. import entities
 from ..functions.parsing import number
 from ..operators import report
-from ..operators.validate import ISSUE, RuleSet, issue, prepare
+from ..operators.validate import ISSUE, RuleSet, checked, checked_issue, prepare
 from ..sources.lake import LANDING, LAYER, NO_VALUE, Lake, in_values, materialize
 from . import marts
 
@@ -60,8 +60,8 @@ def _watched(bronze, ruleset, references, order_by, columns, partition, amounts,
     read, rules, layers = Observation("read"), Observation("rules"), Observation("layers")
     seen = bronze.observe(read, F.count(F.lit(1)).alias("rows"))
     prepared = prepare(seen, ruleset, references, order_by, BROADCAST_KEYS, unique_references, bronze if copies_of is None else copies_of)
-    label = issue(ruleset)
-    prepared = prepared.observe(rules, *report.rule_count_columns(ruleset))
+    label = checked_issue(ruleset)
+    prepared = prepared.observe(rules, *report.rule_count_columns(checked(ruleset)))
     layer = F.when(F.col(ISSUE).isNull(), "silver").otherwise("dq")
     labelled = prepared.select(*columns, label.alias(ISSUE), *[c.alias(n) for n, c in partition.items()]).withColumn(LAYER, layer)
     silver, broken = F.col(LAYER) == "silver", F.col(LAYER) == "dq"
