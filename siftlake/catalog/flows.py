@@ -9,7 +9,7 @@ from ..sources import landing
 from ..sources.bucketed import bucket_count, write_bucketed
 from ..sources.lake import ISSUE, Lake, materialize, new_path
 from ..sources.tables import read_table as table
-from .queries import Silver, labelled, plain, prepared, ruleset
+from .queries import MART_COLUMNS, Silver, labelled, plain, prepared, ruleset
 from .views import ORDER_BY, spark_view
 
 MONTH = "order_month"
@@ -139,7 +139,7 @@ def drift_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def c360_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer mart from silver tables bucketed by order id."""
     names = ("orders", "order_items", "payments")
-    silver = Silver(spark, sf_dir, shared=names)
+    silver = Silver(spark, sf_dir, shared=names, columns=MART_COLUMNS)
     buckets = bucket_count(max(silver[name].count() for name in names))
     tables = [write_bucketed(silver[name], f"silver_{name}", "order_id", buckets) for name in names]
     return plain(marts.customer_360_bucketed(silver["customers"], *tables))

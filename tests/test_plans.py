@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from siftlake.catalog import QUERIES
+from siftlake.catalog import QUERIES, queries
 from siftlake.operators import dedup, refs, report, skew
 from siftlake.plans import marts
 
@@ -85,3 +85,30 @@ def test_rows_without_hot_keys_are_shuffled_once(spark):
 
 def test_flag_of_all_copies_reads_only_the_columns_it_needs(spark):
     assert "l_extendedprice" not in plan(entry.queries()["dedup_flag_all"](spark, FOLDER))
+
+
+@pytest.mark.parametrize("name", ["order_items_validate", "issues_from_bits", "dq_rule_counts_order_items"])
+def test_rules_are_evaluated_before_rows_are_shuffled(spark, name):
+    """So that bits or a label travel instead of every column the rules read."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(entry.queries()[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, below = text.split("SortMergeJoin", 1)
+    assert "RLIKE" not in above and "RLIKE" in below
+
+
+@pytest.mark.parametrize("name, stored", [
+    ("silver_recheck_inventory", {"silver-products": None, "silver-inventory": None}),
+    ("mart_conservation", {"silver-order_items": {"order_id", "quantity", "item_total"}, "silver-payments": {"order_id", "payment_status", "amount"}}),
+    ("daily_sales", {"silver-order_items": None}),
+])
+def test_silver_that_is_read_again_is_stored_once(spark, monkeypatch, name, stored):
+    seen = []
+    write = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, to: (seen.append((to, set(df.columns))), write(df, to))[1])
+    entry.queries()[name](spark, FOLDER)
+    assert len({to for to, _ in seen}) == len(seen)
+    for to, columns in stored.items():
+        assert dict(seen)[to] == columns or columns is None
