@@ -67,12 +67,12 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_month = F.coalesce(F.date_format(month("order_date"), "yyyy-MM"), F.lit(""))
     late = (F.col("ingest_seq") % 11 == 0) & in_month.isin(*LATE_MONTHS)
     lake = new_lake(spark, "refresh")
-    flow.land(lake, rules, view.where(~late), "2000-01-01", period)
-    flow.promote(lake, rules, order_by="ingest_seq", extra_columns=ORDER_BY["orders"], partition={MONTH: F.col(MONTH)})
+    flow.land(lake, rules, view.where(~late), "2000-01-01", period, changes=False)
+    flow.promote(lake, rules, order_by="ingest_seq", extra_columns=ORDER_BY["orders"], partition=(MONTH,))
     # Wrong: unknown states, and orders of another month that landed the day before.
-    wrong = view.where(late | ((F.col("ingest_seq") % 7 == 0) & (in_month == WRONG_MONTH)))
-    wrong = wrong.withColumn("order_status", F.lit("lost")).withColumn("ingest_seq", -F.col("ingest_seq"))
-    for delivery in (wrong, view.where(late)):
+    second = materialize(view.where(late | ((F.col("ingest_seq") % 7 == 0) & (in_month == WRONG_MONTH))), "second-day")
+    wrong = second.withColumn("order_status", F.lit("lost")).withColumn("ingest_seq", -F.col("ingest_seq"))
+    for delivery in (wrong, second.where(late)):
         changed = flow.land(lake, rules, delivery, "2000-01-02", period)
         flow.refresh(lake, rules, changed, MONTH, order_by="ingest_seq", extra_columns=ORDER_BY["orders"])
     return _layers(lake, "orders", "ingest_seq", "order_id", MONTH)

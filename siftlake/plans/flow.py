@@ -4,6 +4,7 @@ The labelled rows are written once, partitioned by layer: that output is silver
 checks are observed during the same write, so nothing is read again to report on it.
 """
 
+import posixpath
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import entities
 from ..functions.parsing import number
-from ..operators import report
+from ..operators import report, skew
 from ..operators.validate import ISSUE, RuleSet, checked, checked_issue, prepare
 from ..sources.lake import LANDING, LAYER, NO_VALUE, Lake, in_values, materialize
 from . import marts
@@ -39,6 +40,8 @@ class EntityResult:
 
 # Repeated keys are broadcast up to this many; a key and its statistics take about 100 bytes.
 BROADCAST_KEYS = 1_000_000
+# Bronze folders of a period, one for each landing day it has rows of, up to which its rows are taken as lying together.
+NEAR_FOLDERS = 2
 
 
 def _count(condition: Column, name: str) -> Column:
@@ -56,10 +59,11 @@ class _Watched:
     checks: tuple[str, ...]
 
 
-def _watched(bronze, ruleset, references, order_by, columns, partition, amounts, unique_references, copies_of=None) -> _Watched:
+def _watched(bronze, ruleset, references, order_by, columns, partition, amounts, unique_references, copies_of=None, concerned=None, periods=False) -> _Watched:
     read, rules, layers = Observation("read"), Observation("rules"), Observation("layers")
     seen = bronze.observe(read, F.count(F.lit(1)).alias("rows"))
-    prepared = prepare(seen, ruleset, references, order_by, BROADCAST_KEYS, unique_references, bronze if copies_of is None else copies_of)
+    copies_of = bronze if copies_of is None else copies_of
+    prepared = prepare(seen, ruleset, references, order_by, BROADCAST_KEYS, unique_references, copies_of, concerned)
     label = checked_issue(ruleset)
     prepared = prepared.observe(rules, *report.rule_count_columns(checked(ruleset)))
     layer = F.when(F.col(ISSUE).isNull(), "silver").otherwise("dq")
@@ -72,7 +76,7 @@ def _watched(bronze, ruleset, references, order_by, columns, partition, amounts,
         **{f"silver_negative_{c}": silver & (number(F.col(c)) < 0) for c in amounts},
     }
     counts = [_count(condition, name) for name, condition in {"silver": silver, "dq": broken, **checks}.items()]
-    if partition:
+    if periods:
         counts.append(F.collect_set(F.struct(LAYER, *partition)).alias("periods"))
     return _Watched(labelled.observe(layers, *counts), read, rules, layers, tuple(checks))
 
@@ -97,6 +101,19 @@ def _result(ruleset: RuleSet, watched: _Watched, touched=()) -> EntityResult:
     return EntityResult(valid + invalid, invalid, per_rule, checks, tuple(touched))
 
 
+def _near(rows: DataFrame, names) -> bool:
+    """Whether rows of one period lie together already: their files are in folders of their own period, and few such folders
+    hold one period. Then a task reads few periods, and each file read makes at most one a layer and task."""
+    folders = {posixpath.dirname(f) for f in rows.inputFiles()}
+    periods = {tuple(part for part in f.split("/") if part.partition("=")[0] in names) for f in folders}
+    return all(len(p) == len(names) for p in periods) and len(folders) <= NEAR_FOLDERS * len(periods)
+
+
+def _gathered(rows: DataFrame, bronze: DataFrame, names) -> DataFrame:
+    """Rows ready to be written in partitions of their period, shuffled only where bronze does not hold them so."""
+    return rows if _near(bronze, names) else rows.hint("rebalance", LAYER, *names)
+
+
 def promote(
     lake: Lake,
     ruleset: RuleSet,
@@ -105,20 +122,25 @@ def promote(
     extra_columns=(),
     unique_references: bool = False,
     schema=None,
-    partition: dict[str, Column] | None = None,
+    partition: dict[str, Column] | tuple[str, ...] | None = None,
     amounts=(),
 ) -> EntityResult:
     """Validate bronze and write silver and quarantine in one write.
 
     ``unique_references`` may be set when the references are silver tables of this lake. ``partition`` names
     partition columns of both layers, computed from the rows, such as the day of a record; their rows
-    are rebalanced before the write, so that a day is few files and a large one several tasks.
+    are rebalanced before the write, so that a day is few files and a large one several tasks. Names alone stand for
+    the columns by which ``land`` has partitioned bronze; such rows are written from where they lie, unless the
+    folders of a period are many.
     ``amounts`` are columns that silver must hold without NULL and below no zero; violations are observed.
     """
     bronze = lake.read("bronze", ruleset.entity, schema)
-    columns, partition = [*ruleset.columns, *extra_columns], partition or {}
+    columns, landed = [*ruleset.columns, *extra_columns], isinstance(partition, tuple)
+    partition = {name: F.col(name) for name in partition} if landed else partition or {}
     watched = _watched(bronze, ruleset, references, order_by, columns, partition, tuple(amounts), unique_references)
-    rows = watched.rows.hint("rebalance", LAYER, *partition) if partition else watched.rows
+    rows = watched.rows
+    if partition:
+        rows = _gathered(rows, bronze, tuple(partition)) if landed else rows.hint("rebalance", LAYER, *partition)
     lake.write_validated(rows, ruleset.entity, tuple(partition))
     result = _result(ruleset, watched)
     written = rows.drop(LAYER, *partition).schema
@@ -133,12 +155,18 @@ def _periods(rows: DataFrame, names) -> set[tuple]:
     return {tuple(r) for r in rows.select(*names).distinct().collect()}
 
 
-def land(lake: Lake, ruleset: RuleSet, rows: DataFrame, landing_date: str, period: dict[str, Column]) -> DataFrame:
+def land(
+    lake: Lake, ruleset: RuleSet, rows: DataFrame, landing_date: str, period: dict[str, Column], changes: bool = True
+) -> DataFrame | None:
     """Put the rows landed on one day into bronze, in partitions of their own period; landing twice replaces.
 
-    Returns a stored table of the periods and keys this changes: those of the new rows and of replaced ones.
+    Returns a stored table of the periods and keys this changes: those of the new rows and of replaced ones. It takes
+    another evaluation of ``rows``; without ``changes`` there is none, for a landing that a full run follows.
     """
     named = rows.drop(LANDING).withColumns(period)
+    if not changes:
+        lake.land(named, ruleset.entity, landing_date, list(period))
+        return None
     changed = named.select(ruleset.key, *period)
     if lake.has("bronze", ruleset.entity):
         before = lake.read("bronze", ruleset.entity).where(F.col(LANDING) == F.lit(landing_date).cast("date"))
@@ -163,13 +191,15 @@ def refresh(
 
     ``changed`` comes from ``land`` (several may be united). A late or resent record may take the place of the first
     copy of its key, so periods that hold another copy of a changed key are touched as well. Duplicates are
-    judged against all of bronze, of which only key and order columns of the touched keys are read. Every
-    other partition, and its files, stays. References must be those of the last full run: if they
+    judged against all of bronze, of which only key and order columns are read: the keys of few touched rows are
+    broadcast, else all keys are aggregated once. The touched rows are shuffled only where they do not lie together.
+    Every other partition, and its files, stays. References must be those of the last full run: if they
     change, tables that look them up are promoted anew.
     """
     bronze = lake.read("bronze", ruleset.entity)
     columns = [*ruleset.columns, *extra_columns]
     keys = changed.where(F.col(ruleset.key).isNotNull()).select(F.col(ruleset.key).alias("_changed")).distinct()
+    keys = skew.bounded_broadcast(keys, BROADCAST_KEYS)
     shared = bronze.join(keys, F.col(ruleset.key) == F.col("_changed"), "left_semi")
     touched = sorted(_periods(changed, [period]) | _periods(shared, [period]), key=lambda t: str(t[0]))
     values = [t[0] for t in touched]
@@ -177,12 +207,16 @@ def refresh(
         return EntityResult(0, 0, {r.label: 0 for r in ruleset.rules})
     rows = bronze.where(in_values(period, values))
     names = [ruleset.key, *([order_by] if isinstance(order_by, str) else order_by or [])]
-    present = rows.where(F.col(ruleset.key).isNotNull()).select(F.col(ruleset.key).alias("_present")).distinct()
-    copies = bronze.select(*dict.fromkeys(names)).join(present, F.col(ruleset.key) == F.col("_present"), "left_semi")
+    copies, concerned = bronze.select(*dict.fromkeys([*names, period])), None
+    if rows.count() <= BROADCAST_KEYS:
+        present = rows.where(F.col(ruleset.key).isNotNull()).select(F.col(ruleset.key).alias("_present")).distinct()
+        copies = copies.drop(period).join(F.broadcast(present), F.col(ruleset.key) == F.col("_present"), "left_semi")
+    else:
+        concerned = F.coalesce(in_values(period, values), F.lit(False))
     watched = _watched(
-        rows, ruleset, references, order_by, columns, {period: F.col(period)}, tuple(amounts), unique_references, copies
+        rows, ruleset, references, order_by, columns, {period: F.col(period)}, tuple(amounts), unique_references, copies, concerned, periods=True
     )
-    lake.write_validated(watched.rows.hint("rebalance", LAYER, period), ruleset.entity, (period,), only_touched=True)
+    lake.write_validated(_gathered(watched.rows, bronze, (period,)), ruleset.entity, (period,), only_touched=True)
     written = {(r[LAYER], r[period]) for r in _observed(watched.layers).get("periods", ())}
     schema = watched.rows.drop(LAYER, period).schema
     for layer in ("silver", "dq"):

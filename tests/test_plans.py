@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from siftlake.catalog import QUERIES, queries
-from siftlake.operators import dedup, refs, report, skew
+from siftlake.operators import dedup, refs, report, skew, validate as dq
 from siftlake.plans import marts
 
 from rows import frame
@@ -112,3 +112,17 @@ def test_silver_that_is_read_again_is_stored_once(spark, monkeypatch, name, stor
     assert len({to for to, _ in seen}) == len(seen)
     for to, columns in stored.items():
         assert dict(seen)[to] == columns or columns is None
+
+
+def test_the_first_label_is_read_from_the_bits(spark):
+    """One expression tells bits and label of a row, so that Spark evaluates the rules once."""
+    c = F.col("a")
+    rules = dq.RuleSet("t", "a", ("a",), (dq.Rule("small", c < 2), dq.Rule("odd", c % 2 == 1), dq.Rule("five", c == 5)), duplicates=None)
+    prepared = dq.prepare(spark.range(7).select(F.col("id").alias("a")), rules)
+    columns = prepared._jdf.queryExecution().analyzed().projectList()
+    found = {columns.apply(i).name(): columns.apply(i).sql() for i in range(columns.size())}
+    bits = found[dq.BROKEN].rsplit(" AS ", 1)[0]
+    assert bits in found[dq.FIRST_BROKEN]
+    rows = prepared.orderBy("a").collect()
+    assert [r[dq.FIRST_BROKEN] for r in rows] == ["small", "small", None, "odd", None, "odd", None]
+    assert [r[dq.BROKEN] for r in rows] == [1, 3, 0, 2, 0, 6, 0]

@@ -146,3 +146,52 @@ def test_nothing_landed(spark, tmp_path, lake):
     before = files(tmp_path / "validated")
     result = refreshed(lake, frame(spark, "orders", []))
     assert result.touched == () and result.total == 0 and files(tmp_path / "validated") == before
+
+
+@pytest.fixture
+def shuffled_writes(monkeypatch):
+    """Whether each write of layers shuffled their rows."""
+    found, write = [], Lake.write_validated
+
+    def noted(self, df, *args, **options):
+        found.append("RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, *args, **options)
+
+    monkeypatch.setattr(Lake, "write_validated", noted)
+    return found
+
+
+def test_rows_that_lie_in_their_periods_are_not_shuffled(spark, tmp_path, shuffled_writes):
+    lake = Lake(spark, str(tmp_path))
+    rows = orders() + [{"order_id": "O000001", "order_date": "2026-06-04"}, {"order_date": "no date"}]
+    assert flow.land(lake, entities.orders(), frame(spark, "orders", rows), "2026-06-10", by_day(), changes=False) is None
+    result = flow.promote(lake, entities.orders(), order_by="ingest_seq", extra_columns=["ingest_seq"], partition=("order_day",))
+    assert (result.total, result.invalid, set(result.checks.values())) == (42, 2, {0}) and found(lake) == rebuilt(lake)
+    refreshed(lake, numbered(spark, [{"order_id": "O000005", "order_date": f"2026-06-{d:02d}"} for d in range(1, 9)], -50))
+    assert found(lake) == rebuilt(lake) and sum(found(lake).values()) == 50
+    assert shuffled_writes == [False, False]
+
+
+def test_periods_scattered_over_many_landing_days_are_gathered(spark, lake, shuffled_writes):
+    for i in range(flow.NEAR_FOLDERS):
+        rows = [{"order_id": f"O{500 + 10 * i + d:06d}", "order_date": f"2026-06-{d:02d}"} for d in range(1, 9)]
+        refreshed(lake, numbered(spark, rows, 100 * (i + 1)), f"2026-06-{11 + i}")
+    assert shuffled_writes == [False] * (flow.NEAR_FOLDERS - 1) + [True] and found(lake) == rebuilt(lake)
+
+
+def test_many_touched_rows_are_judged_without_a_join_of_keys(spark, lake, monkeypatch):
+    """Keys of bronze are aggregated once; those with no copy in a touched day are left out."""
+    refreshed(lake, numbered(spark, [{"order_id": "O000001", "order_date": "2026-06-02"}, {"order_id": "O000003", "order_date": "2026-06-03"}], 300))
+    monkeypatch.setattr(flow, "BROADCAST_KEYS", 0)
+    joins, prepare = [], flow.prepare
+
+    def noted(*args):
+        joins.append("Join" in args[6]._jdf.queryExecution().optimizedPlan().toString())
+        return prepare(*args)
+
+    monkeypatch.setattr(flow, "prepare", noted)
+    late = [{"order_id": "O000400", "order_date": "2026-06-02"}, {"order_id": "O000005", "order_date": None}]
+    result = refreshed(lake, numbered(spark, late, -400), "2026-06-12")
+    assert [str(d) for d in result.touched] == ["2026-06-02", "2026-06-05", "None"] and joins == [False]
+    assert found(lake) == rebuilt(lake)
+    assert sorted(r.ingest_seq for r in lake.read("dq", "orders").where("_dq_issue LIKE 'dup%'").collect()) == [4, 300, 301]
